@@ -32,4 +32,4 @@ def small():
 def rows(df, *order):
     """Rows as plain tuples, sorted."""
     df = df.select(*order) if order else df
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [str(v) for v in r])
