@@ -122,3 +122,10 @@ def channel_map(spark: SparkSession, folder: str) -> DataFrame:
 
 CHANNEL_MAP = """channel_map AS (
   SELECT p_partkey AS media_id, 'YouTube' AS channel FROM part WHERE p_type IN ('ECONOMY', 'PROMO'))"""
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan that has fewer splits than the session has cores a split per core,
+    for work that is heavy per row. A table of many files is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
