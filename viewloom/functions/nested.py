@@ -58,7 +58,7 @@ def slice_steps(
     some = first < last if step > 0 else first > last
     inclusive = last - 1 if step > 0 else last + 1
     picked = F.transform(F.sequence(first, inclusive, F.lit(step)), lambda i: F.get(array, i))
-    return F.when(some, picked).when(array.isNotNull(), F.slice(array, 1, 0))
+    return F.when(array.isNotNull(), F.when(some, picked).otherwise(F.slice(array, 1, 0)))
 
 
 # --- projections ----------------------------------------------------------

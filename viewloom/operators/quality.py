@@ -73,6 +73,10 @@ def _each(values: Column, check) -> Column:
     return F.coalesce(F.flatten(F.transform(values, check)), F.array().cast(VIOLATION))
 
 
+def _checker(shape, path: Column):
+    return lambda value: violations(value, shape, path)
+
+
 def violations(value: Column, shape, path: Column | None = None) -> Column:
     """All violations of a variant value, as an array: missing required members,
     unknown members, wrong types, values below the minimum, unions without exactly
@@ -106,7 +110,13 @@ def violations(value: Column, shape, path: Column | None = None) -> Column:
         return F.concat(found, inside)
 
     fields = F.try_variant_get(value, "$", "map<string,variant>")
-    found = _found(fields.isNull(), path, "invalid type", kind)
+    wrong = _found(fields.isNull(), path, "invalid type", kind)
+    return F.concat(wrong, _each(F.array(fields), lambda f: _inside(f, shape, path)))
+
+
+def _inside(fields: Column, shape, path: Column) -> Column:
+    """Violations of the members of an object; none when it is null."""
+    found = F.array().cast(VIOLATION)
     if isinstance(shape, MapOf):
         entries = F.map_entries(fields)
         keys = _each(
@@ -134,9 +144,9 @@ def violations(value: Column, shape, path: Column | None = None) -> Column:
     )
     for name, member in shape.members.items():
         here = F.concat(path, F.lit(f".{name}"))
-        inside = violations(fields[name], member, here)
-        present = F.map_contains_key(fields, name)
-        found = F.concat(found, F.when(present, inside).otherwise(F.array().cast(VIOLATION)))
+        present = F.when(F.map_contains_key(fields, name), F.array(fields[name]))
+        # As a lambda's argument the member is read once, however deep the shape is.
+        found = F.concat(found, _each(present, _checker(member, here)))
     return found
 
 
