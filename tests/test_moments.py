@@ -108,7 +108,7 @@ def test_mixed_texts(spark):
     for zone in ("UTC", "Asia/Tokyo"):
         spark.conf.set("spark.sql.session.timeZone", zone)
         try:
-            got = {r.i: (r.format, r.parsed) for r in m.parse_times(df, "raw", "parsed", "format").collect()}
+            got = {r.i: (r.format, r.parsed) for r in df.select("i", m.read_time(F.col("raw")).alias("t")).select("i", "t.*").collect()}
         finally:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
         for i, (text, label, expected) in enumerate(TEXTS):

@@ -26,15 +26,15 @@ URLS = [
 
 def test_parse_urls(spark):
     df = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(URLS)], "i int, url string")
-    got = {r.i: r.u for r in urls.parse_urls(df, "url", "u").collect()}
+    got = {r.i: r.u for r in df.select("i", urls.parse_url(F.col("url")).alias("u")).collect()}
     for i, (url, expected) in enumerate(URLS):
         assert (None if got[i] is None else tuple(got[i])) == expected, url
 
 
 def test_canonical_is_a_fixed_point(spark):
     df = spark.createDataFrame([(u,) for u, e in URLS if e and e[0] in ("http", "https")], "url string")
-    once = urls.canonical_urls(df, "url")
-    twice = urls.canonical_urls(once, "canonical", "again")
+    once = df.select(urls.canonical_url(F.col("url")).alias("canonical"))
+    twice = once.withColumn("again", urls.canonical_url(F.col("canonical")))
     assert twice.filter("not (canonical <=> again)").isEmpty()
     assert not once.filter("canonical is null").count()
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from viewloom.functions.binding import let
+
 # Month names of mail dates.
 MONTH_NAMES = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
@@ -216,64 +218,66 @@ def _date_from(label: Column, a: Column, b: Column, c: Column) -> Column:
     return F.when(label == "iso_week", week).when(label == "iso_ordinal", ordinal).otherwise(calendar)
 
 
-def parse_times(df: DataFrame, text: str, out: str, format_out: str) -> DataFrame:
-    """Add the format of each text and its UTC wall time: epoch seconds, ISO 8601
-    (calendar, basic, week and ordinal dates) or a mail date. No offset means UTC;
-    24:00 is the next midnight; unreadable texts give null.
+def read_time(text: Column) -> Column:
+    """struct<format, parsed>: the format of a text and its UTC wall time. It reads
+    epoch seconds, ISO 8601 (calendar, basic, week and ordinal dates) and mail dates.
+    No offset means UTC; 24:00 is the next midnight; unreadable texts give null."""
+    whole = lambda x: x.try_cast("int")
 
-    The parts go through columns of their own, so each pattern runs once per row.
-    """
-    label, mail = F.col(format_out), F.col(format_out) == "mail"
-    staged = df.withColumn("_text", F.trim(text)).withColumn(format_out, time_format(F.col("_text")))
-
-    def piece(iso_group: int | None, mail_group: int) -> Column:
-        from_mail = F.regexp_extract("_text", _MAIL, mail_group)
-        from_iso = F.lit("") if iso_group is None else F.regexp_extract("_text", _ISO, iso_group)
-        return F.nullif(F.when(mail, from_mail).otherwise(from_iso), F.lit(""))
-
-    staged = staged.withColumns(
-        {
-            "_date": F.regexp_replace(F.regexp_extract("_text", _ISO, 1), "[-W]", ""),
-            "_hour": F.coalesce(piece(2, 4), F.lit("0")).cast("int"),
-            "_minute": F.coalesce(piece(3, 5), F.lit("0")).cast("int"),
-            "_second": F.coalesce(piece(4, 6), F.lit("0")).cast("int"),
-            "_micro": F.rpad(F.substring(F.coalesce(piece(5, 0), F.lit("")), 1, 6), 6, "0"),
-            "_offset": F.coalesce(piece(6, 7), F.lit("")),
-        }
-    )
-    digits = lambda start, length: F.nullif(F.substring("_date", start, length), F.lit("")).try_cast("int")
-    month = F.array_position(
-        F.array(*[F.lit(m) for m in MONTH_NAMES]), F.lower(F.substring(F.regexp_extract("_text", _MAIL, 2), 1, 3))
-    )
-    zone = F.regexp_replace("_offset", "[^0-9]", "")
-    east = F.substring(zone, 1, 2).try_cast("int") * 60 + F.coalesce(
-        F.substring(zone, 3, 2).try_cast("int"), F.lit(0)
-    )
-    staged = staged.withColumns(
-        {
-            "_a": F.when(mail, F.regexp_extract("_text", _MAIL, 3).try_cast("int")).otherwise(digits(1, 4)),
-            "_b": F.when(mail, month.cast("int")).when(label == "iso_ordinal", digits(5, 3)).otherwise(digits(5, 2)),
-            "_c": F.when(mail, F.regexp_extract("_text", _MAIL, 1).try_cast("int"))
-            .when(label.isin("iso_week", "iso_month"), F.coalesce(digits(7, 1), F.lit(1)))
-            .otherwise(digits(7, 2)),
-            "_micro": F.when(mail, 0).otherwise(F.col("_micro").try_cast("int")),
-            "_east": F.coalesce(F.when(F.startswith("_offset", F.lit("-")), -east).otherwise(east), F.lit(0)),
-        }
-    ).withColumn("_day", F.when(label != "epoch", _date_from(label, F.col("_a"), F.col("_b"), F.col("_c"))))
-    h, m, s = F.col("_hour"), F.col("_minute"), F.col("_second")
-    midnight = (h == 24) & (m + s + F.col("_micro") == 0)
-    legal = ((h < 24) & (m < 60) & (s < 60)) | midnight
-    clock = F.make_dt_interval(
-        hours=h, mins=m - F.col("_east"), secs=(s + F.col("_micro") / F.lit(1e6)).cast("decimal(18,6)")
-    )
-    number = F.col("_text").try_cast("double")
-    day_number = F.floor(number / 86400)
-    epoch = F.date_from_unix_date(day_number.cast("int")).cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(number - day_number * 86400).cast("decimal(18,6)")
-    )
-    # Epoch seconds up to the year 9999 either side.
-    moment = F.when((label == "epoch") & number.between(-62135596800, 253402300799), epoch).when(
-        legal, F.col("_day").cast("timestamp_ntz") + clock
-    )
-    parts = ["_text", "_date", "_hour", "_minute", "_second", "_micro", "_offset", "_a", "_b", "_c", "_east", "_day"]
-    return staged.withColumn(out, moment).drop(*parts)
+    def pieces(t: Column, label: Column) -> Column:
+        mail = label == "mail"
+
+        def piece(iso_group: int, mail_group: int | None) -> Column:
+            from_mail = F.lit("") if mail_group is None else F.regexp_extract(t, _MAIL, mail_group)
+            return F.nullif(F.when(mail, from_mail).otherwise(F.regexp_extract(t, _ISO, iso_group)), F.lit(""))
+
+        return F.struct(
+            F.regexp_replace(F.regexp_extract(t, _ISO, 1), "[-W]", "").alias("date"),
+            whole(F.coalesce(piece(2, 4), F.lit("0"))).alias("hour"),
+            whole(F.coalesce(piece(3, 5), F.lit("0"))).alias("minute"),
+            whole(F.coalesce(piece(4, 6), F.lit("0"))).alias("second"),
+            whole(F.rpad(F.substring(F.coalesce(piece(5, None), F.lit("")), 1, 6), 6, "0")).alias("micro"),
+            F.coalesce(piece(6, 7), F.lit("")).alias("offset"),
+        )
+
+    def day_of(t: Column, label: Column, p: Column) -> Column:
+        digits = lambda start, length: whole(F.nullif(F.substring(p["date"], start, length), F.lit("")))
+        names = F.array(*[F.lit(m) for m in MONTH_NAMES])
+        month = F.array_position(names, F.lower(F.substring(F.regexp_extract(t, _MAIL, 2), 1, 3))).cast("int")
+        parts = F.when(
+            label == "mail",
+            F.array(whole(F.regexp_extract(t, _MAIL, 3)), month, whole(F.regexp_extract(t, _MAIL, 1))),
+        ).otherwise(
+            F.array(
+                digits(1, 4),
+                F.when(label == "iso_ordinal", digits(5, 3)).otherwise(digits(5, 2)),
+                F.when(label.isin("iso_week", "iso_month"), F.coalesce(digits(7, 1), F.lit(1))).otherwise(digits(7, 2)),
+            )
+        )
+        return let(parts, lambda a: _date_from(label, F.get(a, F.lit(0)), F.get(a, F.lit(1)), F.get(a, F.lit(2))))
+
+    def moment(t: Column, label: Column, p: Column) -> Column:
+        zone = F.regexp_replace(p["offset"], "[^0-9]", "")
+        east = whole(F.substring(zone, 1, 2)) * 60 + F.coalesce(whole(F.substring(zone, 3, 2)), F.lit(0))
+        east = F.coalesce(F.when(F.startswith(p["offset"], F.lit("-")), -east).otherwise(east), F.lit(0))
+        h, m, s = p["hour"], p["minute"], p["second"]
+        legal = ((h < 24) & (m < 60) & (s < 60)) | ((h == 24) & (m + s + p["micro"] == 0))
+        clock = F.make_dt_interval(
+            hours=h, mins=m - east, secs=(s + p["micro"] / F.lit(1e6)).cast("decimal(18,6)")
+        )
+        return F.when(legal, day_of(t, label, p).cast("timestamp_ntz") + clock)
+
+    def epoch(number: Column) -> Column:
+        day = F.floor(number / 86400)
+        at = F.date_from_unix_date(day.cast("int")).cast("timestamp_ntz") + F.make_dt_interval(
+            secs=(number - day * 86400).cast("decimal(18,6)")
+        )
+        # The years 1 to 9999.
+        return F.when(number.between(-62135596800, 253402300799), at)
+
+    def parse(t: Column, label: Column) -> Column:
+        calendar = F.when(label.isNotNull(), let(pieces(t, label), lambda p: moment(t, label, p)))
+        parsed = F.when(label == "epoch", let(t.try_cast("double"), epoch)).otherwise(calendar)
+        return F.struct(label.alias("format"), parsed.alias("parsed"))
+
+    return let(F.trim(text), lambda t: let(time_format(t), lambda label: parse(t, label)))

@@ -45,11 +45,11 @@ def _messy_urls(spark, d):
 
 
 def url_canonical(spark, d):
-    return urls.canonical_urls(_messy_urls(spark, d), "messy").select("page_id", "canonical")
+    return _messy_urls(spark, d).select("page_id", urls.canonical_url(F.col("messy")).alias("canonical"))
 
 
 def url_parts(spark, d):
-    parsed = urls.parse_urls(views.table(spark, d, "pages").select("page_id", "url"), "url", "u")
+    parsed = views.table(spark, d, "pages").select("page_id", urls.parse_url(F.col("url")).alias("u"))
     return parsed.select("page_id", "u.scheme", "u.auth", "u.host", "u.port", "u.path", "u.query", "u.fragment")
 
 

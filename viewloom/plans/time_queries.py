@@ -78,12 +78,14 @@ def _raw_times(spark, d):
 
 
 def ts_mixed_parse(spark, d):
-    return m.parse_times(_raw_times(spark, d), "raw", "parsed", "format").drop("raw")
+    return _raw_times(spark, d).select("event_id", m.read_time(F.col("raw")).alias("t")).select(
+        "event_id", "t.format", "t.parsed"
+    )
 
 
 def ts_parse_quality(spark, d):
     """Readable and unreadable texts per format."""
-    parsed = m.parse_times(_raw_times(spark, d), "raw", "parsed", "format")
+    parsed = _raw_times(spark, d).select(m.read_time(F.col("raw")).alias("t")).select("t.*")
     return parsed.groupBy(F.coalesce("format", F.lit("unknown")).alias("format")).agg(
         F.count(F.lit(1)).alias("texts"), F.count("parsed").alias("readable")
     )
