@@ -58,16 +58,23 @@ def _complete(rules: DataFrame) -> DataFrame:
     ).isNotNull()
     plain = ~picks_days
     yearly, monthly, weekly = (F.col("freq") == f for f in DAY_FREQS[:3])
-    weekday = F.array(F.struct(F.weekday(start).alias("wd"), F.lit(None).cast("int").alias("n")))
+    # An entry with a number counts weeks in the month or year, others any week.
+    counted = F.col("freq").isin("YEARLY", "MONTHLY")
+    any_week = F.filter("byweekday", lambda e: e["n"].isNull() | (e["n"] == 0) | ~counted)
+    one_week = F.filter("byweekday", lambda e: (e["n"] != 0) & counted)
+    wide = F.when(F.size(any_week) > 0, F.transform(any_week, lambda e: e["wd"]))
+    wide = F.when(plain & weekly, F.array(F.weekday(start))).otherwise(wide)
     return df.withColumns(
         {
+            "simple": plain & F.col("bymonth").isNull(),
+            "weekdays": wide,
+            "nth_weekdays": F.when(F.size(one_week) > 0, one_week),
             "bymonth": F.when(
                 plain & yearly & F.col("bymonth").isNull(), F.array(F.month(start))
             ).otherwise(F.col("bymonth")),
             "bymonthday": F.when(plain & (yearly | monthly), F.array(F.dayofmonth(start))).otherwise(
                 F.col("bymonthday")
             ),
-            "byweekday": F.when(plain & weekly, weekday).otherwise(F.col("byweekday")),
         }
     )
 
@@ -121,21 +128,15 @@ def day_passes(day: Column, filters: set[str]) -> Column:
     extent = F.when(by_month, _month_length(day)).otherwise(year_length)
     from_front = F.floor((place - 1) / 7) + 1
     from_back = -(F.floor((extent - place) / 7) + 1)
-    counted = F.col("freq").isin("YEARLY", "MONTHLY")
-
-    def no_n(entry: Column) -> Column:
-        return entry["n"].isNull() | (entry["n"] == 0) | ~counted
-
-    plain = F.filter("byweekday", no_n)
-    nth = F.filter("byweekday", lambda e: ~no_n(e))
-    on_plain = F.exists(plain, lambda e: e["wd"] == F.weekday(day))
     on_nth = F.exists(
-        nth, lambda e: (e["wd"] == F.weekday(day)) & ((e["n"] == from_front) | (e["n"] == from_back))
+        "nth_weekdays",
+        lambda e: (e["wd"] == F.weekday(day)) & ((e["n"] == from_front) | (e["n"] == from_back)),
     )
     passes = (
         unless_absent("bymonth", F.array_contains("bymonth", F.month(day)))
         & unless_absent("bymonthday", _either_end(F.col("bymonthday"), F.dayofmonth(day), _month_length(day)))
-        & unless_absent("byweekday", ((F.size(plain) == 0) | on_plain) & ((F.size(nth) == 0) | on_nth))
+        & unless_absent("weekdays", F.array_contains("weekdays", F.weekday(day)))
+        & unless_absent("nth_weekdays", on_nth)
     )
     if "byyearday" in filters:
         passes &= unless_absent("byyearday", _either_end(F.col("byyearday"), F.dayofyear(day), year_length))
@@ -216,8 +217,18 @@ def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
         F.col("until") >= F.col("dtstart"), F.sequence(F.lit(0).cast("bigint"), last_index)
     )
     periods = _unfold(rules, "period", indexes, rules.columns)
-    days = F.sequence(from_day, end, F.expr("interval 1 day"))
-    return periods.withColumn("days", F.filter(days, lambda d: day_passes(d, filters)))
+    days = F.filter(F.sequence(from_day, end, F.expr("interval 1 day")), lambda d: day_passes(d, filters))
+    # Without filters a period has one candidate, the start's place in it.
+    month = F.when(freq == "YEARLY", F.make_date(F.year(start) + i, F.month(start), F.lit(1))).otherwise(begin)
+    in_month = F.when(
+        F.dayofmonth(start) <= F.dayofmonth(F.last_day(month)), F.date_add(month, F.dayofmonth(start) - 1)
+    )
+    one = (
+        F.when(freq.isin("YEARLY", "MONTHLY"), in_month)
+        .when(freq == "WEEKLY", F.date_add(start, i * 7))
+        .otherwise(begin)
+    )
+    return periods.withColumn("days", F.when(F.col("simple"), F.array(one)).otherwise(days))
 
 
 def _day_level(rules: DataFrame, filters: set[str]) -> DataFrame:

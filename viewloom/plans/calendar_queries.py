@@ -36,7 +36,7 @@ def _order_rules(spark, d, with_hours=True):
     hours = F.make_dt_interval(hours=(F.col("o_custkey") % 24).cast("int")) if with_hours else F.make_dt_interval()
     start = F.col("o_orderdate") + hours
     span = _pick("o_orderpriority", {k: F.lit(v[1]) for k, v in FREQ_OF_PRIORITY.items()})
-    return views.table(spark, d, "orders").select(
+    return views.spread(views.table(spark, d, "orders")).select(
         F.col("o_orderkey").alias("rule_id"),
         _pick("o_orderpriority", {k: F.lit(v[0]) for k, v in FREQ_OF_PRIORITY.items()}).alias("freq"),
         start.alias("dtstart"),
@@ -61,7 +61,7 @@ def recur_hourly(spark, d):
     )
     segment = "c_mktsegment"
     machinery = F.col(segment) == "MACHINERY"
-    rules = views.table(spark, d, "customer").select(
+    rules = views.spread(views.table(spark, d, "customer")).select(
         F.col("c_custkey").alias("rule_id"),
         _pick(segment, {
             "BUILDING": F.lit("HOURLY"), "AUTOMOBILE": F.lit("MINUTELY"), "MACHINERY": F.lit("HOURLY"),
@@ -84,7 +84,7 @@ def recur_filters(spark, d):
     start = _days_after(F.lit("2020-01-01").cast("timestamp_ntz"), (F.col("c_custkey") % 365).cast("int"))
     segment = F.col("c_mktsegment")
     ints = lambda *values: F.array(*[F.lit(v) for v in values])
-    rules = views.table(spark, d, "customer").select(
+    rules = views.spread(views.table(spark, d, "customer")).select(
         F.col("c_custkey").alias("rule_id"),
         F.when(segment.isin("BUILDING", "AUTOMOBILE"), "MONTHLY").otherwise("YEARLY").alias("freq"),
         start.alias("dtstart"),
@@ -103,7 +103,7 @@ def recur_filters(spark, d):
 
 def recur_setpos(spark, d):
     """First and last-but-one working day of the month, three times at most."""
-    rules = views.table(spark, d, "orders").select(
+    rules = views.spread(views.table(spark, d, "orders")).select(
         F.col("o_orderkey").alias("rule_id"),
         F.lit("MONTHLY").alias("freq"),
         F.col("o_orderdate").alias("dtstart"),

@@ -147,7 +147,9 @@ def _patches(spark, d):
         F.lit('},"log":'), F.when(kind == "purchase", F.lit("0")).otherwise(F.concat(F.lit("["), k, F.lit(",-1]"))),
         F.lit("}"),
     )
-    return views.table(spark, d, "events").select("user_id", F.col("event_id").alias("seq"), doc.alias("doc"))
+    return views.spread(views.table(spark, d, "events")).select(
+        "user_id", F.col("event_id").alias("seq"), doc.alias("doc")
+    )
 
 
 def record_patch_fold(spark, d):

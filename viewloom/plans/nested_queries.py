@@ -22,7 +22,7 @@ def _lines(spark, d):
             F.length(line).cast("bigint").alias("n"),
         ),
     )
-    return views.table(spark, d, "documents").select("doc_id", "lang", "source", lines.alias("lines"))
+    return views.spread(views.table(spark, d, "documents")).select("doc_id", "lang", "source", lines.alias("lines"))
 
 
 def _digest(strings):

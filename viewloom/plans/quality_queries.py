@@ -41,7 +41,7 @@ def _messy_urls(spark, d):
         .when(kind == 2, F.concat(at(1), F.lit("://User%3a@"), at(2), F.lit(":0080"), at(3), F.lit("/a b%7e"), at(4)))
         .otherwise(F.concat(at(1), F.lit("://"), at(2), F.lit(":70000"), at(3)))
     )
-    return views.table(spark, d, "pages").select("page_id", "url", spoiled.alias("messy"))
+    return views.spread(views.table(spark, d, "pages")).select("page_id", "url", spoiled.alias("messy"))
 
 
 def url_canonical(spark, d):
@@ -49,12 +49,12 @@ def url_canonical(spark, d):
 
 
 def url_parts(spark, d):
-    parsed = views.table(spark, d, "pages").select("page_id", urls.parse_url(F.col("url")).alias("u"))
+    parsed = views.spread(views.table(spark, d, "pages")).select("page_id", urls.parse_url(F.col("url")).alias("u"))
     return parsed.select("page_id", "u.scheme", "u.auth", "u.host", "u.port", "u.path", "u.query", "u.fragment")
 
 
 def url_host_rollup(spark, d):
-    return urls.host_rollup(views.table(spark, d, "pages").select("url"), "url")
+    return urls.host_rollup(views.spread(views.table(spark, d, "pages")).select("url"), "url")
 
 
 ORDER_SHAPE = Structure(
@@ -88,7 +88,7 @@ def _order_records(spark, d):
         F.when(status == "F", F.lit("2")).otherwise(F.lit('"2"')), F.lit("}"),
         F.when(prio == "5-LOW", F.lit(',"note":1')).otherwise(F.lit("")), F.lit("}"),
     )
-    return views.table(spark, d, "orders").select("o_orderkey", F.parse_json(text).alias("record"))
+    return views.spread(views.table(spark, d, "orders")).select("o_orderkey", F.parse_json(text).alias("record"))
 
 
 def dq_violations(spark, d):
@@ -124,7 +124,7 @@ def _items(spark, d):
         F.lit('"},"none":{"NULL":true},"tags":{"SS":["a","'), F.col("o_orderpriority"), F.lit('","a"]},'),
         F.lit('"more":{"M":{"list":{"L":[{"N":"'), F.col("o_custkey").cast("string"), F.lit('"},{"S":"x"},{"NS":["1","1"]}]}}}}'),
     )
-    return views.table(spark, d, "orders").select("o_orderkey", F.parse_json(text).alias("item"))
+    return views.spread(views.table(spark, d, "orders")).select("o_orderkey", F.parse_json(text).alias("item"))
 
 
 def tagged_flatten(spark, d):

@@ -14,7 +14,7 @@ def date_relative(spark, d):
     """Shifts of the order date by amounts from the order itself."""
     ts = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("o_custkey") % 24).cast("int"))
     n = (F.col("o_custkey") % 37).cast("int")
-    return views.table(spark, d, "orders").withColumn("ts", ts).select(
+    return views.spread(views.table(spark, d, "orders")).withColumn("ts", ts).select(
         "o_orderkey",
         m.shift(F.col("ts"), months=n).alias("plus_months"),
         m.shift(F.col("ts"), years=-1, days=n).alias("year_back"),
@@ -74,7 +74,7 @@ def _raw_times(spark, d):
         .when(F.col("value") < 10, F.lit("2024-02-30T00:00:00Z"))
         .otherwise(F.concat(F.lit("at "), second))
     )
-    return views.table(spark, d, "events").select("event_id", raw.alias("raw"))
+    return views.spread(views.table(spark, d, "events")).select("event_id", raw.alias("raw"))
 
 
 def ts_mixed_parse(spark, d):
