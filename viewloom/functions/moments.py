@@ -115,23 +115,30 @@ def shift(
 def difference(later: Column, earlier: Column) -> Column:
     """``later - earlier`` in whole years, months, days, hours, minutes, seconds and
     microseconds, all of one sign."""
-    rough = (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
-    reached = shift_months(earlier, rough)
-    step = F.when((later >= earlier) & (later < reached), -1).when((later < earlier) & (later > reached), 1)
-    total = rough + F.coalesce(step, F.lit(0))
-    rest = later - shift_months(earlier, total)
-    part = lambda name: F.extract(F.lit(name), rest)
-    seconds = part("SECOND")
-    fields = {
-        "years": F.call_function("div", total, F.lit(12)),
-        "months": total % 12,
-        "days": part("DAY"),
-        "hours": part("HOUR"),
-        "minutes": part("MINUTE"),
-        "seconds": seconds.cast("bigint"),
-        "microseconds": (seconds % 1) * 1_000_000,
-    }
-    return F.struct(*[v.cast("bigint").alias(k) for k, v in fields.items()])
+
+    def split(total: Column, rest: Column) -> Column:
+        part = lambda name: F.extract(F.lit(name), rest)
+        seconds = part("SECOND")
+        fields = {
+            "years": F.call_function("div", total, F.lit(12)),
+            "months": total % 12,
+            "days": part("DAY"),
+            "hours": part("HOUR"),
+            "minutes": part("MINUTE"),
+            "seconds": seconds.cast("bigint"),
+            "microseconds": (seconds % 1) * 1_000_000,
+        }
+        return F.struct(*[v.cast("bigint").alias(k) for k, v in fields.items()])
+
+    def whole_months(rough: Column) -> Column:
+        step = lambda reached: F.when((later >= earlier) & (later < reached), -1).when(
+            (later < earlier) & (later > reached), 1
+        )
+        return rough + F.coalesce(let(shift_months(earlier, rough), step), F.lit(0))
+
+    months = (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+    total = let(months, whole_months)
+    return let(total, lambda n: let(later - shift_months(earlier, n), lambda rest: split(n, rest)))
 
 
 # --- zones ----------------------------------------------------------------

@@ -26,12 +26,13 @@ def date_relative(spark, d):
 
 def date_difference(spark, d):
     orders = views.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    lines = views.table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity")
+    lines = views.spread(views.table(spark, d, "lineitem").select("l_orderkey", "l_shipdate", "l_quantity"))
     shipped = F.col("l_shipdate") + F.make_dt_interval(mins=(F.col("l_quantity") * 7).cast("int"))
-    gap = m.difference(shipped, F.col("o_orderdate"))
+    lines = lines.select("l_orderkey", shipped.alias("shipped"))
+    gap = m.difference(F.col("shipped"), F.col("o_orderdate"))
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("l_orderkey", "o_orderdate", shipped.alias("shipped"), gap.alias("gap"))
+        .select("l_orderkey", "o_orderdate", "shipped", gap.alias("gap"))
         .select("l_orderkey", "o_orderdate", "shipped", "gap.years", "gap.months", "gap.days", "gap.hours", "gap.minutes")
     )
 
@@ -40,7 +41,7 @@ def tz_normalize(spark, d):
     """Shipments as wall times at night, when clocks change, in five zones."""
     wall = F.col("l_shipdate") + F.make_dt_interval(mins=F.lit(150))
     zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (F.col("l_suppkey") % 5 + 1).cast("int"))
-    df = views.table(spark, d, "lineitem").select(
+    df = views.spread(views.table(spark, d, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", wall.alias("wall"), zone.alias("zone")
     )
     at, z = F.col("wall"), F.col("zone")
