@@ -53,7 +53,7 @@ def learn_letters(documents: DataFrame, text: str, language: str, size: int = SM
     Documents shrink to their distinct letters before the shuffle.
     """
     counted = documents.select(
-        F.col(language).alias("language"), F.explode(letter_counts(letters_only(F.col(text)))).alias("c")
+        F.col(language).alias("language"), F.explode_outer(letter_counts(letters_only(F.col(text)))).alias("c")
     ).filter(F.col("c.letter") != "")
     totals = counted.groupBy("language", F.col("c.letter").alias("letter")).agg(F.sum("c.n").alias("n"))
     order = Window.partitionBy("language").orderBy(F.desc("n"), "letter")
@@ -107,8 +107,8 @@ def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str])
     others.append(F.regexp_replace("_letters", f"[{rest}]+", ""))
     layers = F.when(exotic, F.array(*others)).otherwise(F.array("_letters"))
     layered = staged.select(
-        *keep, F.explode(F.filter(layers, lambda s: F.length(s) > MIN_LETTERS)).alias("_layer")
-    ).withColumn("_found", by_frequency(F.col("_layer")))
+        *keep, F.explode_outer(F.filter(layers, lambda s: F.length(s) > MIN_LETTERS)).alias("_layer")
+    ).filter(F.col("_layer").isNotNull()).withColumn("_found", by_frequency(F.col("_layer")))
     accented = F.col("_layer").rlike(accented_class())
 
     def scored(name: str, letters: list[str]) -> Column:
@@ -121,7 +121,7 @@ def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str])
 
     scores = F.array(*[scored(n, ls) for n, ls in languages.items()])
     return (
-        layered.select(*keep, F.explode(scores).alias("s"))
+        layered.select(*keep, F.explode_outer(scores).alias("s"))
         .filter(F.col("s.score") >= THRESHOLD)
         .select(*keep, "s.language", F.round("s.score", 4).alias("score"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.operators.ordered import running_sum
+from viewloom.session import cut_lineage
 
 # Pages of one request that one task orders at a time.
 PAGES_PER_BLOCK = 1 << 16
@@ -220,7 +221,11 @@ def patch_nodes(patches: DataFrame, key: list[str], seq: str, doc: str, depth: i
             f"_level{number}", F.flatten(F.transform(objects, lambda n: children(n["path"], n["value"])))
         )
         levels.append(f"_level{number}")
-    nodes = df.select(*key, seq, F.explode(F.concat(*levels)).alias("node"))
+    # The outer form keeps the optimizer from unfolding the documents a second time
+    # for a size check.
+    nodes = df.select(*key, seq, F.explode_outer(F.concat(*levels)).alias("node")).filter(
+        F.col("node").isNotNull()
+    )
     value = F.col("node.value")
     return nodes.select(
         *key,
@@ -243,10 +248,14 @@ def fold_patches(
     depth = object_depth(patches, doc) if depth is None else depth
     nodes = patch_nodes(patches, key, seq, doc, depth)
     scalar_seq = F.when(~F.col("is_object"), F.col(seq))
-    folded = nodes.groupBy(*key, "path").agg(
-        F.max(scalar_seq).alias("_scalar"),
-        F.max(F.when(F.col("is_object"), F.col(seq))).alias("_object"),
-        F.max_by("value", scalar_seq).alias("value"),
+    # Read five times below with different columns, so it is written once: one row
+    # per distinct path of a record.
+    folded = cut_lineage(
+        nodes.groupBy(*key, "path").agg(
+            F.max(scalar_seq).alias("_scalar"),
+            F.max(F.when(F.col("is_object"), F.col(seq))).alias("_object"),
+            F.max_by("value", scalar_seq).alias("value"),
+        )
     )
     steps = F.split("path", "/")
     above = F.transform(

@@ -153,7 +153,9 @@ def _inside(fields: Column, shape, path: Column) -> Column:
 def violation_rows(df: DataFrame, record: str, shape, keep: list[str]) -> DataFrame:
     """One row per violation."""
     found = violations(F.col(record), shape)
-    return df.select(*keep, F.explode(found).alias("v")).select(*keep, "v.path", "v.reason", "v.detail")
+    # The outer form keeps the optimizer from validating twice for a size check.
+    rows = df.select(*keep, F.explode_outer(found).alias("v")).filter(F.col("v").isNotNull())
+    return rows.select(*keep, "v.path", "v.reason", "v.detail")
 
 
 def violation_report(rows: DataFrame) -> DataFrame:

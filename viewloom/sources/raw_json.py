@@ -63,7 +63,9 @@ def parse_documents(df: DataFrame, document: str = "document") -> DataFrame:
 def explode_records(parsed: DataFrame) -> DataFrame:
     """One row per record with its position in the document."""
     others = [c for c in parsed.columns if c != "records"]
-    return parsed.select(*others, F.posexplode("records").alias("record_no", "record"))
+    # The outer form keeps the optimizer from parsing twice for a size check.
+    rows = parsed.select(*others, F.posexplode_outer("records").alias("record_no", "record"))
+    return rows.filter(F.col("record_no").isNotNull())
 
 
 def json_line(record: str = "record") -> Column:
