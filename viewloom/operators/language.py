@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from viewloom.functions.texts import FAMILIES, LETTER, accented_class
+from viewloom.functions.texts import FAMILIES, accented_class
 
 # Letters a layer needs, lowest score that counts, letters a language
 # must share with a text, and the alphabet size from which ranks are compared loosely.
@@ -25,7 +25,8 @@ _LAYERS = [name for name in FAMILIES if name not in ("combining", "forms", "kana
 
 def letters_only(text: Column) -> Column:
     """The letters of a text in lower case."""
-    return F.regexp_replace(F.lower(text), rf"(?:(?!{LETTER})[\x00-\x{{10FFFF}}])+", "")
+    no_ascii_marks = F.regexp_replace(F.lower(text), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", "")
+    return F.regexp_replace(no_ascii_marks, r"[\x{80}-\x{10FFFF}&&[^\p{L}]]+", "")
 
 
 def letter_counts(letters: Column) -> Column:
