@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from viewloom.llm import pattern_pack, rans_files
+from viewloom.llm import pattern_pack, phrase_index, prefix_counts, rans_files, super_windows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,6 +16,41 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
+def op5_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = prefix_counts.prefix_counts(documents(spark, folder), budget=4096)
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "fits_chars")
+
+
+def op7_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrase_index.find_passages(documents(spark, folder), benchmark(spark, folder))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS s FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS words
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS s
+        FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+hit AS (SELECT doc_id, s, dw.k, item_id FROM dw JOIN win USING (k, words)),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS place FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return rans_files.token_files(documents(spark, folder))
 
@@ -23,9 +59,38 @@ def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pattern_pack.pack(documents(spark, folder))
 
 
+def op10_super_windows(spark: SparkSession, folder: str) -> DataFrame:
+    kept = super_windows.remove_repeats(documents(spark, folder))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+again AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY words ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS place FROM again),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS place FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES = {
+    "op5_prefix_counts": op5_prefix_counts,
+    "op7_phrase_index": op7_phrase_index,
     "op8_token_files": op8_token_files,
     "op9_pattern_packing": op9_pattern_packing,
+    "op10_super_windows": op10_super_windows,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_phrase_index": OP7_SQL,
+    "op10_super_windows": OP10_SQL,
+}
