@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import pattern_pack, phrase_index, prefix_counts, rans_files, super_windows
+from viewloom.llm import hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,11 +16,25 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
+def op2_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_layers.find_secrets(documents(spark, folder))
+    return found.select(
+        "doc_id",
+        *[secret_layers.count_kind("base", kind).alias(f"n_{kind}") for kind in secret_layers.KINDS],
+        F.sha2(secret_layers.joined_spans("base"), 256).alias("base_sha256"),
+        secret_layers.joined_spans("spans").alias("spans"),
+    )
+
+
 def op5_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = prefix_counts.prefix_counts(documents(spark, folder), budget=4096)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "fits_chars")
 
 
+def op6_hyper_lang(spark: SparkSession, folder: str) -> DataFrame:
+    return hyper_lang.identify(documents(spark, folder)).drop("text")
+
+
 def op7_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
     found = phrase_index.find_passages(documents(spark, folder), benchmark(spark, folder))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -83,7 +97,9 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 
 QUERIES = {
+    "op2_secret_layers": op2_secret_layers,
     "op5_prefix_counts": op5_prefix_counts,
+    "op6_hyper_lang": op6_hyper_lang,
     "op7_phrase_index": op7_phrase_index,
     "op8_token_files": op8_token_files,
     "op9_pattern_packing": op9_pattern_packing,
