@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
+from viewloom.llm import bin_sketch, hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +26,18 @@ def op2_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_bin_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    return bin_sketch.fingerprints(documents(spark, folder)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        bin_sketch.packed(F.col("bits")).alias("fingerprint"),
+        bin_sketch.packed(F.col("edited_bits")).alias("edited_fingerprint"),
+        bin_sketch.likeness(F.col("bits"), F.col("edited_bits")).alias("near_edited"),
+        bin_sketch.likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
+    )
+
+
 def op5_prefix_counts(spark: SparkSession, folder: str) -> DataFrame:
     counts = prefix_counts.prefix_counts(documents(spark, folder), budget=4096)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "fits_chars")
@@ -98,6 +110,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 QUERIES = {
     "op2_secret_layers": op2_secret_layers,
+    "op4_bin_sketch": op4_bin_sketch,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_hyper_lang": op6_hyper_lang,
     "op7_phrase_index": op7_phrase_index,
