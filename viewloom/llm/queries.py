@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bin_sketch, hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
+from viewloom.llm import bin_sketch, disclosure, hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,6 +26,16 @@ def op2_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    found = disclosure.find_personal(documents(spark, folder))
+    return found.select(
+        "doc_id",
+        *[disclosure.count_kind("base", kind).alias(f"n_{kind}") for kind in disclosure.KINDS],
+        F.sha2(disclosure.joined_spans("base"), 256).alias("base_sha256"),
+        disclosure.joined_spans("spans").alias("spans"),
+    )
+
+
 def op4_bin_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return bin_sketch.fingerprints(documents(spark, folder)).select(
         "doc_id",
@@ -110,6 +120,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 QUERIES = {
     "op2_secret_layers": op2_secret_layers,
+    "op3_disclosure": op3_disclosure,
     "op4_bin_sketch": op4_bin_sketch,
     "op5_prefix_counts": op5_prefix_counts,
     "op6_hyper_lang": op6_hyper_lang,
