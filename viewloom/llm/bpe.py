@@ -87,6 +87,13 @@ def _worded(texts: Texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return codes, distinct, np.searchsorted(starts, texts.at)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable character by which byte-level files write each byte."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 class Encoder:
     """Ids of texts by one tokenizer file, byte-level BPE or lower-case BPE with word ends."""
 
@@ -99,6 +106,8 @@ class Encoder:
             *self.tokenizer.encode_batch_fast(["a"], add_special_tokens=False)[0].ids,
             *self.tokenizer.encode_batch_fast(["b"], add_special_tokens=False)[0].ids,
         ]
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self._forget()
 
     def _forget(self) -> None:
@@ -106,9 +115,32 @@ class Encoder:
         self.ids = np.zeros(0, np.int32)
         self.at = np.zeros(1, np.int64)
 
+    def _word(self, piece: str) -> str | None:
+        """A piece that is one Latin word, in the model's own writing; None if it may be anything else.
+
+        Such a word is one token group before merging, so the model alone gives its ids.
+        """
+        space = self.spaced and piece[:1] == " "
+        word = piece[1:] if space else piece
+        if not word.isalpha() or not (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word)):
+            return None
+        word = word if self.spaced else word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return self.letters[0x20] + word if space else word
+
     def _learn(self, missing: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([b.decode() for b in missing], add_special_tokens=False)
-        lists = [e.ids for e in found]
+        lists: list[list[int]] = [[]] * len(missing)
+        others = []
+        for i, raw in enumerate(missing):
+            word = self._word(raw.decode())
+            if word is None:
+                others.append(i)
+            else:
+                lists[i] = [t.id for t in self.model.tokenize(word)]
+        found = self.tokenizer.encode_batch_fast([missing[i].decode() for i in others], add_special_tokens=False)
+        for i, e in zip(others, found):
+            lists[i] = e.ids
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
         flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
         base = len(self.at) - 1
