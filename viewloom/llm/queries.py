@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bin_sketch, disclosure, hyper_lang, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
+from viewloom.llm import bin_sketch, disclosure, hyper_lang, order_minhash, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,6 +16,10 @@ def benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/benchmark.parquet")
 
 
+def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.near_duplicates(documents(spark, folder)).withColumnRenamed("class", "class_id")
+
+
 def op2_secret_layers(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_layers.find_secrets(documents(spark, folder))
     return found.select(
@@ -119,6 +123,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_secret_layers": op2_secret_layers,
     "op3_disclosure": op3_disclosure,
     "op4_bin_sketch": op4_bin_sketch,
