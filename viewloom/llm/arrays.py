@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -140,3 +140,8 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
         for j in range(width):
             out = out * np.uint64(0x9E3779B97F4A7C15) + values[j : j + n]
     return mix(out)
+
+
+def carried_types(docs, names: Iterable[str]) -> str:
+    """The columns an operator passes through, as the front part of its result's schema."""
+    return "".join(f"`{n}` {docs.schema[n].dataType.simpleString()}, " for n in names)

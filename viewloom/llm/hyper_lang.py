@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import pieces
+from viewloom.llm.arrays import carried_types, pieces
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -28,7 +28,7 @@ REMEMBERED = 60_000
 TOGETHER = 32
 UNKNOWN = "und"
 
-PREDICTED = "doc_id long, text string, held_out boolean, lang_pred string, score double"
+PREDICTED = "held_out boolean, lang_pred string, score double"
 
 
 class Grams:
@@ -116,7 +116,7 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([vector], pa.list_(pa.float64()))], names=["lang", "vector"])
 
 
-def _label(handed):
+def _label(handed, carried: tuple[str, ...]):
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, prototypes = handed.value
         grams = Grams()
@@ -145,8 +145,8 @@ def _label(handed):
                 score[a:b] = np.where(counts.any(axis=1), cosine.max(axis=1), 0)
             labels = [names[i] if i >= 0 else UNKNOWN for i in best.tolist()]
             yield pa.RecordBatch.from_arrays(
-                [piece.column(c).combine_chunks() for c in ("doc_id", "text", "held_out")] + [pa.array(labels, pa.string()), pa.array(np.clip(score.astype(float), 0, 1))],
-                names=["doc_id", "text", "held_out", "lang_pred", "score"],
+                [piece.column(c).combine_chunks() for c in (*carried, "held_out")] + [pa.array(labels, pa.string()), pa.array(np.clip(score.astype(float), 0, 1))],
+                names=[*carried, "held_out", "lang_pred", "score"],
             )
 
     return label
@@ -173,13 +173,13 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, prototypes.astype(np.float32)
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None) -> DataFrame:
-    """Rows (doc_id, text, held_out, lang_pred, score), one per document.
+def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None, carried: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """Rows (doc_id, text, held_out, lang_pred, score), one per document; ``carried`` names other columns to keep.
 
     Null texts and texts without letters are ``und`` with score 0, as is every text if there is no
     label to learn from. Ties go to the language that sorts first. Labels are used for learning only;
-    null or repeated ids stay rows of their own; other columns are ignored.
+    null or repeated ids stay rows of their own; columns that are not carried are ignored.
     """
     handed = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _held_out().alias("held_out"))
-    return picked.mapInArrow(_label(handed), PREDICTED)
+    picked = docs.select(*carried, _held_out().alias("held_out"))
+    return picked.mapInArrow(_label(handed, carried), carried_types(docs, carried) + PREDICTED)

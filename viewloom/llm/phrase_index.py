@@ -31,7 +31,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 INDEX = (
-    "doc_key long, doc_id long, n_words long, postings array<struct<term: int, place: int>>, "
+    "doc_key long, doc_id long, mark long, n_words long, postings array<struct<term: int, place: int>>, "
     "regions array<struct<start: int, words: string>>"
 )
 
@@ -111,8 +111,8 @@ def _postings(handed, reach: int):
                 [pa.array((left[begins] - words.first[docs[begins]]).astype(np.int32)), pa.array(near, pa.string())], names=["start", "words"]
             )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key + np.arange(n)), piece.column("doc_id").combine_chunks().cast(pa.int64()), pa.array(np.diff(words.first).astype(np.int64)), pa.ListArray.from_arrays(of_posting, postings), pa.ListArray.from_arrays(of_region, regions)],
-                names=["doc_key", "doc_id", "n_words", "postings", "regions"],
+                [pa.array(key + np.arange(n)), piece.column("doc_id").combine_chunks(), piece.column("mark").combine_chunks(), pa.array(np.diff(words.first).astype(np.int64)), pa.ListArray.from_arrays(of_posting, postings), pa.ListArray.from_arrays(of_region, regions)],
+                names=["doc_key", "doc_id", "mark", "n_words", "postings", "regions"],
             )
             key += n
 
@@ -135,7 +135,7 @@ def choose(items: list[list[str]], terms: dict[str, int], lengths: dict[int, int
 def build_index(docs: DataFrame, items: list[list[str]], window: int, rarest: int, folder: str) -> list[Window]:
     """Write the index of ``docs`` for these items below ``folder`` and return the windows to look up."""
     context = docs.sparkSession.sparkContext
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    picked = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
     numbers = {w: i for i, w in enumerate(sorted({w for words in items for w in words}))}
     handed = context.broadcast({w.encode(): i for w, i in numbers.items()})
     counted = picked.select("text").mapInArrow(_lengths(handed), "term int, n long").groupBy("term").agg(F.sum("n"))
@@ -196,9 +196,9 @@ def lookup(index: DataFrame, items: list[list[str]], windows: list[Window], slac
 
 
 def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: int = 2, slack: int = 3) -> DataFrame:
-    """Rows (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near), one per document.
+    """Rows (doc_id, mark, n_words, n_hit, n_items, items_sha256, contaminated, n_near), one per document.
 
-    A hit word lies in an occurrence of some window; ``n_near`` counts the items of which a window's
+    ``mark`` is a hash of the text. A hit word lies in an occurrence of some window; ``n_near`` counts the items of which a window's
     rare terms stand up to ``slack`` words off their distance without an exact window. Null text has
     no words, items without words are ignored, equal item ids count once, null ids and repeated ids
     of documents stay rows of their own, and either table may be empty.
@@ -215,7 +215,7 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: i
         words = [list(r["words"]) for r in rows]
         windows = build_index(docs, words, window, rarest, folder)
         index = spark.read.parquet(folder)
-        table = index.select("doc_key", "doc_id", "n_words") if table is None else table
+        table = index.select("doc_key", "doc_id", "mark", "n_words") if table is None else table
         if windows:
             names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)], "item int, item_id string")
             near.append(lookup(index, words, windows, slack).join(names, "item").drop("item"))
@@ -236,6 +236,7 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: i
     found = F.coalesce("items", none)
     return table.join(per_doc, "doc_key", "left").select(
         "doc_id",
+        "mark",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(found).cast("long").alias("n_items"),
@@ -243,3 +244,10 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: i
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.size(F.array_except(F.coalesce("all_items", none), found)).cast("long").alias("n_near"),
     )
+
+
+def without_passages(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
+    """The documents in which no window of the test items occurs; all columns stay."""
+    found = find_passages(docs, items, **how).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_mark"))
+    return docs.join(found, same, "left_anti")

@@ -17,12 +17,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import pieces, runs, texts_of
+from viewloom.llm.arrays import carried_types, pieces, runs, texts_of
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -45,8 +46,8 @@ _TRIGGER = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
-SCHEMA = (
-    "doc_id long, text string, base array<struct<kind: string, start: int, stop: int>>, "
+FOUND = (
+    "base array<struct<kind: string, start: int, stop: int>>, "
     "spans array<struct<kind: string, start: int, stop: int>>, n_layers int, n_oversized int"
 )
 
@@ -219,7 +220,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     return ranked(base), ranked(found), layers, oversized
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = ("doc_id", "text")) -> Iterator[pa.RecordBatch]:
     shape = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
     for piece in pieces(batches):
         column = piece.column("text").combine_chunks()
@@ -233,20 +234,21 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, spans, layers, oversized = zip(*rows)
         as_rows = lambda lists: pa.array([[dict(zip(("kind", "start", "stop"), s)) for s in x] for x in lists], shape)
         yield pa.RecordBatch.from_arrays(
-            [piece.column("doc_id").combine_chunks(), column, as_rows(base), as_rows(spans), pa.array(layers, pa.int32()), pa.array(oversized, pa.int32())],
-            names=["doc_id", "text", "base", "spans", "n_layers", "n_oversized"],
+            [*(piece.column(c).combine_chunks() for c in carried), as_rows(base), as_rows(spans), pa.array(layers, pa.int32()), pa.array(oversized, pa.int32())],
+            names=[*carried, "base", "spans", "n_layers", "n_oversized"],
         )
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, text, base, spans, n_layers, n_oversized), one per document.
+def find_secrets(docs: DataFrame, carried: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """Rows (doc_id, text, base, spans, n_layers, n_oversized), one per document; ``carried`` names other
+    columns to keep, among them the text.
 
     ``base`` are the secrets of the text itself, ``spans`` also those of its layers, as (kind, start,
     stop) in code points. Null text counts as empty; null or repeated ids stay rows of their own;
-    other columns are ignored. Nothing is shuffled; a worker holds one piece of the scan at a time.
+    columns that are not carried are ignored. Nothing is shuffled; a worker holds one piece of the
+    scan at a time.
     """
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return picked.mapInArrow(_scan, SCHEMA)
+    return docs.select(*carried).mapInArrow(lambda batches: _scan(batches, carried), carried_types(docs, carried) + FOUND)
 
 
 def joined_spans(spans: Column) -> Column:
@@ -269,20 +271,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def mask(found: DataFrame, by: str = "[secret]") -> DataFrame:
-    """Rows (doc_id, text) of ``find_secrets`` with every span replaced, overlapping spans once."""
-    from pyspark.sql import types as T
+def _replaced(texts: pd.Series, lists: pd.Series, by: pd.Series) -> pd.Series:
+    out = []
+    for text, spans, mark in zip(texts, lists, by):
+        if text is not None and len(spans):
+            for a, b in reversed(merged([(s["start"], s["stop"]) for s in spans])):
+                text = text[:a] + mark + text[b:]
+        out.append(text)
+    return pd.Series(out, dtype=object)
 
-    @F.pandas_udf(T.StringType())
-    def replaced(texts, lists):
-        import pandas as pd
 
-        out = []
-        for text, spans in zip(texts, lists):
-            if text is not None and len(spans):
-                for a, b in reversed(merged([(s["start"], s["stop"]) for s in spans])):
-                    text = text[:a] + by + text[b:]
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
-    return found.select("doc_id", replaced("text", "spans").alias("text"))
+def masked(text: Column, spans: Column, by: str = "[secret]") -> Column:
+    """The text with every span replaced, overlapping spans once."""
+    return F.pandas_udf(_replaced, "string")(text, spans, F.lit(by))
