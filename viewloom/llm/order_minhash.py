@@ -20,7 +20,7 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.llm.arrays import SPACES, Texts, mix, owner, pieces, texts_of, words_of
@@ -248,17 +248,17 @@ def _first_of(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with ``key``, equal for equal texts, and ``node``, the id; null ids get one from the
-    text, below all others."""
+def _key_and_node() -> tuple[Column, Column]:
+    """A key that equal texts share, and the id; null ids get one from the text, below all others."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     unnamed = F.lit(NAMED) - 1 - F.pmod(F.xxhash64(F.md5(text)), F.lit(1 << 61))
-    return docs.withColumns({"key": F.md5(text), "node": F.coalesce(F.col("doc_id").cast("long"), unnamed)})
+    return F.md5(text), F.coalesce(F.col("doc_id").cast("long"), unnamed)
 
 
 def classes_of(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """Rows (node, key, class), one per document; see ``near_duplicates``."""
-    base = _keyed(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
+    key, node = _key_and_node()
+    base = docs.select(node.alias("node"), key.alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sketched = base.select("key", "node", "text").mapInArrow(_sketch, "key string, node long, sketch array<long>, n_kmers long")
     nodes = sketched.groupBy("key").agg(F.min("node").alias("node"), F.first("sketch").alias("sketch"), F.first("n_kmers").alias("n_kmers"))
     nodes = _saved(nodes, "nodes")
@@ -312,9 +312,10 @@ def keep_first(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """The documents with one of each class kept, the one with the smallest doc_id; all columns stay."""
     found = classes_of(docs, least)
     first = found.groupBy("class").agg(F.min(F.struct((F.col("node") < NAMED).alias("unnamed"), "node", "key")).alias("f"))
-    first = first.select("f.node", "f.key").distinct()
-    columns = [c for c in docs.columns if c not in ("node", "key")]
-    return _keyed(docs.select(*columns)).join(first, ["node", "key"]).dropDuplicates(["node", "key"]).select(*columns)
+    first = first.select(F.col("f.node").alias("_node"), F.col("f.key").alias("_key")).distinct()
+    key, node = _key_and_node()
+    keyed = docs.withColumns({"_key": key, "_node": node})
+    return keyed.join(first, ["_node", "_key"]).dropDuplicates(["_node", "_key"]).select(*docs.columns)
 
 
 def _second(members: DataFrame) -> DataFrame:
