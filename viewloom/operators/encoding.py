@@ -26,7 +26,16 @@ MARKS = {
 }
 # A declaration counts in the head of a file only, as in markup standards.
 DECLARATION_ZONE = 8192
-DECLARATION = r"(?i)(?:encoding|charset|coding)[:= ]{1,10}[\"']?([a-zA-Z0-9\-_]+)"
+# Where a file may name its charset: the XML declaration, an HTML meta element, the first rule of a
+# style sheet, a MIME parameter, and the coding comment in the first two lines of a source file.
+_NAME = r"([A-Za-z0-9][A-Za-z0-9._:\-]*)"
+DECLARATIONS = [
+    rf"""^\s*<\?xml\s[^>]*?\bencoding\s*=\s*["']{_NAME}["']""",
+    rf"""(?i)<meta\s[^>]*?\bcharset\s*=\s*["']?\s*{_NAME}""",
+    rf"""^@charset\s+"{_NAME}";""",
+    rf"""(?i);\s*charset\s*=\s*"?{_NAME}""",
+    rf"""^(?:[^\n]*\n)?[ \t\f]*(?:#|//|/\*|--|%|;|")[^\n]*?coding[:=][ \t]*{_NAME}""",
+]
 NOISE_LIMIT = 0.2
 
 # Code pages tried when bytes are neither marked nor UTF-8, in order of preference.
@@ -54,8 +63,9 @@ def byte_order_mark(content: Column) -> Column:
 def declared_charset(content: Column) -> Column:
     """A charset named in the head of the file, lower case with underscores."""
     head = F.decode(F.substring(content, 1, DECLARATION_ZONE), "ISO-8859-1")
-    name = F.regexp_extract(F.regexp_replace(head, r"[^\x00-\x7F]+", ""), DECLARATION, 1)
-    return F.nullif(F.lower(F.replace(name, F.lit("-"), F.lit("_"))), F.lit(""))
+    plain = F.regexp_replace(head, r"[^\x00-\x7F]+", "")
+    names = [F.nullif(F.regexp_extract(plain, pattern, 1), F.lit("")) for pattern in DECLARATIONS]
+    return F.lower(F.replace(F.coalesce(*names), F.lit("-"), F.lit("_")))
 
 
 def is_ascii(content: Column) -> Column:
