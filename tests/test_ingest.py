@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from viewloom.operators import flatten, incremental
+from viewloom.plans import jobs
 from viewloom.sources import catalog, raw_json, sinks, state
 from viewloom.streaming import convert
 
@@ -44,12 +45,58 @@ def test_documents_become_lines(spark, landing):
     ]
 
 
-def test_long_lists_split_as_text(spark, monkeypatch):
-    df = spark.createDataFrame([('[{"b":{"x":null},"a":1},2]',)], "document string")
-    short = rows(raw_json.explode_records(raw_json.parse_documents(df)).select(raw_json.json_line()))
-    monkeypatch.setattr(raw_json, "LONGEST_VARIANT", 3)
-    long = rows(raw_json.explode_records(raw_json.parse_documents(df)).select(raw_json.json_line()))
-    assert short == long == [("2",), ('{"a":1,"b":{"x":null}}',)]
+def test_lists_of_any_size_keep_types(spark):
+    long = "[" + ",".join(['"12"', '"abc"', "null", "7", '{"a":[1,"x"]}'] * 20_000) + "]"
+    df = spark.createDataFrame([('["abc","12",null,12,1.5,true,{"b":{"x":null},"a":1},[null]]',), (long,), ("[NaN]",), ("['a']",), ("",), (" [1,",)], "document string")
+    parsed = raw_json.parse_documents(df)
+    lines = raw_json.explode_records(parsed).select("record_no", raw_json.json_line().alias("line"))
+    got = [r.line for r in lines.orderBy("record_no").collect()]
+    short = ['"abc"', '"12"', "null", "12", "1.5", "true", '{"a":1,"b":{"x":null}}', "[null]"]
+    assert len(got) == 100_008 and set(short) <= set(got)
+    assert parsed.filter(raw_json.is_broken()).count() == 4
+
+
+def test_empty_files_are_quarantined(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "none.json").write_bytes(b"")
+    (tmp_path / "raw" / "one.JSON").write_text('{"a":1}')
+    counts = raw_json.backfill(raw_json.read_documents(spark, str(tmp_path / "raw")), str(tmp_path / "out"))
+    assert counts == {"files": 2, "quarantined": 1, "records": 1}
+
+
+def test_line_files_keep_names_and_other_runs(spark, tmp_path):
+    out = str(tmp_path / "out")
+    first = spark.createDataFrame([("/z/raw/a/x.json", "[1,2]"), ("/z/raw/a/y.json", "{")], "source_path string, document string")
+    assert raw_json.write_line_files(first, out) == {"files": 2, "quarantined": 1}
+    again = spark.createDataFrame([("/z/raw/b/x.json", '{"k":null}')], "source_path string, document string")
+    raw_json.write_line_files(again, out)
+    found = [(r.file, r.value) for r in spark.read.text(out).collect() if r.file != "quarantine"]
+    assert sorted(found) == [("processed/a/x.jsonl", "1"), ("processed/a/x.jsonl", "2"), ("processed/b/x.jsonl", '{"k":null}')]
+
+
+def test_null_times_are_oldest(spark):
+    rows_ = [("a", i, datetime(2024, 1, 1, i) if i < 3 else None) for i in range(5)]
+    df = spark.createDataFrame(rows_, "feed string, id int, ts timestamp")
+    assert incremental.full_load(df, ["feed"], "ts", ["id"], cap=5_000).count() == 5
+    assert sorted(r.id for r in incremental.full_load(df, ["feed"], "ts", ["id"], cap=4).collect()) == [0, 1, 2, 3]
+    assert sorted(r.id for r in incremental.full_load(df, ["feed"], "ts", ["id"], cap=2).collect()) == [1, 2]
+
+
+def test_incremental_pull_job(spark, tmp_path):
+    landing, marks = str(tmp_path / "landing"), str(tmp_path / "marks")
+    df = spark.createDataFrame([("a", 1, datetime(2024, 1, 1)), ("a", 2, datetime(2024, 1, 2)), ("a", 3, None)], "feed string, id int, ts timestamp")
+    run = lambda rows_, day, **more: jobs.incremental_pull(rows_, ["feed"], "ts", ["id"], landing, marks, datetime(2024, 2, day), **more)
+    assert run(df, 1) == 3
+    assert run(df, 2) == 0  # nothing newer
+    assert state.load_watermark(spark, marks) == datetime(2024, 1, 2)
+    broken = df.withColumn("id", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        run(broken.withColumn("ts", F.lit(datetime(2025, 1, 1))), 3)
+    assert state.load_watermark(spark, marks) == datetime(2024, 1, 2)  # a failed write moves nothing
+    newer = df.unionByName(spark.createDataFrame([("a", 4, datetime(2024, 1, 3))], df.schema))
+    assert run(newer, 3) == 1
+    assert state.load_watermark(spark, marks) == datetime(2024, 1, 3)
+    assert spark.read.json(landing).count() == 4
 
 
 def test_backfill_isolates_broken_files(spark, landing, tmp_path):

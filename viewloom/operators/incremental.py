@@ -44,11 +44,17 @@ def full_load(
 
 
 def pull(
-    df: DataFrame, feed: list[str], ts: str, tie: list[str], watermark: datetime | None
+    df: DataFrame,
+    feed: list[str],
+    ts: str,
+    tie: list[str],
+    watermark: datetime | None,
+    cap: int | None = PAGE_SIZE * FULL_LOAD_PAGES,
 ) -> DataFrame:
-    """An incremental pull with a watermark, a capped full load without one."""
+    """An incremental pull with a watermark; without one the newest ``cap`` records
+    of each feed, or all of them if ``cap`` is ``None``."""
     if watermark is None:
-        return full_load(df, feed, ts, tie)
+        return df if cap is None else full_load(df, feed, ts, tie, cap)
     return newer_than(df, ts, watermark)
 
 

@@ -56,7 +56,8 @@ def newest_per_group(
     limit: int,
     salts: int = 64,
 ) -> DataFrame:
-    """The ``limit`` newest rows of each group (ties by ``tie``, ascending).
+    """The ``limit`` newest rows of each group (ties by ``tie``, ascending). Rows
+    without a time are the oldest.
 
     Three exact steps: an hourly count per group gives the hour that holds the
     last wanted row, older rows are dropped before anything is shuffled whole,
@@ -72,10 +73,10 @@ def newest_per_group(
         .withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0)))
         .filter(F.col("_before") < limit)
         .groupBy(*keys)
-        .agg(F.min("_hour").alias("_from"))
+        .agg(F.min("_hour").alias("_from"), F.bool_or(F.col("_hour").isNull()).alias("_all"))
     )
     same_key = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    condition = F.col(f"a.{ts}") >= F.col("b._from")
+    condition = F.col("b._all") | (F.col(f"a.{ts}") >= F.col("b._from"))
     for part in same_key:
         condition = part & condition
     kept = df.alias("a").join(cutoff.alias("b"), condition, "left_semi")
@@ -99,5 +100,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     row by row.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.max(F.struct(*order, *rest)).alias("_last")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_last.*").select(*df.columns)
+    plain = [c for c in rest if not _has(df.schema[c].dataType, ("map", "variant"))]
+    if len(plain) == len(rest):
+        last = F.max(F.struct(*order, *rest)).alias("_last")
+    else:  # maps and variants have no order; such columns only follow the others
+        last = F.max_by(F.struct(*order, *rest), F.struct(*order, *plain)).alias("_last")
+    return df.groupBy(*keys).agg(last).select(*keys, "_last.*").select(*df.columns)
+
+
+def _has(kind, names: tuple[str, ...]) -> bool:
+    return any(name in kind.simpleString() for name in names)

@@ -65,9 +65,9 @@ def with_channel(
 ) -> DataFrame:
     """Label each media with its channel; unlisted media get ``default``."""
     if isinstance(channels, DataFrame):
-        return df.join(channels.select("media_id", "channel"), "media_id", "left").fillna(
-            default, ["channel"]
-        )
+        # A media listed twice has the label that sorts first, and stays one row.
+        labels = channels.groupBy("media_id").agg(F.min("channel").alias("channel"))
+        return df.join(labels, "media_id", "left").fillna(default, ["channel"])
     label: Column | None = None
     for media_id, name in (channels or {}).items():
         hit = F.col("media_id") == F.lit(media_id)
@@ -85,10 +85,11 @@ def total_watch_time(percent: str = "watched_percent", duration: str = "duration
 
 
 def latest_media(media_show: DataFrame) -> DataFrame:
+    """One row per media: the newest snapshot, then the newest creation, then the
+    largest of the other columns."""
     key = "hashed_id" if "hashed_id" in media_show.columns else "media_id"
-    if "snapshot_date" not in media_show.columns:
-        return media_show.dropDuplicates()
-    return latest_per_key(media_show, [key], ["snapshot_date"])
+    order = [c for c in ("snapshot_date", "created", "created_at") if c in media_show.columns]
+    return latest_per_key(media_show, [key], order)
 
 
 def latest_visitors(visitor_stats: DataFrame) -> DataFrame:

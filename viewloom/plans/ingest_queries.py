@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewloom.operators import flatten, incremental
 from viewloom.plans import jobs, views
+from viewloom.plans.star_queries import SQL as STAR_SQL
 from viewloom.plans.views import EVENT_STATS, MEDIA_SHOW
 from viewloom.session import scratch_path
-from viewloom.sources import raw_json
+from viewloom.sources import catalog, raw_json, sinks
+from viewloom.streaming import convert
 
 WATERMARK = "2024-01-15 12:00:00"
 
@@ -23,7 +27,7 @@ def _documents(spark, d):
     kind = F.col("event_type")
     obj = F.concat(F.lit('{"id":'), event_id, F.lit(',"k":'), k, F.lit("}"))
     listed = F.concat(
-        F.lit('[{"id":'), event_id, F.lit(',"k":'), k, F.lit(',"n":null},'), obj, F.lit("]")
+        F.lit('[{"id":'), event_id, F.lit(',"k":'), k, F.lit(',"n":null},'), obj, F.lit(',"12","abc",null]')
     )
     document = (
         F.when(kind == "view", listed)
@@ -33,6 +37,8 @@ def _documents(spark, d):
         .otherwise(k)
     )
     return views.spread(views.table(spark, d, "events")).select(
+        "event_id",
+        kind.alias("kind"),
         F.concat(F.lit("/zone/raw/"), kind, F.lit("/"), event_id, F.lit(".part.json")).alias("source_path"),
         document.alias("document"),
     )
@@ -45,8 +51,11 @@ def raw_json_records(spark, d):
         F.col("record_no").cast("bigint").alias("record_no"),
         F.try_variant_get("record", "$.id", "bigint").alias("id"),
         F.coalesce(
-            F.try_variant_get("record", "$.k", "bigint"), F.try_variant_get("record", "$", "bigint")
+            F.try_variant_get("record", "$.k", "bigint"),
+            F.when(F.schema_of_variant("record") == "BIGINT", F.try_variant_get("record", "$", "bigint")),
         ).alias("k"),
+        F.when(F.schema_of_variant("record") == "STRING", F.try_variant_get("record", "$", "string")).alias("text"),
+        F.is_variant_null("record").alias("nothing"),
     )
 
 
@@ -148,6 +157,97 @@ def media_snapshot(spark, d):
     return spark.read.parquet(path)
 
 
+def incremental_pull_job(spark, d):
+    """Two runs into the shared folder, the second over a grown source; what both landed."""
+    landing, marks = scratch_path(spark, "landing"), scratch_path(spark, "marks")
+    events = views.event_stats(spark, d).withColumn("received_at", F.col("received_at").cast("timestamp"))
+    early = events.filter(F.col("received_at") <= F.lit(WATERMARK).cast("timestamp"))
+    tie = ["media_id", "visitor_key", "percent_viewed"]
+    first = jobs.incremental_pull(early, [], "received_at", tie, landing, marks, datetime(2024, 1, 16), cap=None)
+    jobs.incremental_pull(events, [], "received_at", tie, landing, marks, datetime(2024, 1, 17))
+    landed = spark.read.schema("media_id bigint, visitor_key bigint, received_at timestamp, run string").json(landing)
+    return landed.select(
+        "media_id", "visitor_key", F.col("received_at").cast("timestamp_ntz").alias("received_at"),
+        F.when(F.col("run") == "20240116T000000", 1).otherwise(2).cast("bigint").alias("run"), F.lit(first).cast("bigint").alias("first"),
+    )
+
+
+def convert_stream(spark, d):
+    """Raw files appear in two steps; each step converts the new ones only."""
+    zone = scratch_path(spark, "zone")
+    events = views.table(spark, d, "events")
+    for step, kind in enumerate(("view", "click")):
+        body = F.to_json(F.struct(F.col("event_id").alias("id"), F.get_json_object("props", "$.k").cast("bigint").alias("k")))
+        lists = events.filter(F.col("event_type") == kind).groupBy((F.col("event_id") % 8).alias("part"))
+        files = lists.agg(F.concat(F.lit("["), F.array_join(F.collect_list(body), ","), F.lit("]")).alias("value"))
+        files.select("value", "part").write.mode("append").partitionBy("part").option("compression", "none").text(f"{zone}/text{step}")
+        _as_json_files(spark, f"{zone}/text{step}", f"{zone}/raw/{kind}")
+        convert.convert_new_files(spark, f"{zone}/raw", f"{zone}/processed", f"{zone}/seen").awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{zone}/processed")
+    parsed = lines.select(F.from_json("value", "id bigint, k bigint").alias("r"))
+    return parsed.select("r.id", "r.k")
+
+
+def _as_json_files(spark, source, target):
+    """Give written part files the suffix of raw documents, by the file system's own copy."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    files = hadoop.Path(source).getFileSystem(conf)
+    listed, number = files.listFiles(hadoop.Path(source), True), 0
+    while listed.hasNext():
+        path = listed.next().getPath()
+        if path.getName().startswith("part-"):
+            hadoop.FileUtil.copy(files, path, files, hadoop.Path(f"{target}/{number}.json"), False, conf)
+            number += 1
+
+
+def flatten_stream(spark, d):
+    """An incremental table read twice: the second run sees the second half only."""
+    zone = scratch_path(spark, "stream")
+    orders = _nested_orders(spark, d)
+    for step in (0, 1):
+        orders.filter(F.col("id") % 2 == step).write.mode("append").parquet(f"{zone}/in")
+        convert.flatten_new_files(spark, f"{zone}/in", orders.schema, f"{zone}/out", f"{zone}/seen", "parquet").awaitTermination()
+    return spark.read.parquet(f"{zone}/out")
+
+
+def flatten_if_struct(spark, d):
+    """A snapshot whose input has structs, and one that is flat already."""
+    path = scratch_path(spark, "snapshot")
+    jobs.snapshot_flattened(_nested_orders(spark, d), path, date(2024, 2, 1))
+    jobs.snapshot_flattened(flatten.flatten_structs(_nested_orders(spark, d)), path, date(2024, 2, 2))
+    return spark.read.parquet(path).withColumnsRenamed(
+        {"customer.key": "customer_key", "customer.state.status": "status", "customer.state.priority": "priority"}
+    )
+
+
+def star_tables(spark, d):
+    """The whole star from the loading zone's tables, loaded twice; the rows of its three tables."""
+    zone, out = scratch_path(spark, "loading"), scratch_path(spark, "star")
+    sinks.append_parquet(views.event_stats(spark, d), f"{zone}/event_stats")
+    sinks.append_parquet(views.visitor_stats(spark, d), f"{zone}/visitor_stats")
+    sinks.truncate_load(views.media_show(spark, d), f"{zone}/media_show")
+    sinks.truncate_load(views.visitor_stats(spark, d), f"{zone}/media_stats")
+    for _ in range(2):
+        jobs.build_star(spark, zone, out)
+    counted = [
+        spark.read.parquet(f"{out}/{name}").agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"))
+        for name in ("dim_media", "dim_visitor", "fact_media_engagement")
+    ]
+    counted += [t.agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("rows")) for n, t in catalog.read_loading_zone(spark, zone).items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def jsonl_files(spark, d):
+    """Converted files that keep their names, and the lines they hold."""
+    out = scratch_path(spark, "lines")
+    documents = _documents(spark, d).withColumn(
+        "source_path", F.concat(F.lit("/zone/raw/"), F.col("kind"), F.lit("/"), (F.col("event_id") % 16).cast("string"), F.lit(".json"))
+    )
+    first = documents.groupBy("source_path").agg(F.min_by("document", "event_id").alias("document"))
+    raw_json.write_line_files(first, out)
+    return spark.read.text(out).select("file", "value")
+
+
 def _documents_with_lines(spark, d):
     return views.table(spark, d, "documents").select(
         "doc_id",
@@ -184,6 +284,12 @@ QUERIES = {
     "incremental_flatten": incremental_flatten,
     "media_snapshot": media_snapshot,
     "flatten_array_child": flatten_array_child,
+    "incremental_pull_job": incremental_pull_job,
+    "convert_stream": convert_stream,
+    "flatten_stream": flatten_stream,
+    "flatten_if_struct": flatten_if_struct,
+    "star_tables": star_tables,
+    "jsonl_files": jsonl_files,
 }
 
 _DOCS = """docs AS (
@@ -194,7 +300,7 @@ _DOCS = """docs AS (
 _LOG = f"""{_DOCS}, log AS (
   SELECT source_path, event_type AS feed,
          CASE WHEN event_type = 'error' THEN 'quarantined' ELSE 'converted' END AS status,
-         CAST(CASE event_type WHEN 'view' THEN 2 WHEN 'error' THEN 0 WHEN 'signup' THEN 0 ELSE 1 END
+         CAST(CASE event_type WHEN 'view' THEN 5 WHEN 'error' THEN 0 WHEN 'signup' THEN 0 ELSE 1 END
               AS BIGINT) AS records
   FROM docs)"""
 
@@ -204,15 +310,17 @@ _NESTED_FLAT = """SELECT o_orderkey AS id, o_custkey AS customer_key, o_ordersta
 SQL = {
     "raw_json_records": f"""WITH {_DOCS}
 SELECT source_path, CAST(n AS BIGINT) AS record_no,
-       CASE WHEN event_type IN ('view', 'click') THEN event_id END AS id, k
-FROM docs, range(2) r(n)
+       CASE WHEN event_type IN ('view', 'click') AND n < 2 THEN event_id END AS id, CASE WHEN n < 2 THEN k END AS k,
+       CASE n WHEN 2 THEN '12' WHEN 3 THEN 'abc' END AS text, n = 4 AS nothing
+FROM docs, range(5) r(n)
 WHERE event_type = 'view' OR (n = 0 AND event_type IN ('click', 'purchase'))""",
     "raw_to_jsonl": f"""WITH {_DOCS}
 SELECT source_path, '/zone/processed/' || event_type || '/' || event_id || '.part.jsonl' AS target_path,
        CASE WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR)
+            WHEN n >= 2 THEN ['"12"', '"abc"', 'null'][n - 1]
             WHEN event_type = 'view' AND n = 0 THEN '{{"id":' || event_id || ',"k":' || k || ',"n":null}}'
             ELSE '{{"id":' || event_id || ',"k":' || k || '}}' END AS line
-FROM docs, range(2) r(n)
+FROM docs, range(5) r(n)
 WHERE event_type = 'view' OR (n = 0 AND event_type IN ('click', 'purchase'))""",
     "backfill_quarantine": f"WITH {_LOG} SELECT source_path, status, records FROM log",
     "run_metrics": f"""WITH {_LOG}
@@ -235,4 +343,29 @@ UNION ALL SELECT *, DATE '2024-02-02' AS snapshot_date FROM media_show""",
     "flatten_array_child": """SELECT doc_id, lang, CAST(i - 1 AS BIGINT) AS index, md5(line) AS line_md5
 FROM (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)""",
+    "incremental_pull_job": f"""WITH {EVENT_STATS}
+SELECT media_id, visitor_key, received_at, CAST(CASE WHEN received_at <= TIMESTAMP '{WATERMARK}' THEN 1 ELSE 2 END AS BIGINT) AS run,
+       (SELECT count(*) FROM event_stats WHERE received_at <= TIMESTAMP '{WATERMARK}') AS first FROM event_stats""",
+    "convert_stream": """SELECT event_id AS id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+FROM events WHERE event_type IN ('view', 'click')""",
+    "flatten_stream": _NESTED_FLAT.format("customer_state_status", "customer_state_priority"),
+    "flatten_if_struct": f"""{_NESTED_FLAT.format("status", "priority").replace(" FROM", ", DATE '2024-02-01' AS snapshot_date FROM")}
+UNION ALL {_NESTED_FLAT.format("status", "priority").replace(" FROM", ", DATE '2024-02-02' AS snapshot_date FROM")}""",
+    "star_tables": f"""SELECT 'dim_media' AS name, count(*) AS rows FROM (SELECT DISTINCT * EXCLUDE (channel) FROM ({STAR_SQL["dim_media"]}))
+UNION ALL SELECT 'dim_visitor', count(*) FROM ({STAR_SQL["dim_visitor"]})
+UNION ALL SELECT 'fact_media_engagement', count(*) FROM ({STAR_SQL["fact_media_engagement"]})
+UNION ALL SELECT 'event_stats', count(*) FROM events
+UNION ALL SELECT 'visitor_stats', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'media_stats', count(DISTINCT o_custkey) FROM orders
+UNION ALL SELECT 'media_show', count(*) FROM part""",
+    "jsonl_files": f"""WITH {_DOCS}, one AS (
+  SELECT event_type, event_id % 16 AS file, min(event_id) AS event_id, min_by(k, event_id) AS k FROM docs GROUP BY 1, 2)
+SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'processed/' || event_type || '/' || file || '.jsonl' END AS file,
+       CASE WHEN event_type = 'error' THEN '{{"source_path":"/zone/raw/error/' || file || '.json","reason":"not a JSON document"}}'
+            WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR)
+            WHEN n >= 2 THEN ['"12"', '"abc"', 'null'][n - 1]
+            WHEN event_type = 'view' AND n = 0 THEN '{{"id":' || event_id || ',"k":' || k || ',"n":null}}'
+            ELSE '{{"id":' || event_id || ',"k":' || k || '}}' END AS value
+FROM one, range(5) r(n)
+WHERE event_type = 'view' OR (n = 0 AND event_type IN ('click', 'purchase', 'error'))""",
 }

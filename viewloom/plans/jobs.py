@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from viewloom.operators import star
 from viewloom.operators.flatten import flatten_if_nested, flatten_structs
-from viewloom.sources import sinks
+from viewloom.operators.incremental import FULL_LOAD_PAGES, PAGE_SIZE, pull
+from viewloom.sources import sinks, state
 from viewloom.sources.catalog import read_table
 
 
@@ -23,6 +25,35 @@ def snapshot_flattened(df: DataFrame, path: str, run_date: date, replace: bool =
     return sinks.write_snapshot(flatten_if_nested(df), path, run_date, replace)
 
 
+def incremental_pull(
+    records: DataFrame,
+    feed: list[str],
+    ts: str,
+    tie: list[str],
+    landing: str,
+    marks: str,
+    run: datetime,
+    cap: int | None = PAGE_SIZE * FULL_LOAD_PAGES,
+) -> int:
+    """One incremental run: load the watermark, keep what is newer (or the first
+    ``cap`` records), land it as JSON Lines in a folder of this run, and record the
+    newest time. Returns the number of landed records.
+
+    The write observes the newest time it lands, so the watermark never passes a
+    record that was not written, even if the source grows meanwhile. If the write
+    fails the watermark stays, and the next run with the same ``run`` time replaces
+    the run's folder. A run without new records lands nothing.
+    """
+    spark = records.sparkSession
+    wanted = pull(records, feed, ts, tie, state.load_watermark(spark, marks), cap)
+    seen = Observation()
+    newest = F.max(F.col(ts)).cast("timestamp").alias("newest")
+    counted = wanted.observe(seen, F.count(F.lit(1)).alias("rows"), newest)
+    counted.write.mode("overwrite").options(**sinks.JSON_LINES).json(f"{landing}/run={run:%Y%m%dT%H%M%S}")
+    state.append_watermark(spark, seen.get["newest"], marks)
+    return seen.get["rows"]
+
+
 def build_star(
     spark: SparkSession,
     source: str,

@@ -103,6 +103,31 @@ def dim_media_parity(spark, d):
     )
 
 
+def _repeated_media(spark, d):
+    """Media without snapshot days, every third size listed twice with another duration."""
+    base = views.media_show(spark, d)
+    return base.unionByName(base.filter(F.col("duration") % 3 == 0).withColumn("duration", F.col("duration") + 10))
+
+
+def _repeated_channels(spark, d):
+    channels = views.channel_map(spark, d)
+    return channels.unionByName(channels.withColumn("channel", F.lit("Vimeo"))).unionByName(channels)
+
+
+def dim_media_repeats(spark, d):
+    return star.dim_media(
+        _repeated_media(spark, d), views.event_stats(spark, d), channels=_repeated_channels(spark, d)
+    )
+
+
+def fact_repeats(spark, d):
+    """Events of nobody's interest (0 % viewed) must not double with the media rows either."""
+    events = views.event_stats(spark, d).withColumn(
+        "percent_viewed", F.when(F.col("visitor_key") % 2 == 0, 0.0).otherwise(F.col("percent_viewed"))
+    )
+    return _rounded(star.fact_media_engagement(events, _repeated_media(spark, d), views.visitor_stats(spark, d)))
+
+
 def dim_visitor(spark, d):
     return star.dim_visitor(views.visitor_stats(spark, d), views.event_stats(spark, d))
 
@@ -161,6 +186,8 @@ QUERIES = {
     "dedup_full_row": dedup_full_row,
     "dim_media": dim_media,
     "dim_media_parity": dim_media_parity,
+    "dim_media_repeats": dim_media_repeats,
+    "fact_repeats": fact_repeats,
     "dim_visitor": dim_visitor,
     "fact_media_engagement": fact_media_engagement,
     "fact_media_engagement_latest": fact_media_engagement_latest,
@@ -246,4 +273,15 @@ GROUP BY CUBE (coalesce(c.channel, 'Facebook'), CAST(f.date AS DATE))""",
     "engagement_top_visitors": f"""{_FACT_WITH}, fact AS ({_fact("media_show", "visitor_stats")})
 SELECT visitor_id, round(sum(total_watch_time), 6) AS watch_time, count(*) AS views
 FROM fact GROUP BY visitor_id ORDER BY watch_time DESC NULLS LAST, visitor_id LIMIT 10""",
+    "dim_media_repeats": f"""WITH {EVENT_STATS}, {MEDIA_SHOW}, {CHANNEL_MAP}
+SELECT DISTINCT m.hashed_id AS media_id, m.name AS title, e.media_url AS url, m.created AS created_at,
+       CASE WHEN c.channel IS NULL THEN 'Facebook' ELSE 'Vimeo' END AS channel
+FROM media_show m LEFT JOIN event_stats e ON e.media_id = m.hashed_id
+LEFT JOIN channel_map c ON c.media_id = m.hashed_id""",
+    "fact_repeats": f"""WITH {EVENT_STATS.replace("event_stats AS", "raw_events AS")}, {MEDIA_SHOW}, {VISITOR_STATS},
+event_stats AS (
+  SELECT * REPLACE (CASE WHEN visitor_key % 2 = 0 THEN 0.0 ELSE percent_viewed END AS percent_viewed) FROM raw_events),
+one_media AS (
+  SELECT * REPLACE (CASE WHEN duration % 3 = 0 THEN duration + 10 ELSE duration END AS duration) FROM media_show)"""
+    + _fact("one_media", "visitor_stats"),
 }

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 JSON_FILES = "*.[jJ][sS][oO][nN]"
 
-# A variant holds at most 128 MiB. Longer lists are split as text first.
-LONGEST_VARIANT = 100 * 1024 * 1024
+# Strict JSON: no single quotes, no NaN.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "allowUnquotedFieldNames": "false"}
 
 
 def read_documents(spark: SparkSession, prefix: str) -> DataFrame:
     """All ``.json`` files (any case) below a prefix: path, text, modification time.
 
-    Text is null when the bytes are not UTF-8, which quarantines the file.
+    Text is null when the bytes are not UTF-8, which quarantines the file. Files
+    without bytes, which Spark's readers pass over, come as empty text.
     """
     files = (
         spark.read.format("binaryFile")
@@ -26,30 +27,38 @@ def read_documents(spark: SparkSession, prefix: str) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .load(prefix)
     )
-    return files.select(
+    read = files.select(
         F.col("path").alias("source_path"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("document"),
         F.col("modificationTime").alias("modified_at"),
     )
+    return read.unionByName(empty_files(spark, prefix))
+
+
+def empty_files(spark: SparkSession, prefix: str) -> DataFrame:
+    """The ``.json`` files without bytes, by the listing of the file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(prefix)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while listed.hasNext():
+        file = listed.next()
+        if file.getLen() == 0 and file.getPath().getName().lower().endswith(".json"):
+            found.append((file.getPath().toString(), "", file.getModificationTime() / 1000))
+    rows = spark.createDataFrame(found, "source_path string, document string, at double")
+    return rows.select("source_path", "document", F.col("at").cast("timestamp").alias("modified_at"))
 
 
 def record_array(document: str) -> Column:
     """The records of one document: list elements, or the value itself.
 
-    Null when the document cannot be parsed; an empty list gives no records.
+    Null when the document cannot be parsed; an empty list gives no records. A list
+    is parsed element by element, so only a single record is bound by the size of a
+    variant, and strings, numbers and nulls keep their types.
     """
     text = F.col(document)
+    listed = F.from_json(text, "array<variant>", STRICT)
     value = F.try_parse_json(text)
-    listed = F.try_variant_get(value, "$", "array<variant>")
-    long_list = F.transform(
-        F.from_json(text, "array<string>"),
-        lambda part: F.coalesce(F.try_parse_json(part), F.parse_json(F.to_json(F.array(part)))),
-    )
-    return (
-        F.when((F.length(text) > LONGEST_VARIANT) & F.ltrim(text).startswith("["), long_list)
-        .when(listed.isNotNull(), listed)
-        .when(value.isNotNull(), F.array(value))
-    )
+    return F.when(F.rlike(text, F.lit(r"^\s*\[")), listed).when(value.isNotNull(), F.array(value))
 
 
 def is_broken(records: str = "records") -> Column:
@@ -137,3 +146,24 @@ def backfill(documents: DataFrame, out: str) -> dict:
     )
     rows.write.mode("overwrite").partitionBy("status", "feed").text(out)
     return seen.get
+
+
+def write_line_files(documents: DataFrame, out: str, raw: str = "raw/", processed: str = "processed/") -> dict:
+    """Write each readable document as one JSON Lines file that keeps its name:
+    ``.../raw/a/x.json`` becomes the folder ``out/file=processed%2Fa%2Fx.jsonl`` with one
+    part file, and broken documents become ``out/file=quarantine`` lines. Returns the counts.
+
+    Rows are dealt by target, so a target is written by one task; a later run
+    replaces only the targets it has.
+    """
+    parsed = parse_documents(documents)
+    seen = Observation()
+    counted = parsed.observe(seen, F.count(F.lit(1)).alias("files"), F.count_if(is_broken()).alias("quarantined"))
+    complaint = F.to_json(F.struct("source_path", F.lit("not a JSON document").alias("reason")))
+    lines = F.when(is_broken(), F.array(complaint)).otherwise(F.transform("records", lambda record: F.to_json(record)))
+    below = F.regexp_extract(target_path(F.col("source_path"), raw, processed), f"({processed}.*)$", 1)
+    target = F.when(is_broken(), F.lit("quarantine")).otherwise(F.coalesce(F.nullif(below, F.lit("")), target_path(F.col("source_path"))))
+    rows = counted.select(target.alias("file"), F.posexplode(lines).alias("place", "value"))
+    ordered = rows.repartition("file").sortWithinPartitions("file", "place").drop("place")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").text(out)
+    return seen.get

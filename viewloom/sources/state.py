@@ -26,6 +26,14 @@ def load_watermark(spark: SparkSession, path: str) -> datetime | None:
 
 
 def save_watermark(written: DataFrame, ts: str, path: str) -> None:
-    """Record the newest time in what was written; call after the write succeeded."""
+    """Record the newest time in what was written; call after the write succeeded,
+    with what was read back from it."""
     newest = written.agg(F.max(F.col(ts)).cast("timestamp").alias("watermark"))
     newest.filter(F.col("watermark").isNotNull()).coalesce(1).write.mode("append").parquet(path)
+
+
+def append_watermark(spark: SparkSession, newest: datetime | None, path: str) -> None:
+    """Record a time that the write itself has observed."""
+    if newest is not None:
+        row = spark.createDataFrame([(newest,)], "watermark timestamp")
+        row.coalesce(1).write.mode("append").parquet(path)
