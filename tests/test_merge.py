@@ -150,3 +150,30 @@ def test_append_mode(spark):
     df = spark.createDataFrame([("k", i, d) for i, d in enumerate(docs)], "key string, seq int, doc string")
     got = sorted((r.path, r.seq, r.pos, r.value) for r in merge.append_list_patches(df, ["key"], "seq", "doc").collect())
     assert got == [("/l", 3, 0, "4"), ("/l", 3, 1, '"x"'), ("/m", 0, 0, "0")]
+
+
+def test_append_mode_keeps_the_whole_record(spark):
+    docs = ['{"l":[1],"s":5,"o":{"x":1},"e":[],"g":[1]}', '{"l":"z"}', '{"l":[2],"o":{"y":[3]}}', '{"g":"end"}', "[1]", "{bad"]
+    df = spark.createDataFrame([("k", i, d) for i, d in enumerate(docs)], "key string, seq int, doc string")
+    got = sorted((r.path, r.seq, r.pos, r.value) for r in merge.append_patches(df, ["key"], "seq", "doc").collect())
+    assert got == [
+        ("/e", None, None, "[]"), ("/g", None, None, '"end"'), ("/l", 2, 0, "2"), ("/o/x", None, None, "1"), ("/o/y", None, None, "[3]"), ("/s", None, None, "5"),
+    ]
+    assert sorted(r.seq for r in merge.broken_patches(df, "doc").collect()) == [4, 5]
+
+
+@pytest.mark.parametrize("build", [
+    lambda p: merge.limit_pages(p, ["request"], "page_no", "items", 3),
+    lambda p: merge.merge_page_items(p, ["request"], "page_no", "items"),
+])
+def test_no_window_carries_the_payload(pages, build):
+    plan = build(pages)._jdf.queryExecution().optimizedPlan().toString()
+    depth = None
+    for line in plan.splitlines():
+        at = len(line) - len(line.lstrip(" :+-"))
+        if depth is not None and at <= depth:
+            depth = None
+        if "Window " in line:
+            depth = at
+        elif depth is not None and "Project [" in line:
+            assert "items#" not in line.split("Project [")[1].replace("size(items#", "")

@@ -125,6 +125,42 @@ def test_untag(spark):
         assert got[i] == expected, text
 
 
+def test_untag_any_depth_and_dotted_names(spark):
+    deep = '{"L":[{"L":[{"L":[{"M":{"a.b":{"L":[{"S":"x\\\\"}, {"L":[]}]}}}]}]}]}'
+    df = spark.createDataFrame([(deep,), ('{"S":"[[{"}',)], "t string").select(F.parse_json("t").alias("t"))
+    got = {r[0] for r in tagged.untag_column(df, "t", "plain").select("plain").collect()}
+    assert got == {'[[[{"a.b":["x\\\\",[]]}]]]', '"[[{"'}
+    with pytest.raises(Exception, match="deeper"):
+        df.select(tagged.untag(F.col("t"), 1)).collect()
+    names = spark.range(1).select(F.parse_json(F.lit('{"a.b":{"S":"1"},"it\'s":{"N":"2"}}')).alias("t"))
+    row = names.select(tagged.attribute(F.col("t"), "a.b", "string").alias("x"), tagged.attribute(F.col("t"), "it's", "number_text").alias("y")).first()
+    assert tuple(row) == ("1", "2")
+
+
+@pytest.mark.parametrize(
+    "host,expected",
+    [
+        ("[2001:DB8::1]", "[2001:db8::1]"),
+        ("[::]", "[::]"),
+        ("[1:2:3:4:5:6:7:8]", "[1:2:3:4:5:6:7:8]"),
+        ("[::FFFF:1.2.3.4]", "[::ffff:1.2.3.4]"),
+        ("[FE80::1%25Eth0]", "[fe80::1%Eth0]"),
+        ("[FE80::1%Eth0]", "[fe80::1%Eth0]"),
+        ("[:::::]", None),
+        ("[1:2:3:4:5:6:7]", None),
+        ("[1::2::3]", None),
+        ("[1:2:3:4:5:6:7:8:9]", None),
+        ("[12345::]", None),
+        ("[1.2.3.4]", None),
+        ("[::1%]", None),
+        ("[::1", None),
+    ],
+)
+def test_ipv6_hosts(spark, host, expected):
+    got = spark.range(1).select(urls.parse_url(F.lit(f"http://{host}:80/")).alias("u")).first().u
+    assert (got.host if got else None) == expected
+
+
 @pytest.mark.parametrize(
     "text,fits",
     [("1" * 38, True), ("1" * 39, False), ("1" + "0" * 40, True), ("1e126", True), ("1e127", False),

@@ -28,7 +28,8 @@ def attribute(item: Column, name: str, kind: str) -> Column:
     ``kind`` is string, number (decimal(38,9), see :func:`number_text` for more),
     number_text, boolean, binary, string_set, number_set or is_null.
     """
-    at = lambda tag, cast: F.try_variant_get(item, f"$.{name}.{tag}", cast)
+    quote = "'" if '"' in name else '"'
+    at = lambda tag, cast: F.try_variant_get(item, f"$[{quote}{name}{quote}].{tag}", cast)
     if kind == "string":
         return at("S", "string")
     if kind == "number_text":
@@ -67,7 +68,8 @@ def untag(item: Column, depth: int) -> Column:
     """Plain JSON text of a tagged value nested at most ``depth`` levels.
 
     Sets become lists without repeats, binaries stay base64. A value without a
-    known tag gives null.
+    known tag gives null, a value nested deeper is an error; :func:`untag_column`
+    finds the depth by itself.
     """
     tags = F.try_variant_get(item, "$", "map<string,variant>")
     tag = F.get(F.map_keys(tags), F.lit(0))
@@ -97,7 +99,8 @@ def untag(item: Column, depth: int) -> Column:
         )
     )
     if depth == 0:
-        return scalar
+        deeper = F.raise_error(F.lit("a tagged value is nested deeper than the given depth"))
+        return F.when(F.size(members) > 0, deeper.cast("string")).when(tag == "M", F.lit("{}")).when(tag == "L", F.lit("[]")).otherwise(scalar)
     inner = F.transform(
         members,
         lambda e: F.concat(
@@ -113,6 +116,24 @@ def untag(item: Column, depth: int) -> Column:
     )
 
 
+def untag_column(df: DataFrame, item: str, out: str) -> DataFrame:
+    """Add the plain JSON of a column of tagged values, however deep. One pass finds the depth."""
+    text = F.regexp_replace(F.to_json(F.col(item)), r'"(?:[^"\\]++|\\.)*+"', "")
+    brackets = F.regexp_extract_all(text, F.lit(r"([\[{\]}])"), F.lit(1))
+    nested = F.aggregate(
+        brackets,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda s, b: F.struct(
+            (s["now"] + F.when(b.isin("[", "{"), 1).otherwise(-1)).alias("now"),
+            F.greatest(s["most"], s["now"] + F.when(b.isin("[", "{"), 1).otherwise(-1)).alias("most"),
+        ),
+        lambda s: s["most"],
+    )
+    deepest = df.agg(F.max(nested)).first()[0] or 0
+    # A tagged value opens one bracket for its tag and one for its members.
+    return df.withColumn(out, untag(F.col(item), -(-deepest // 2)))
+
+
 def tag_value(value: Column, kind: DataType, as_set: bool = False) -> Column:
     """Tagged JSON text of a plain column. Floats are refused: they do not keep
     their decimal digits."""

@@ -29,9 +29,15 @@ def merge_pages(
 
 
 def _pieces(pages: DataFrame, request, page: str, size: Column, cut, segment: int) -> DataFrame:
-    """Cut each page's payload at segment borders of the whole request."""
+    """Cut each page's payload at segment borders of the whole request.
+
+    Places are summed over rows of (request, page, size); the payload only meets
+    its place and then its segment.
+    """
     sized = pages.withColumn("_size", F.coalesce(size, F.lit(0)).cast("bigint")).filter("_size > 0")
-    placed = running_sum(sized, request, [page], F.col("_size"), "_end", _block(page))
+    slim = pages.select(*request, page, F.coalesce(size, F.lit(0)).cast("bigint").alias("_size")).filter("_size > 0")
+    ends = running_sum(slim, request, [page], F.col("_size"), "_end", _block(page)).drop("_size")
+    placed = sized.join(ends, [*request, page])
     start = F.col("_end") - F.col("_size")
     spans = placed.withColumn("_start", start).withColumn(
         "segment",
@@ -86,8 +92,10 @@ def merge_page_text(
     )
 
 
-def _counted(pages: DataFrame, request: list[str], page: str, items: str) -> DataFrame:
-    sized = pages.withColumn("_size", F.greatest(F.coalesce(F.size(items), F.lit(0)), F.lit(0)).cast("bigint"))
+def _counted(pages: DataFrame, request: list[str], page: str, items: str, *others: str) -> DataFrame:
+    """Rows (request, page, others, _size, _end, _before) without the payload."""
+    size = F.greatest(F.coalesce(F.size(items), F.lit(0)), F.lit(0)).cast("bigint").alias("_size")
+    sized = pages.select(*request, page, *others, size)
     placed = running_sum(sized, request, [page], F.col("_size"), "_end", _block(page))
     return placed.withColumn("_before", F.col("_end") - F.col("_size"))
 
@@ -95,12 +103,21 @@ def _counted(pages: DataFrame, request: list[str], page: str, items: str) -> Dat
 def limit_pages(
     pages: DataFrame, request: list[str], page: str, items: str, max_items: int
 ) -> DataFrame:
-    """Pages up to ``max_items`` items per request; the last one is cut to fit."""
+    """Pages up to ``max_items`` items per request; the last one is cut to fit.
+
+    The last page of each request is found on slim rows; pages beyond it are
+    dropped where they meet it.
+    """
     if max_items < 1:
         raise ValueError("max_items must be at least 1")
-    kept = _counted(pages, request, page, items).filter(F.col("_before") < max_items)
-    room = F.least(F.col("_size"), max_items - F.col("_before")).cast("int")
-    return kept.withColumn(items, F.slice(items, 1, room)).drop("_size", "_end", "_before")
+    counted = _counted(pages, request, page, items).filter(F.col("_before") < max_items)
+    last = counted.groupBy(*request).agg(F.max(F.struct(page, "_before")).alias("_last"))
+    last = last.select(*request, F.col(f"_last.{page}").alias("_page"), F.col("_last._before").alias("_before"))
+    kept = pages.join(last, request).filter(F.col(page) <= F.col("_page"))
+    # Null lists stay null, as they do on a page that is not cut.
+    room = (max_items - F.col("_before")).cast("int")
+    cut = F.when(F.col(page) == F.col("_page"), F.slice(items, 1, room)).otherwise(F.col(items))
+    return kept.withColumn(items, cut).drop("_page", "_before").select(*pages.columns)
 
 
 def resume_position(
@@ -116,7 +133,7 @@ def resume_position(
     A cut page resumes inside itself (counting items already ``skipped`` there), a
     full one at the next page. Requests that ended are absent.
     """
-    counted = _counted(pages, request, page, items)
+    counted = _counted(pages, request, page, items, *([skipped] if skipped else []))
     cut = (F.col("_before") < max_items) & (F.col("_end") > max_items)
     offset = max_items - F.col("_before") + (F.col(skipped) if skipped else F.lit(0))
     found = counted.groupBy(*request).agg(
@@ -236,17 +253,19 @@ def patch_nodes(patches: DataFrame, key: list[str], seq: str, doc: str, depth: i
     )
 
 
-def fold_patches(
-    patches: DataFrame, key: list[str], seq: str, doc: str, depth: int | None = None
-) -> DataFrame:
+def broken_patches(patches: DataFrame, doc: str) -> DataFrame:
+    """Patches that are no JSON objects, which the merges pass over."""
+    return patches.filter(~_is_object(F.try_parse_json(doc)))
+
+
+def fold_patches(patches: DataFrame, key: list[str], seq: str, doc: str) -> DataFrame:
     """Deep merge of sparse JSON objects per key, later ones win: (key, path, value).
 
     Objects merge, everything else (lists and explicit nulls too) replaces. A later
     scalar removes what was below its path, a later object replaces a scalar. An
     object left without members appears as ``{}``.
     """
-    depth = object_depth(patches, doc) if depth is None else depth
-    nodes = patch_nodes(patches, key, seq, doc, depth)
+    nodes = patch_nodes(patches, key, seq, doc, object_depth(patches, doc))
     scalar_seq = F.when(~F.col("is_object"), F.col(seq))
     # Read five times below with different columns, so it is written once: one row
     # per distinct path of a record.
@@ -311,3 +330,28 @@ def append_list_patches(patches: DataFrame, key: list[str], seq: str, doc: str)
     )
     joined = elements.join(restarts, [*key, "path"], "left")
     return joined.filter(F.col("_restart").isNull() | (F.col(seq) > F.col("_restart"))).drop("_restart")
+
+
+def append_patches(patches: DataFrame, key: list[str], seq: str, doc: str) -> DataFrame:
+    """Append mode for whole records: top-level lists grow, everything else merges.
+
+    Rows (key, path, seq, pos, value). A top-level list that was written last comes
+    element by element in the order of (seq, pos), from the first list after its
+    last other value on; an empty one is a row ``[]`` without a position. All other
+    paths are those of :func:`fold_patches`, without seq and pos.
+    """
+    fields = patches.select(*key, seq, F.explode(_fields(F.try_parse_json(doc))).alias("field")).select(
+        *key, seq, _pointer_step(F.col("field.key")).alias("path"), _is_list(F.col("field.value")).alias("_list")
+    )
+    lists = fields.groupBy(*key, "path").agg(F.max_by("_list", seq).alias("_list")).filter("_list").drop("_list")
+    elements = append_list_patches(patches, key, seq, doc).join(lists, [*key, "path"], "left_semi")
+    empty = lists.join(elements.select(*key, "path").distinct(), [*key, "path"], "left_anti")
+    kind = patches.schema[seq].dataType
+    nothing = [F.lit(None).cast(kind).alias(seq), F.lit(None).cast("int").alias("pos")]
+    order = [*key, "path", seq, "pos", "value"]
+    others = fold_patches(patches, key, seq, doc).join(lists, [*key, "path"], "left_anti")
+    return (
+        elements.select(*order)
+        .unionByName(empty.select(*key, "path", *nothing, F.lit("[]").alias("value")))
+        .unionByName(others.select(*key, "path", *nothing, "value"))
+    )
