@@ -25,8 +25,9 @@ from viewloom.llm.arrays import SPACES, Texts, Words, mix, owner, pieces, rollin
 #: Text of one piece of the scan, and packed text that a bucket sorts at once.
 PIECE = 16 << 20
 SORTED = 24 << 20
-#: Words of the group whose hash picks the minimiser.
-GROUP = 6
+#: Words of the group whose hash picks the minimiser, and how hard packed strings are compressed.
+GROUP = 4
+LEVEL = 3
 
 PACKED = "bucket int, packed binary"
 REPEATS = "doc_id long, known boolean, mark long, start long, n long"
@@ -156,7 +157,7 @@ def _blob(ids, known, marks, starts, n, strings: list[bytes]) -> bytes:
     lengths = np.fromiter(map(len, strings), np.int64, len(strings))
     columns = [np.asarray(c, np.int64).tobytes() for c in (ids, known, marks, starts, n)]
     raw = b"".join([len(ids).to_bytes(8, "little"), len(strings).to_bytes(8, "little"), *columns, lengths.tobytes(), *strings])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", LEVEL).compress(raw, asbytes=True)
 
 
 def _open(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,7 +243,7 @@ def repeats(docs: DataFrame, width: int = 20, buckets: int | None = None) -> Dat
     which come first. Buckets are many more than partitions, so that a task sorts few at a time.
     """
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or 16 * tasks
+    buckets = buckets or 4 * tasks
     packed = docs.mapInArrow(_pack(width, buckets), PACKED)
     # Runs that need no comparing are dealt by their content.
     key = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(F.col("bucket"))
