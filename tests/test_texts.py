@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 from itertools import groupby
@@ -148,6 +149,53 @@ def test_encodings(spark, tmp_path):
     assert back["ru.txt"] == russian and back["latin.txt"] == french and back["bom.txt"] == french
 
 
+def test_any_bytes_can_be_audited(spark):
+    rng = random.Random(3)
+    data = [(i, bytearray(b"\xff\xfe" + rng.randbytes(rng.randint(0, 50)))) for i in range(30)]
+    data += [(100 + i, bytearray(rng.randbytes(200))) for i in range(30)]
+    data += [
+        (200, bytearray(b"# coding: unicode_escape\n\xff\\u0041")),
+        (201, bytearray(b'<?xml version="1.0" encoding="koi8-r"?>' + "привет как дела".encode("koi8-r"))),
+        (202, bytearray(b'<meta charset=gbk>' + "你好世界".encode("gbk"))),
+        (203, None),
+    ]
+    audit = {r.i: r for r in encoding.encoding_audit(spark.createDataFrame(data, "i int, content binary"), ["i"]).collect()}
+    assert len(audit) == len(data)
+    assert audit[200].declared == "unicode_escape" and audit[200].encoding != "unicode_escape"
+    assert audit[201].encoding == "koi8_r" and audit[202].declared == "gbk"
+
+
+@pytest.mark.parametrize(
+    "head,name",
+    [
+        (b"<?xml version='1.0' encoding='ISO-8859-1'?>", "iso_8859_1"),
+        (b'<html><META http-equiv=x content="text/html; charset=koi8-r">', "koi8_r"),
+        (b"<meta charset = 'cp1251' >", "cp1251"),
+        (b'@charset "utf-8";', "utf_8"),
+        (b"Content-Type: text/plain; charset=Shift_JIS\n", "shift_jis"),
+        (b"#!/bin/sh\n# -*- coding: latin-1 -*-", "latin_1"),
+        (b"// vim: set fileencoding=cp1250 :", "cp1250"),
+        (b"the encoding of life", None),
+        (b"x\ny\n# coding: late", None),
+    ],
+)
+def test_charset_declarations(spark, head, name):
+    df = spark.createDataFrame([(bytearray(head),)], "content binary")
+    assert df.select(encoding.declared_charset(F.col("content"))).first()[0] == name
+
+
+def test_alphabets_of_any_size(spark):
+    import string
+
+    letters = string.ascii_lowercase + "абвгдежзийклмнопрстуфхцчшщъыьэюя"
+    df = spark.createDataFrame([("x", letters * 3), ("y", "abc" * 50)], "lang string, text string")
+    table = {r.language: r.letters for r in language.learn_letters(df, "text", "lang").collect()}
+    assert len(table["x"]) == len(set(letters)) and table["y"] == ["a", "b", "c"]
+    many = spark.range(600).selectExpr("concat('l', id) AS language", "array('a', 'b', 'c') AS letters")
+    scores = language.language_scores(df.filter("lang = 'y'"), "text", many, ["lang"])
+    assert scores.count() == 600
+
+
 def test_stream_upserts(spark, tmp_path):
     source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "cp"))
     schema = "pk string, seq bigint, op string, payload string"

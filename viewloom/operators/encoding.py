@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
+from encodings.aliases import aliases
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +48,34 @@ CODE_PAGES = [
 ]
 
 
+#: Codecs that rewrite text instead of reading a charset.
+_NO_CHARSETS = {"idna", "mbcs", "oem", "punycode", "raw_unicode_escape", "undefined", "unicode_escape"}
+
+
+@lru_cache
+def text_codecs() -> tuple[str, ...]:
+    """Every charset the Python library can read, the preferred code pages first. Only
+    these names are taken from a file's own declaration."""
+    found = []
+    for name in sorted(set(aliases.values()) - _NO_CHARSETS):
+        try:
+            "a".encode(name)
+            found.append(name)
+        except (LookupError, UnicodeError):
+            continue
+    return (*CODE_PAGES, *[n for n in found if n not in CODE_PAGES])
+
+
+def known_charset(name: str | None) -> str | None:
+    """The library's name of a declared charset, or ``None`` if it reads no text."""
+    try:
+        plain = codecs.lookup(name).name.replace("-", "_") if name else ""
+    except LookupError:
+        return None
+    plain = aliases.get(plain, plain)
+    return plain if plain in text_codecs() else None
+
+
 def read_corpus(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Files below a path as (path, content)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -92,6 +123,7 @@ def _decoder(names: list[str]):
     def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         def tried(content, wished):
             found = []
+            wished = known_charset(wished)
             for name in dict.fromkeys([*([wished] if wished else []), *names]):
                 try:
                     found.append({"charset": name, "text": bytes(content).decode(name)})
@@ -107,15 +139,16 @@ def _decoder(names: list[str]):
 
 def candidates(files: DataFrame, content: str, code_pages: list[str]) -> DataFrame:
     """One row per file and encoding that can read it: charset, place in the order
-    of trust, text. Marked, ASCII and UTF-8 files are decoded by the JVM; only the
-    others go through the code pages."""
+    of trust, text. ASCII and UTF-8 files are decoded by the JVM; only the others,
+    marked ones too, go through their wished charset and the code pages, where
+    malformed bytes rule a charset out instead of ending the job."""
     marked = encoding_marks(files, content)
     c = F.col(content)
-    body = F.when(F.col("bom") == "utf_8", F.substring(c, 4, 1 << 30)).otherwise(c)
-    needs_pages = (F.col("bom").isNull() | F.col("bom").isin("gb18030", "utf_7", "utf_32")) & ~F.col("utf8")
+    body = F.when(F.col("bom") == "utf_8", F.substr(c, F.lit(4))).otherwise(c)
+    needs_pages = ~F.col("utf8")
     wished = F.coalesce("bom", "declared")
     pages = _decoder(code_pages)(F.when(needs_pages, c), F.when(needs_pages, wished))
-    direct = F.when(F.col("bom") == "utf_16", F.struct(F.lit("utf_16").alias("charset"), F.decode(c, "UTF-16").alias("text"))).when(
+    direct = F.when(
         F.col("utf8"),
         F.struct(
             F.when(F.col("ascii"), "ascii").otherwise("utf_8").alias("charset"),
@@ -190,7 +223,7 @@ def to_utf8(files: DataFrame, audit: DataFrame, key: list[str], content: str = "
 
     plain = F.col("encoding").isin("ascii", "utf_8")
     stripped = F.when(
-        F.startswith(F.hex(F.substring(content, 1, 3)), F.lit("EFBBBF")), F.substring(content, 4, 1 << 30)
+        F.startswith(F.hex(F.substring(content, 1, 3)), F.lit("EFBBBF")), F.substr(content, F.lit(4))
     ).otherwise(F.col(content))
     simple = joined.filter(plain).select(*key, stripped.cast("string").alias("text"))
     paged = joined.filter(~plain).select(*key, decode(content, "encoding").alias("text"))

@@ -1,8 +1,9 @@
 """Languages and scripts of documents, and exact copies.
 
-A language is described by its letters, most frequent first. The description is
-learned from labelled documents; it is small (letters x languages), and its size
-is checked before it travels with the plan.
+A language is described by its letters, most frequent first, learned from labelled
+documents. Letters are counted by one explode whose counts combine before the
+shuffle, so the time follows the length of the texts whatever the alphabet, and
+texts meet languages by joins on the letter.
 """
 
 from __future__ import annotations
@@ -13,13 +14,20 @@ from pyspark.sql import functions as F
 from viewloom.functions.texts import FAMILIES, accented_class
 
 # Letters a layer needs, lowest score that counts, letters a language
-# must share with a text, and the alphabet size from which ranks are compared loosely.
+# must share with a text, the alphabet size from which ranks are compared loosely,
+# and the tolerances: ranks apart in a small alphabet, company of common letters
+# before or after, and ranks apart as a share of a large alphabet.
 MIN_LETTERS = 32
 THRESHOLD = 0.1
 MIN_OVERLAP = 0.2
 SMALL_ALPHABET = 26
+RANKS_APART = 4
+COMPANY = 0.4
+SHARE_APART = 3
+
+#: A letter belongs to a language's alphabet if it makes up this share of its letters.
+LEAST_SHARE = 0.0005
 
-MAX_LANGUAGES = 500
 _LAYERS = [name for name in FAMILIES if name not in ("combining", "forms", "kana")]
 
 
@@ -29,113 +37,101 @@ def letters_only(text: Column) -> Column:
     return F.regexp_replace(no_ascii_marks, r"[\x{80}-\x{10FFFF}&&[^\p{L}]]+", "")
 
 
-def letter_counts(letters: Column) -> Column:
-    """(n, first place, letter) of each distinct letter; no row leaves its task."""
-    size = F.length(letters)
-    return F.transform(
-        F.array_distinct(F.split(letters, "")),
-        lambda ch, i: F.struct(
-            (size - F.length(F.replace(letters, ch, F.lit("")))).alias("n"), i.alias("place"), ch.alias("letter")
-        ),
+def letter_counts(df: DataFrame, text: Column, keys: dict[str, Column]) -> DataFrame:
+    """(keys..., letter, n, place): how often each letter occurs and where first."""
+    each = df.select(*[c.alias(k) for k, c in keys.items()], F.posexplode(F.split(letters_only(text), "")).alias("place", "letter"))
+    return each.filter(F.col("letter") != "").groupBy(*keys, "letter").agg(
+        F.count(F.lit(1)).alias("n"), F.min("place").alias("place")
     )
 
 
-def by_frequency(letters: Column) -> Column:
-    """Distinct letters, most frequent first, ties by first occurrence."""
-    ranked = F.array_sort(
-        F.transform(letter_counts(letters), lambda c: F.struct((-c["n"]).alias("n"), c["place"], c["letter"]))
+def learn_letters(documents: DataFrame, text: str, language: str, share: float = LEAST_SHARE) -> DataFrame:
+    """(language, letters): the letters that make up ``share`` of a language's text
+    or more, the most frequent first, however many they are."""
+    counted = letter_counts(documents, F.col(text), {"language": F.col(language)})
+    # One row per language and letter from here on.
+    whole = F.sum("n").over(Window.partitionBy("language"))
+    kept = counted.withColumn("_all", whole).filter(F.col("n") >= share * F.col("_all"))
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "letter")))
+    return kept.groupBy("language").agg(F.transform(ordered, lambda r: r["letter"]).alias("letters"))
+
+
+def _family() -> Column:
+    """The script family of a letter; null for families that are passed over."""
+    found = None
+    for name in FAMILIES:
+        label = F.lit("cjk" if name == "kana" else name if name in _LAYERS else None).cast("string")
+        hit = F.col("letter").rlike(f"[{FAMILIES[name]}]")
+        found = F.when(hit, label) if found is None else found.when(hit, label)
+    return found.otherwise(F.lit("other"))
+
+
+def text_layers(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(keep..., layer, letter, rank, size, accented): the letters of each text by
+    frequency, ties by first occurrence, apart per script family if the text has
+    letters beyond Latin. Layers of at most 32 letters are passed over."""
+    counted = letter_counts(df, F.col(text), {k: F.col(k) for k in keep})
+    by_text = Window.partitionBy(*keep)
+    exotic = F.max(F.col("letter") >= "\u0250").over(by_text)
+    layered = counted.withColumn("layer", F.when(exotic, _family()).otherwise(F.lit("all"))).filter(F.col("layer").isNotNull())
+    by_layer = Window.partitionBy(*keep, "layer")
+    order = by_layer.orderBy(F.desc("n"), "place")
+    return (
+        layered.withColumn("_letters", F.sum("n").over(by_layer))
+        .filter(F.col("_letters") > MIN_LETTERS)
+        .withColumns(
+            {
+                "rank": F.row_number().over(order) - 1,
+                "size": F.count(F.lit(1)).over(by_layer).cast("int"),
+                "accented": F.max(F.col("letter").rlike(accented_class())).over(by_layer),
+            }
+        )
+        .select(*keep, "layer", "letter", "rank", "size", "accented")
     )
-    return F.transform(ranked, lambda c: c["letter"])
 
 
-def learn_letters(documents: DataFrame, text: str, language: str, size: int = SMALL_ALPHABET) -> DataFrame:
-    """(language, letters): the ``size`` most frequent letters of each language.
+def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., language, score) for each language that fits a text, score rounded
+    to 4 digits. Texts are scored per script family.
 
-    Documents shrink to their distinct letters before the shuffle.
+    The score is the share of a text's letters that stand where the language has
+    them: at a similar rank, and with enough common letters before or after. The
+    rows that meet are a text's distinct letters and the languages that have them.
     """
-    counted = documents.select(
-        F.col(language).alias("language"), F.explode_outer(letter_counts(letters_only(F.col(text)))).alias("c")
-    ).filter(F.col("c.letter") != "")
-    totals = counted.groupBy("language", F.col("c.letter").alias("letter")).agg(F.sum("c.n").alias("n"))
-    order = Window.partitionBy("language").orderBy(F.desc("n"), "letter")
-    top = totals.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "letter")))
-    return top.groupBy("language").agg(F.transform(ordered, lambda r: r["letter"]).alias("letters"))
-
-
-def _described(table: DataFrame) -> dict[str, list[str]]:
-    rows = table.select("language", "letters").limit(MAX_LANGUAGES + 1).collect()
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the letter table")
-    return {r.language: list(r.letters) for r in sorted(rows, key=lambda r: r.language)}
-
-
-def agreement(found: Column, letters: list[str]) -> Column:
-    """Share of a text's letters (by frequency) that stand where the language has
-    them: at a similar rank, and with enough common letters before or after."""
-    size = len(letters)
-    language = F.array(*[F.lit(c) for c in letters])
-    scale = F.lit(float(size)) / F.size(found)
-
-    def stands(ch: Column, rank: Column) -> Column:
-        there = F.array_position(language, ch).cast("int") - 1
-        apart = F.abs(F.floor(rank * scale) - there)
-        before = F.size(F.array_intersect(F.slice(found, 1, rank), F.slice(language, 1, there)))
-        after = F.size(
-            F.array_intersect(F.slice(found, rank + 1, F.size(found)), F.slice(language, there + 1, size))
-        )
-        company = (there == 0) | (before >= 0.4 * there) | (after >= 0.4 * (F.lit(size) - there))
-        near = (apart <= 4) & company if size <= SMALL_ALPHABET else (apart < size / 3) | company
-        return F.when(there >= 0, near).otherwise(F.lit(False))
-
-    kept = F.filter(F.transform(found, lambda ch, i: stands(ch, i.cast("int"))), lambda ok: ok)
-    return F.try_divide(F.size(kept), F.size(found))
-
+    ranked = table.select(
+        "language",
+        F.size("letters").alias("_size"),
+        F.exists("letters", lambda c: c.rlike(accented_class())).alias("_has_accent"),
+        F.posexplode("letters").alias("_there", "letter"),
+    )
+    shared = text_layers(df, text, keep).join(ranked, "letter")
+    pair = F.struct(F.col("rank").alias("rank"), F.col("_there").alias("there"))
+    met = shared.groupBy(*keep, "layer", "language").agg(
+        F.first("size").alias("found"),
+        F.first("_size").alias("size"),
+        (F.first("accented") & ~F.first("_has_accent")).alias("unfit"),
+        F.collect_list(pair).alias("pairs"),
+    )
 
-def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., language, score) for each language that fits a text, score rounded
-    to 4 digits. Texts are scored per script family, families of at most 32 letters
-    are passed over."""
-    languages = _described(table)
-    staged = df.select(*keep, letters_only(F.col(text)).alias("_letters"))
-    exotic = F.col("_letters").rlike(r"[\x{250}-\x{10FFFF}]")
-    rest = "".join(FAMILIES.values())
-
-    def layer(chars: str) -> Column:
-        return F.regexp_replace("_letters", rf"[\x00-\x{{10FFFF}}&&[^{chars}]]+", "")
-
-    others = [layer(FAMILIES[n] + (FAMILIES["kana"] if n == "cjk" else "")) for n in _LAYERS]
-    others.append(F.regexp_replace("_letters", f"[{rest}]+", ""))
-    layers = F.when(exotic, F.array(*others)).otherwise(F.array("_letters"))
-    layered = staged.select(
-        *keep, F.explode_outer(F.filter(layers, lambda s: F.length(s) > MIN_LETTERS)).alias("_layer")
-    ).filter(F.col("_layer").isNotNull()).withColumn("_found", by_frequency(F.col("_layer")))
-    accented = F.col("_layer").rlike(accented_class())
-
-    def scored(name: str, letters: list[str]) -> Column:
-        shared = F.size(F.array_intersect("_found", F.array(*[F.lit(c) for c in letters])))
-        fits = shared >= MIN_OVERLAP * len(letters)
-        if not _has_accent(letters):
-            fits = fits & ~accented
-        score = F.when(fits, agreement(F.col("_found"), letters))
-        return F.struct(F.lit(name).alias("language"), score.alias("score"))
-
-    scores = F.array(*[scored(n, ls) for n, ls in languages.items()])
+    def stands(p: Column) -> Column:
+        there, size = p["there"], F.col("size")
+        apart = F.abs(F.floor(p["rank"] * size.cast("double") / F.col("found")) - there)
+        before = F.size(F.filter("pairs", lambda q: (q["rank"] < p["rank"]) & (q["there"] < there)))
+        after = F.size(F.filter("pairs", lambda q: (q["rank"] >= p["rank"]) & (q["there"] >= there)))
+        company = (there == 0) | (before >= COMPANY * there) | (after >= COMPANY * (size - there))
+        near = (apart <= RANKS_APART) & company
+        return F.when(size <= SMALL_ALPHABET, near).otherwise((apart < size / SHARE_APART) | company)
+
+    fits = (F.size("pairs") >= MIN_OVERLAP * F.col("size")) & ~F.col("unfit")
+    score = F.size(F.filter("pairs", stands)) / F.col("found")
     return (
-        layered.select(*keep, F.explode_outer(scores).alias("s"))
-        .filter(F.col("s.score") >= THRESHOLD)
-        .select(*keep, "s.language", F.round("s.score", 4).alias("score"))
+        met.filter(fits)
+        .select(*keep, "language", score.alias("_score"))
+        .filter(F.col("_score") >= THRESHOLD)
+        .select(*keep, "language", F.round("_score", 4).alias("score"))
     )
 
 
-def _has_accent(letters: list[str]) -> bool:
-    import unicodedata
-
-    from viewloom.functions.texts import ACCENTS
-
-    return any(f"WITH {a}" in unicodedata.name(c, "") for c in letters for a in ACCENTS)
-
-
 def best_language(scores: DataFrame, keep: list[str]) -> DataFrame:
     """The highest score of each text, ties by name."""
     best = F.max_by(F.struct("language", "score"), F.struct("score", "language"))

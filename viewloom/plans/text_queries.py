@@ -86,9 +86,7 @@ def _files(spark, d):
 
 
 def encoding_marks(spark, d):
-    marks = encoding.encoding_marks(_files(spark, d)).drop("content")
-    # Free text may mention a charset by chance; only the XML declaration is checked.
-    return marks.withColumn("declared", F.when(F.col("declared") == "utf_8", "utf_8"))
+    return encoding.encoding_marks(_files(spark, d)).drop("content")
 
 
 def encoding_audit(spark, d):
@@ -109,6 +107,40 @@ QUERIES = {
     "encoding_audit": encoding_audit,
 }
 
+# The documents are written in Latin letters, so each text is one layer.
+_RANK = r"""WITH c AS (
+  SELECT lang, unnest(string_split(lower(text), '')) AS ch FROM documents),
+n AS (SELECT lang, ch, count(*) AS n FROM c WHERE regexp_matches(ch, '[\p{L}]') GROUP BY lang, ch
+  QUALIFY count(*) >= 0.0005 * sum(count(*)) OVER (PARTITION BY lang)),
+t AS (
+  SELECT lang AS language, ch, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) - 1 AS there,
+         count(*) OVER (PARTITION BY lang) AS size,
+         bool_or(regexp_matches(ch, '[àáâãäåèéêëìíîïñòóôõöùúûüýÿç]')) OVER (PARTITION BY lang) AS has_accent FROM n),
+d AS (
+  SELECT doc_id, ch, count(*) AS n, min(place) AS place FROM (
+    SELECT doc_id, unnest(string_split(lower(text), '')) AS ch, generate_subscripts(string_split(lower(text), ''), 1) AS place
+    FROM documents) WHERE regexp_matches(ch, '[\p{L}]') GROUP BY doc_id, ch),
+f AS (
+  SELECT doc_id, ch, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, place) - 1 AS rank,
+         count(*) OVER (PARTITION BY doc_id) AS found,
+         bool_or(regexp_matches(ch, '[àáâãäåèéêëìíîïñòóôõöùúûüýÿç]')) OVER (PARTITION BY doc_id) AS accented
+  FROM d QUALIFY sum(n) OVER (PARTITION BY doc_id) > 32),
+p AS (SELECT doc_id, language, rank, found, there, size FROM f JOIN t USING (ch) WHERE has_accent OR NOT accented),
+q AS (
+  SELECT a.doc_id, a.language, a.rank, a.there, any_value(a.found) AS found, any_value(a.size) AS size,
+         count(*) FILTER (WHERE b.rank < a.rank AND b.there < a.there) AS before,
+         count(*) FILTER (WHERE b.rank >= a.rank AND b.there >= a.there) AS after
+  FROM p a JOIN p b ON a.doc_id = b.doc_id AND a.language = b.language GROUP BY a.doc_id, a.language, a.rank, a.there),
+k AS (
+  SELECT *, abs(floor(rank * CAST(size AS DOUBLE) / found) - there) AS apart,
+         there = 0 OR before >= 0.4 * there OR after >= 0.4 * (size - there) AS company FROM q),
+scores AS (
+  SELECT doc_id, language, round(count(*) FILTER (WHERE CASE WHEN size <= 26 THEN apart <= 4 AND company ELSE apart < size / 3 OR company END)
+         / any_value(found), 4) AS score
+  FROM k GROUP BY doc_id, language HAVING count(*) >= 0.2 * any_value(size)
+     AND count(*) FILTER (WHERE CASE WHEN size <= 26 THEN apart <= 4 AND company ELSE apart < size / 3 OR company END) / any_value(found) >= 0.1)
+"""
+
 SQL = {
     "content_fingerprint": """SELECT sha256(text) AS fingerprint, count(*) AS copies, min(doc_id) AS first_key
 FROM documents GROUP BY 1""",
@@ -170,8 +202,10 @@ LEFT JOIN a ON a.doc_id = d.doc_id LEFT JOIN v ON v.doc_id = d.doc_id""",
     "language_letters": r"""WITH c AS (
   SELECT lang, unnest(string_split(lower(text), '')) AS ch FROM documents),
 n AS (SELECT lang, ch, count(*) AS n FROM c WHERE regexp_matches(ch, '[\p{L}]') GROUP BY lang, ch
-  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, ch) <= 26)
+  QUALIFY count(*) >= 0.0005 * sum(count(*)) OVER (PARTITION BY lang))
 SELECT lang AS language, string_agg(ch, '' ORDER BY n DESC, ch) AS letters FROM n GROUP BY lang""",
+    "language_rank_all": _RANK + "SELECT doc_id, language, score FROM scores",
+    "language_rank": _RANK + "SELECT doc_id, language, score FROM scores\nQUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language DESC) = 1",
     "language_merge": """WITH s AS (
   SELECT l_orderkey AS doc, CASE l_returnflag WHEN 'A' THEN 'English' WHEN 'N' THEN 'English—' ELSE 'French' END AS language,
          round(avg(l_discount), 4) AS score FROM lineitem GROUP BY 1, 2)
