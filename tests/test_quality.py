@@ -186,3 +186,13 @@ def test_tag_rows(spark):
     back = spark.createDataFrame([(item,)], "t string").select(F.parse_json("t").alias("i"))
     assert tuple(back.select(*[tagged.attribute(F.col("i"), c, k) for c, k in
                                (("s", "string"), ("n", "number"), ("b", "boolean"), ("z", "is_null"), ("st", "string_set"))]).first())[2:] == (True, True, ["p", "q"])
+
+
+def test_documents_are_free_form(spark):
+    shape = Structure({"d": quality.Document(), "n": Scalar("integer")}, required=("d",))
+    rows_ = ['{"d":{"DATE":[1,"x",null,{"k":true}]},"n":1}', '{"d":null}', '{"d":[]}', '{"n":2}']
+    df = spark.createDataFrame(list(enumerate(rows_)), "i int, t string").select("i", F.parse_json("t").alias("r"))
+    got = [(r.i, r.reason) for r in quality.violation_rows(df, "r", shape, ["i"]).collect()]
+    assert got == [(3, "missing required field")]
+    typed = spark.range(1).select(F.to_variant_object(F.struct(F.current_date().alias("d"))).alias("r"))
+    assert [r.reason for r in quality.violation_rows(typed, "r", shape, []).collect()] == ["invalid type for document"]

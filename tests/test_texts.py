@@ -204,6 +204,10 @@ def test_stream_upserts(spark, tmp_path):
         stream = spark.readStream.schema(schema).json(source)
         upsert.collect_changes(stream, ["pk"], "seq", log, checkpoint).awaitTermination()
     assert rows(upsert.current_state(spark, ["pk"], "seq", log), "pk", "payload") == [("a", "y"), ("c", "w")]
+    short = str(tmp_path / "short")
+    upsert.compact(spark, ["pk"], "seq", short, log)
+    assert spark.read.parquet(short).count() == 3  # the deletion stays
+    assert rows(upsert.current_state(spark, ["pk"], "seq", short), "pk", "payload") == [("a", "y"), ("c", "w")]
 
 
 def test_registry_is_consistent():

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.functions.nested import type_name
+from viewloom.functions.binding import let
 
 VIOLATION = "array<struct<path:string,reason:string,detail:string>>"
 
@@ -42,6 +42,11 @@ class Structure:
     union: bool = False
 
 
+@dataclass(frozen=True)
+class Document:
+    """Free-form JSON of any shape; only values JSON has no type for are wrong."""
+
+
 # JSON types a scalar kind takes. Booleans count as whole numbers.
 _TAKES = {
     "string": ("string",),
@@ -54,10 +59,25 @@ _TAKES = {
 
 
 def _kind_of(value: Column) -> Column:
-    whole = F.schema_of_variant(value) == "BIGINT"
-    return F.when(type_name(value) == "number", F.when(whole, "integer").otherwise("fraction")).otherwise(
-        type_name(value)
-    )
+    """The JSON type of a variant; the schema is read from the value once."""
+
+    def named(schema: Column) -> Column:
+        return (
+            F.when(schema.isNull() | (schema == "VOID"), "null")
+            .when(schema == "STRING", "string")
+            .when(schema == "BIGINT", "integer")
+            .when(F.rlike(schema, F.lit("^(DECIMAL|DOUBLE|FLOAT)")), "fraction")
+            .when(schema == "BOOLEAN", "boolean")
+            .when(F.startswith(schema, F.lit("ARRAY")), "array")
+            .when(F.startswith(schema, F.lit("OBJECT")), "object")
+            .otherwise(F.lower(schema))
+        )
+
+    return let(F.schema_of_variant(value), named)
+
+
+# Types a variant may hold that JSON text cannot.
+_NO_JSON = r"\b(DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|UUID|INTERVAL)\b"
 
 
 def _found(when: Column, path: Column, reason: str, detail: Column | None = None) -> Column:
@@ -82,8 +102,13 @@ def violations(value: Column, shape, path: Column | None = None) -> Column:
     unknown members, wrong types, values below the minimum, unions without exactly
     one member. A value of the wrong type is not looked into."""
     path = F.lit("") if path is None else path
-    kind = _kind_of(value)
+    if isinstance(shape, Document):
+        types = F.regexp_replace(F.schema_of_variant(value), "`(?:[^`]|``)*+`|[A-Za-z_][A-Za-z0-9_]*: ", "")
+        return _found(F.rlike(types, F.lit(_NO_JSON)), path, "invalid type for document", types)
+    return let(_kind_of(value), lambda kind: _violations(value, kind, shape, path))
+
 
+def _violations(value: Column, kind: Column, shape, path: Column) -> Column:
     if isinstance(shape, Scalar):
         wrong = ~kind.isin(*_TAKES[shape.kind])
         found = _found(wrong, path, "invalid type", kind)

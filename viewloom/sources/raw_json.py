@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from viewloom.sources.sinks import rebalanced
+
 JSON_FILES = "*.[jJ][sS][oO][nN]"
 
 # Strict JSON: no single quotes, no NaN.
@@ -144,7 +146,7 @@ def backfill(documents: DataFrame, out: str) -> dict:
         F.when(is_broken(), "quarantined").otherwise("converted").alias("status"),
         feed_of(F.col("source_path")).alias("feed"),
     )
-    rows.write.mode("overwrite").partitionBy("status", "feed").text(out)
+    rebalanced(rows, "status", "feed").write.mode("overwrite").partitionBy("status", "feed").text(out)
     return seen.get
 
 

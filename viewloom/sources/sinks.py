@@ -28,11 +28,17 @@ def _once(df: DataFrame) -> Iterator[DataFrame | None]:
         kept.unpersist()
 
 
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Dealt anew so that files come out near ``spark.sql.adaptive.advisoryPartitionSizeInBytes``,
+    and each of the ``columns`` values in few files; large values are split."""
+    return df.hint("rebalance", *columns)
+
+
 def append_parquet(df: DataFrame, path: str) -> bool:
     with _once(df) as rows:
         if rows is None:
             return False
-        rows.write.mode("append").parquet(path)
+        rebalanced(rows).write.mode("append").parquet(path)
     return True
 
 
@@ -48,7 +54,7 @@ def write_snapshot(df: DataFrame, path: str, run_date: date, replace: bool = Tru
     with _once(df) as rows:
         if rows is None:
             return False
-        writer = with_snapshot_date(rows, run_date).write.partitionBy("snapshot_date")
+        writer = with_snapshot_date(rebalanced(rows), run_date).write.partitionBy("snapshot_date")
         if replace:
             writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
         else:
@@ -58,7 +64,7 @@ def write_snapshot(df: DataFrame, path: str, run_date: date, replace: bool = Tru
 
 def truncate_load(df: DataFrame, path: str) -> None:
     """Replace all that is at the path. An empty result empties the table."""
-    df.write.mode("overwrite").parquet(path)
+    rebalanced(df).write.mode("overwrite").parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> bool:

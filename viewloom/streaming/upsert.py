@@ -7,6 +7,8 @@ append-only, so no batch rewrites the table, and a retried batch replaces itself
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,6 +31,18 @@ def collect_changes(
     )
 
 
-def current_state(spark: SparkSession, keys: list[str], seq: str, log: str) -> DataFrame:
-    """The table after all logged changes."""
-    return upsert_last_write(spark.read.parquet(log).drop("batch"), keys, seq)
+def current_state(spark: SparkSession, keys: list[str], seq: str, *logs: str) -> DataFrame:
+    """The table after all changes of one or more logs."""
+    return upsert_last_write(_all_changes(spark, logs), keys, seq)
+
+
+def _all_changes(spark: SparkSession, logs: tuple[str, ...]) -> DataFrame:
+    changes = [spark.read.parquet(log).drop("batch") for log in logs]
+    return reduce(DataFrame.unionByName, changes)
+
+
+def compact(spark: SparkSession, keys: list[str], seq: str, out: str, *logs: str) -> None:
+    """Write one log that says the same as ``logs``: the last change per key, deletions
+    too, since an older change may still arrive. Readers go on with ``out`` and the
+    batches that came after; the old logs stay until their owner removes them."""
+    last_write(_all_changes(spark, logs), keys, seq).write.mode("overwrite").parquet(f"{out}/batch=0")
