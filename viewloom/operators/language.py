@@ -141,7 +141,9 @@ def best_language(scores: DataFrame, keep: list[str]) -> DataFrame:
 def merge_scores(scores: DataFrame, keep: list[str]) -> DataFrame:
     """Average the scores of a text's chunks per language, then let alternative
     names (marked by an em dash) count for their base name with the larger score."""
-    averaged = scores.groupBy(*keep, "language").agg(F.round(F.avg("score"), 4).alias("score"))
+    # As decimals, so that a half is rounded up whatever its binary form.
+    mean = F.round(F.avg(F.col("score").cast("decimal(20,12)")), 4).cast("double")
+    averaged = scores.groupBy(*keep, "language").agg(mean.alias("score"))
     base = F.replace("language", F.lit("—"), F.lit(""))
     return averaged.groupBy(*keep, base.alias("language")).agg(F.max("score").alias("score"))
 

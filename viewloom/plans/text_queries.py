@@ -57,16 +57,15 @@ def language_rank_all(spark, d):
 
 
 def language_merge(spark, d):
-    """Line items as chunks with a score per language, one name an alternative."""
-    name = (
-        F.when(F.col("l_returnflag") == "A", "English")
-        .when(F.col("l_returnflag") == "N", "English—")
-        .otherwise("French")
-    )
-    scores = views.table(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("doc"), name.alias("language"), F.col("l_discount").alias("score")
-    )
-    return language.merge_scores(scores, ["doc"])
+    """Halves of documents as chunks, with a second, plainly sorted alphabet per language as its
+    alternative; the chunks' scores merged per document."""
+    table = _letter_table(spark, d)
+    other = table.select(F.concat("language", F.lit("—")).alias("language"), F.array_sort("letters").alias("letters"))
+    half = F.floor(F.length("text") / 2).cast("int")
+    chunks = F.array(F.substring("text", F.lit(1), half), F.substr(F.col("text"), half + 1))
+    docs = _documents(spark, d, "doc_id", "text").select("doc_id", F.posexplode(chunks).alias("chunk", "text"))
+    scores = language.language_scores(docs, "text", table.unionByName(other), ["doc_id", "chunk"])
+    return language.merge_scores(scores, ["doc_id"])
 
 
 def _files(spark, d):
@@ -108,18 +107,19 @@ QUERIES = {
 }
 
 # The documents are written in Latin letters, so each text is one layer.
-_RANK = r"""WITH c AS (
+_RANK_OF = r"""WITH c AS (
   SELECT lang, unnest(string_split(lower(text), '')) AS ch FROM documents),
-n AS (SELECT lang, ch, count(*) AS n FROM c WHERE regexp_matches(ch, '[\p{L}]') GROUP BY lang, ch
+n AS (SELECT lang, ch, count(*) AS n FROM c WHERE regexp_matches(ch, '[\p{{L}}]') GROUP BY lang, ch
   QUALIFY count(*) >= 0.0005 * sum(count(*)) OVER (PARTITION BY lang)),
-t AS (
+one AS (
   SELECT lang AS language, ch, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) - 1 AS there,
          count(*) OVER (PARTITION BY lang) AS size,
          bool_or(regexp_matches(ch, '[àáâãäåèéêëìíîïñòóôõöùúûüýÿç]')) OVER (PARTITION BY lang) AS has_accent FROM n),
+t AS (FROM one{alternative}),
 d AS (
   SELECT doc_id, ch, count(*) AS n, min(place) AS place FROM (
     SELECT doc_id, unnest(string_split(lower(text), '')) AS ch, generate_subscripts(string_split(lower(text), ''), 1) AS place
-    FROM documents) WHERE regexp_matches(ch, '[\p{L}]') GROUP BY doc_id, ch),
+    FROM {source}) WHERE regexp_matches(ch, '[\p{{L}}]') GROUP BY doc_id, ch),
 f AS (
   SELECT doc_id, ch, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, place) - 1 AS rank,
          count(*) OVER (PARTITION BY doc_id) AS found,
@@ -141,6 +141,12 @@ scores AS (
      AND count(*) FILTER (WHERE CASE WHEN size <= 26 THEN apart <= 4 AND company ELSE apart < size / 3 OR company END) / any_value(found) >= 0.1)
 """
 
+_RANK = _RANK_OF.format(source="documents", alternative="")
+_CHUNKS = """(SELECT doc_id * 2 AS doc_id, substr(text, 1, length(text) // 2) AS text FROM documents
+          UNION ALL SELECT doc_id * 2 + 1, substr(text, length(text) // 2 + 1) FROM documents)"""
+_ALTERNATIVE = """
+  UNION ALL SELECT language || '—', ch, row_number() OVER (PARTITION BY language ORDER BY ch) - 1, size, has_accent FROM one"""
+
 SQL = {
     "content_fingerprint": """SELECT sha256(text) AS fingerprint, count(*) AS copies, min(doc_id) AS first_key
 FROM documents GROUP BY 1""",
@@ -206,10 +212,10 @@ n AS (SELECT lang, ch, count(*) AS n FROM c WHERE regexp_matches(ch, '[\p{L}]')
 SELECT lang AS language, string_agg(ch, '' ORDER BY n DESC, ch) AS letters FROM n GROUP BY lang""",
     "language_rank_all": _RANK + "SELECT doc_id, language, score FROM scores",
     "language_rank": _RANK + "SELECT doc_id, language, score FROM scores\nQUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language DESC) = 1",
-    "language_merge": """WITH s AS (
-  SELECT l_orderkey AS doc, CASE l_returnflag WHEN 'A' THEN 'English' WHEN 'N' THEN 'English—' ELSE 'French' END AS language,
-         round(avg(l_discount), 4) AS score FROM lineitem GROUP BY 1, 2)
-SELECT doc, replace(language, '—', '') AS language, max(score) AS score FROM s GROUP BY 1, 2""",
+    "language_merge": _RANK_OF.format(source=_CHUNKS, alternative=_ALTERNATIVE) + """, whole AS (
+  SELECT doc_id // 2 AS doc_id, language,
+         (2 * sum(CAST(round(score * 10000) AS BIGINT)) + count(*)) // (2 * count(*)) / 10000 AS score FROM scores GROUP BY 1, 2)
+SELECT doc_id, replace(language, '—', '') AS language, max(score) AS score FROM whole GROUP BY 1, 2""",
     "encoding_marks": r"""WITH f AS (
   SELECT doc_id, lang, text, regexp_matches(text, '[^\x00-\x7F]') AS wide, regexp_matches(text, '[\x{80}-\x{FF}]') AS latin FROM documents)
 SELECT doc_id, CASE lang WHEN 'de' THEN 'utf_8' WHEN 'es' THEN 'utf_16' END AS bom,
