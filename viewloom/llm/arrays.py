@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text of one working piece; a longer document is a piece of its own.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 3 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -54,6 +54,16 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(raw, at - at[0])
 
 
+def with_short_batches(df):
+    """The frame, after making Arrow batches short enough for long texts: a batch of the default
+    number of rows would take tens of megabytes twice per task, outside the heap. A number that the
+    session sets itself is kept."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, "1000")
+    return df
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.Table]:
     """Re-cut batches into tables of about ``limit`` bytes of text, so that memory stays bounded."""
     held: list[pa.RecordBatch] = []
@@ -68,6 +78,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
                 if i > start:
                     held.append(batch.slice(start, i - start))
                 yield pa.Table.from_batches(held)
+                pa.default_memory_pool().release_unused()
                 held, size, start = [], 0, i
             size += n + 16
         held.append(batch.slice(start))

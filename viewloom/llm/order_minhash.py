@@ -6,9 +6,10 @@ share those k-mers in that order, which follows edit similarity rather than bags
 agree on a sketch are candidates. Their k-mer rows are aligned in a band whose width the threshold
 gives; the similarity is aligned / (n + m - aligned), the ordered form of Jaccard's.
 
-Copies are one node. In a bucket every node is compared with the bucket's first node; buckets in which
-nodes of different classes stay are gone through again with further first nodes, so similar texts that
-are both unlike the first are found too, and no task or row ever holds a whole bucket.
+Copies are one node. In a bucket every node is compared with the bucket's first node. In buckets where
+nodes of different classes stay, pairs are made only if exact bounds on the k-mers they can share leave
+the question open, so similar texts that are both unlike the first are found too, and no task or row
+ever holds a whole bucket.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import SPACES, Texts, mix, owner, pieces, texts_of, words_of
+from viewloom.llm.arrays import SPACES, Texts, mix, owner, pieces, texts_of, with_short_batches, words_of
 from viewloom.session import scratch_path
 
 KMER = 5
@@ -32,6 +33,8 @@ SIMILAR = 0.8
 SKETCHES = 20
 PICKED = 3
 SEED = 0x5EED
+#: Hash bins of the histograms that bound how many k-mers two texts share.
+BINS = 256
 #: Ids from here on are the documents' own; nodes below stand for null ids.
 NAMED = -(1 << 61)
 
@@ -219,11 +222,11 @@ def _saved(df: DataFrame, name: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, class) for links (a, b): class is the smallest node that can be reached.
 
-    Large-star and small-star steps by turns: neighbours are tied to the smallest of them, until the
-    links no longer change. A hot node's links are aggregated or joined, never collected.
+    Large-star and small-star steps by turns: neighbours are tied to the smallest of them, until every
+    node has one link and all links end in nodes that have none. A hot node's links are aggregated or
+    joined, never collected.
     """
     links = _saved(links.select("a", "b").filter("a != b").distinct(), "links")
-    before = None
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
@@ -234,10 +237,10 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(smallest, "a")
         small = small.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(smallest.select("a", F.col("least").alias("b")))
         links = _saved(small.filter("a != b").distinct(), "links")
-        state = links.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0)).alias("sum")).first()
-        if state == before:
+        # A node that is linked on, or linked twice, shows up more than once here.
+        ends = links.select(F.col("a").alias("node"), F.lit(1).alias("n")).unionByName(links.select(F.col("b").alias("node"), F.lit(0).alias("n")).distinct())
+        if ends.groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("links")).filter("links > 0 AND rows > 1").isEmpty():
             return links.select(F.col("a").alias("node"), F.col("b").alias("class"))
-        before = state
 
 
 def _first_of(members: DataFrame) -> DataFrame:
@@ -258,7 +261,7 @@ def _key_and_node() -> tuple[Column, Column]:
 def classes_of(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """Rows (node, key, class), one per document; see ``near_duplicates``."""
     key, node = _key_and_node()
-    base = docs.select(node.alias("node"), key.alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    base = with_short_batches(docs).select(node.alias("node"), key.alias("key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     sketched = base.select("key", "node", "text").mapInArrow(_sketch, "key string, node long, sketch array<long>, n_kmers long")
     nodes = sketched.groupBy("key").agg(F.min("node").alias("node"), F.first("sketch").alias("sketch"), F.first("n_kmers").alias("n_kmers"))
     nodes = _saved(nodes, "nodes")
@@ -269,7 +272,9 @@ def classes_of(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     scores = shared.groupBy("node").agg(F.sum("size").alias("score"))
     members = _saved(shared.select("bucket", "node").join(scores, "node"), "members")
 
-    texts = base.select("node", "text").join(members.select("node").distinct(), "node").distinct()
+    # Always by a shuffle: the nodes in buckets grow with the documents, so they are never broadcast.
+    involved = members.select("node").distinct().hint("merge")
+    texts = base.select("node", "text").join(involved, "node").distinct()
     texts = _saved(texts, "texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -277,15 +282,12 @@ def classes_of(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
         return _saved(pairs.join(left, "a").join(right, "b").select("a", "b", "a_text", "b_text").mapInArrow(_verify(least), "a long, b long"), "verified")
 
-    links = linked(_first_of(members))
-    for last in (False, True):
-        classes = components(links)
-        own = members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-        mixed = own.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-        open_members = _saved(own.join(mixed.select("bucket"), "bucket"), "open")
-        pairs = _rest(open_members, nodes, texts, least) if last else _second(open_members)
-        links = _saved(links.unionByName(linked(pairs)), "links")
-    classes = components(links)
+    classes = components(linked(_first_of(members)))
+    own = members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    mixed = own.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    undecided = _saved(own.join(mixed.select("bucket"), "bucket"), "undecided")
+    more = linked(_rest(undecided, nodes, texts, least))
+    classes = components(classes.select(F.col("node").alias("a"), F.col("class").alias("b")).unionByName(more))
 
     named = base.select("node", "key").join(nodes.select("key", F.col("node").alias("first")), "key")
     found = named.join(classes.withColumnRenamed("node", "first"), "first", "left")
@@ -318,33 +320,29 @@ def keep_first(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     return keyed.join(first, ["_node", "_key"]).dropDuplicates(["_node", "_key"]).select(*docs.columns)
 
 
-def _second(members: DataFrame) -> DataFrame:
-    """Of buckets with several classes, pairs of the first node outside the first class and all others."""
-    order = F.struct((-F.col("score")).alias("s"), "node", "class")
-    firsts = members.groupBy("bucket").agg(F.min(order)["class"].alias("first"))
-    others = members.join(firsts, "bucket").filter(F.col("class") != F.col("first"))
-    seconds = others.groupBy("bucket").agg(F.min(order).alias("second"))
-    pairs = members.join(seconds, "bucket").filter(F.col("class") != F.col("second.class"))
-    return pairs.select(F.least("node", "second.node").alias("a"), F.greatest("node", "second.node").alias("b")).distinct()
-
-
 def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """All candidate pairs of different classes that can still be similar.
 
     A text shares with texts of other classes at most those of its k-mers that some other class holds.
     With c shared k-mers the similarity is at most c / (n + m - c), so most texts drop out here without
-    being compared, and pairs only arise where that bound leaves the question open. A pair is given
-    by the first sketch it agrees on only.
+    being compared. For two texts c is at most what the histograms of those k-mers, by ``BINS`` hash
+    bins, have in common, so pairs only arise where that bound leaves the question open. A pair is
+    given by the first sketch it agrees on only.
     """
     open_texts = texts.join(members.select("node", "class").distinct(), "node")
     kmers = open_texts.select("node", "class", "text").mapInArrow(_kmers, "node long, class long, kmer long, n long")
     kmers = _saved(kmers, "kmers")
     shared = kmers.groupBy("kmer").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    held = kmers.join(shared.select("kmer"), "kmer").groupBy("node").agg(F.sum("n").alias("held"))
+    bins = kmers.join(shared.select("kmer"), "kmer").groupBy("node", F.pmod("kmer", F.lit(BINS)).cast("int").alias("bin"))
+    held = bins.agg(F.sum("n").cast("int").alias("n")).groupBy("node").agg(
+        F.sum("n").alias("held"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("by_bin")
+    )
     sized = nodes.select("node", "sketch", "n_kmers").join(held, "node").filter(F.col("held") >= least * F.col("n_kmers") - 1e-6)
+    every = F.sequence(F.lit(0), F.lit(BINS - 1))
+    sized = sized.withColumn("bins", F.transform(every, lambda b: F.coalesce(F.try_element_at("by_bin", b), F.lit(0)))).drop("by_bin")
     kept = members.select("bucket", "node", "class").join(sized, "node")
     kept = _saved(kept, "kept")
-    left, right = (kept.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "class", "sketch", "n_kmers", "held")]) for s in "ab")
+    left, right = (kept.select("bucket", *[F.col(c).alias(f"{s}_{c}") for c in ("node", "class", "sketch", "n_kmers", "held", "bins")]) for s in "ab")
     both = F.col("a_n_kmers") + F.col("b_n_kmers")
     needed = least / (1 + least) * both - 1e-6
     agreed = F.array_position(F.zip_with("a_sketch", "b_sketch", lambda x, y: x == y), True)
@@ -354,5 +352,6 @@ def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float)
         & (F.col("a_class") != F.col("b_class"))
         & (F.least("a_held", "b_held", "a_n_kmers", "b_n_kmers") >= needed)
         & (F.get("a_sketch", agreed.cast("int") - 1) == left["bucket"])
+        & (F.aggregate(F.zip_with("a_bins", "b_bins", lambda x, y: F.least(x, y)), F.lit(0), lambda t, n: t + n) >= needed)
     )
     return left.join(right, possible).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
