@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from viewloom.functions.texts import noise_score
 from viewloom.operators.language import best_language, language_scores
+from viewloom.session import cut_lineage
 
 # Byte order marks, longest first, in hex.
 MARKS = {
@@ -181,9 +182,15 @@ def encoding_audit(
     scored = noise_score(tried, "_text", "noise").withColumn(
         "_wide", 1 - F.try_divide(F.length("_text"), F.col("_bytes"))
     )
-    slim = scored.select(*key, "_place", "charset", "noise", "_wide")
+    # One narrow row per reading, kept, so that no reading is scored for noise twice.
+    slim = cut_lineage(scored.select(*key, "_place", "charset", "noise", "_wide"))
     if languages is not None:
-        told = best_language(language_scores(tried, "_text", languages, [*key, "_place"]), [*key, "_place"])
+        # Languages only matter among the least noisy readings of a file.
+        level = F.floor(F.col("noise") * 100)
+        least = slim.groupBy(*key).agg(F.min(level).alias("_level"))
+        near = slim.join(least, key).filter(level == F.col("_level")).select(*key, "_place")
+        read_again = tried.join(near, [*key, "_place"], "left_semi")
+        told = best_language(language_scores(read_again, "_text", languages, [*key, "_place"]), [*key, "_place"])
         slim = slim.join(told, [*key, "_place"], "left")
     else:
         slim = slim.withColumns({"language": F.lit(None).cast("string"), "score": F.lit(None).cast("double")})
