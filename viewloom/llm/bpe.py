@@ -7,6 +7,7 @@ tokenizers library, and the ids are gathered back. The ids equal those of the wh
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -14,7 +15,9 @@ import numpy as np
 from viewloom.llm.arrays import SPACES, Texts, encode_slices, runs, spread
 
 #: Distinct pieces remembered by one worker; beyond it the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
+#: Text encoded at once: larger pieces repeat fewer words.
+ENCODED = 8 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -132,12 +135,18 @@ class Encoder:
     def _learn(self, missing: list[bytes]) -> None:
         lists: list[list[int]] = [[]] * len(missing)
         others = []
+        tokenize, marked = self.model.tokenize, self.letters[0x20] if self.spaced else ""
         for i, raw in enumerate(missing):
-            word = self._word(raw.decode())
+            if raw.isalpha():  # ASCII letters alone
+                word = raw.decode() if self.spaced else raw.lower().decode()
+            elif marked and raw[:1] == b" " and raw[1:].isalpha():
+                word = marked + raw[1:].decode()
+            else:
+                word = self._word(raw.decode())
             if word is None:
                 others.append(i)
             else:
-                lists[i] = [t.id for t in self.model.tokenize(word)]
+                lists[i] = [t.id for t in tokenize(word)]
         found = self.tokenizer.encode_batch_fast([missing[i].decode() for i in others], add_special_tokens=False)
         for i, e in zip(others, found):
             lists[i] = e.ids
@@ -165,6 +174,12 @@ class Encoder:
         return ids, ends[first]
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which keeps what it has learned from task to task."""
+    return Encoder(path)
+
+
 def with_end(ids: np.ndarray, at: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Append the id ``end`` to each text."""
     return np.insert(ids, at[1:], end).astype(np.uint32), at + np.arange(len(at))

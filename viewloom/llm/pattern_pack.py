@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import pieces, texts_of
-from viewloom.llm.bpe import Encoder, default_path, with_end
+from viewloom.llm.arrays import pieces, texts_of, with_short_batches
+from viewloom.llm.bpe import ENCODED, default_path, shared_encoder, with_end
 from viewloom.session import scratch_path
 
 #: Ranks among equal lengths are counted in so many parts, as one length may hold a third of all rows.
@@ -29,8 +29,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _cut(path: str, end: int, size: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        for table in pieces(batches):
+        encoder = shared_encoder(path)
+        for table in pieces(batches, limit=ENCODED):
             ids, at = with_end(*encoder.encode(texts_of(table.column("text"))), end)
             raw = memoryview(ids.astype("<u4").tobytes())
             n = np.diff(at)
@@ -52,7 +52,7 @@ def _cut(path: str, end: int, size: int):
 
 def cut_pieces(docs: DataFrame, size: int, path: str, end: int) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32); the first piece of a long document is the short one."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, end, size), PIECES)
+    return with_short_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, end, size), PIECES)
 
 
 def patterns_of(size: int) -> np.ndarray:

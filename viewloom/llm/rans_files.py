@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import pieces, texts_of
-from viewloom.llm.bpe import Encoder, default_path, with_end
+from viewloom.llm.arrays import pieces, texts_of, with_short_batches
+from viewloom.llm.bpe import ENCODED, default_path, shared_encoder, with_end
 from viewloom.session import scratch_path
 
 MAGIC = b"RANSTOK1"
@@ -190,7 +190,7 @@ def _files(path: str, end: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), Encoder(path)
+        part, encoder = TaskContext.get().partitionId(), shared_encoder(path)
         held: list[tuple] = []
         size = start = segment = 0
 
@@ -205,7 +205,7 @@ def _files(path: str, end: int):
             start, segment, size, held = start + len(ids), segment + 1, 0, []
             return row
 
-        for table in pieces(batches):
+        for table in pieces(batches, limit=ENCODED):
             ids, at = with_end(*encoder.encode(texts_of(table.column("text"))), end)
             docs = table.column("doc_id").combine_chunks()
             held.append((docs.is_valid().to_numpy(zero_copy_only=False), docs.fill_null(0).to_numpy(), np.diff(at), ids))
@@ -237,7 +237,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
 
     One range shuffle moves each text once; part p holds smaller ids than part p + 1.
     """
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    ordered = with_short_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(_files(path or default_path("word_bpe_49k.json"), end), FILES)
     files.write.option("compression", "none").mode("overwrite").parquet(folder)
