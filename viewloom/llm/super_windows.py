@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import SPACES, Texts, Words, mix, owner, pieces, rolling, spread, texts_of, words_of
+from viewloom.llm.arrays import SPACES, Texts, Words, mix, owner, pieces, rolling, spread, texts_of, with_short_batches, words_of
 
 #: Text of one piece of the scan, and packed text that a bucket sorts at once.
-PIECE = 16 << 20
-SORTED = 24 << 20
+PIECE = 6 << 20
+SORTED = 4 << 20
 #: Words of the group whose hash picks the minimiser, and how hard packed strings are compressed.
 GROUP = 4
 LEVEL = 3
@@ -245,9 +245,9 @@ def repeats(docs: DataFrame, width: int = 20, buckets: int | None = None) -> Dat
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or 4 * tasks
     packed = docs.mapInArrow(_pack(width, buckets), PACKED)
-    # Runs that need no comparing are dealt by their content.
-    key = F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(F.col("bucket"))
-    return packed.repartition(tasks, key).sortWithinPartitions("bucket").mapInArrow(_sort(width), REPEATS)
+    # Every task gets as many buckets; runs that need no comparing are dealt by their content.
+    task = F.pmod(F.when(F.col("bucket") < 0, F.xxhash64("packed")).otherwise(F.col("bucket")), F.lit(tasks)).cast("int")
+    return packed.repartitionById(tasks, task).sortWithinPartitions("bucket").mapInArrow(_sort(width), REPEATS)
 
 
 def _kept(width: int):
@@ -286,7 +286,7 @@ def remove_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     and rows equal in both count as one document. Null and short texts have no windows. Texts are
     judged whole and on the input; other columns are ignored.
     """
-    base = docs.select(
+    base = with_short_batches(docs).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
         F.col("doc_id").isNotNull().alias("known"),
         F.xxhash64("text").alias("mark"),
