@@ -121,19 +121,21 @@ def encoding_marks(files: DataFrame, content: str = "content") -> DataFrame:
 
 def _decoder(names: list[str]):
     @F.pandas_udf("array<struct<charset:string,text:string>>")
-    def decode(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        def tried(content, wished):
-            found = []
-            wished = known_charset(wished)
-            for name in dict.fromkeys([*([wished] if wished else []), *names]):
+    def decode(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        def tried(content, mark, declared):
+            found = {}  # text: the first charset in the order of trust that reads it so
+            mark, declared = known_charset(mark), known_charset(declared)
+            for name in dict.fromkeys([*filter(None, (mark, declared)), *names]):
                 try:
-                    found.append({"charset": name, "text": bytes(content).decode(name)})
+                    found.setdefault(bytes(content).decode(name), name)
                 except (UnicodeDecodeError, LookupError, ValueError):
                     continue
-            return found
+                if name == mark:  # a mark that the bytes bear out settles it
+                    break
+            return [{"charset": name, "text": text} for text, name in found.items()]
 
-        for contents, wishes in batches:
-            yield pd.Series([None if c is None else tried(c, w) for c, w in zip(contents, wishes)])
+        for contents, marks, names_ in batches:
+            yield pd.Series([None if c is None else tried(c, m, n) for c, m, n in zip(contents, marks, names_)])
 
     return decode
 
@@ -142,13 +144,13 @@ def candidates(files: DataFrame, content: str, code_pages: list[str]) -> DataFra
     """One row per file and encoding that can read it: charset, place in the order
     of trust, text. ASCII and UTF-8 files are decoded by the JVM; only the others,
     marked ones too, go through their wished charset and the code pages, where
-    malformed bytes rule a charset out instead of ending the job."""
+    malformed bytes rule a charset out instead of ending the job. A mark that fits is
+    the only reading, and equal readings count once."""
     marked = encoding_marks(files, content)
     c = F.col(content)
     body = F.when(F.col("bom") == "utf_8", F.substr(c, F.lit(4))).otherwise(c)
     needs_pages = ~F.col("utf8")
-    wished = F.coalesce("bom", "declared")
-    pages = _decoder(code_pages)(F.when(needs_pages, c), F.when(needs_pages, wished))
+    pages = _decoder(code_pages)(F.when(needs_pages, c), F.when(needs_pages, F.col("bom")), F.when(needs_pages, F.col("declared")))
     direct = F.when(
         F.col("utf8"),
         F.struct(
