@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import carried_types, pieces
+from viewloom.llm.arrays import carried_types, pieces, with_short_batches
 
 DIMENSIONS = 1024
 GRAM = 3
 SEED = 7
 #: Text worked on at once, n-gram vectors a worker remembers, and texts whose bundles are made together.
-PIECE = 4 << 20
-REMEMBERED = 60_000
+PIECE = 2 << 20
+REMEMBERED = 40_000
 TOGETHER = 32
 UNKNOWN = "und"
 
@@ -163,7 +163,7 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     The driver gets one vector per language; their number is that of the labels, not of documents.
     """
     picked = docs.filter(~_held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    parts = picked.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(_bundles, "lang string, vector array<double>")
+    parts = with_short_batches(picked).select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(_bundles, "lang string, vector array<double>")
     summed = parts.select("lang", F.posexplode("vector").alias("at", "value")).groupBy("lang", "at").agg(F.sum("value").alias("value"))
     vectors: dict[str, np.ndarray] = {}
     for lang, at, value in summed.collect():  # languages x dimensions
@@ -182,4 +182,4 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None,
     """
     handed = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
     picked = docs.select(*carried, _held_out().alias("held_out"))
-    return picked.mapInArrow(_label(handed, carried), carried_types(docs, carried) + PREDICTED)
+    return with_short_batches(picked).mapInArrow(_label(handed, carried), carried_types(docs, carried) + PREDICTED)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import Texts, owner, pieces, texts_of, words_of
+from viewloom.llm.arrays import Texts, owner, pieces, texts_of, with_short_batches, words_of
 from viewloom.session import scratch_path
 
 #: Words of test items that go to the workers at once; a larger test set is searched block by block.
@@ -135,7 +135,7 @@ def choose(items: list[list[str]], terms: dict[str, int], lengths: dict[int, int
 def build_index(docs: DataFrame, items: list[list[str]], window: int, rarest: int, folder: str) -> list[Window]:
     """Write the index of ``docs`` for these items below ``folder`` and return the windows to look up."""
     context = docs.sparkSession.sparkContext
-    picked = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
+    picked = with_short_batches(docs).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string"))
     numbers = {w: i for i, w in enumerate(sorted({w for words in items for w in words}))}
     handed = context.broadcast({w.encode(): i for w, i in numbers.items()})
     counted = picked.select("text").mapInArrow(_lengths(handed), "term int, n long").groupBy("term").agg(F.sum("n"))

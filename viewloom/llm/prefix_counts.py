@@ -20,11 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.arrays import Texts, encode_slices, mix, pieces, spread, texts_of
+from viewloom.llm.arrays import Texts, encode_slices, mix, pieces, spread, texts_of, with_short_batches
 from viewloom.llm.bpe import default_path
 
 #: Distinct words remembered by one worker; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 MARK = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -269,7 +269,7 @@ def prefix_counts(docs: DataFrame, budget: int = 4096, path: str | None = None)
     at most ``budget`` tokens. Null text counts as empty (no tokens); null or repeated ids stay rows
     of their own; other columns are ignored. Nothing is shuffled.
     """
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    picked = with_short_batches(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return picked.mapInArrow(_count(path or default_path("piece_bpe_32k.model"), budget), "doc_id long, " + SCHEMA)
 
 

@@ -17,13 +17,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import carried_types, pieces, runs, texts_of
+from viewloom.llm.arrays import carried_types, pieces, runs, texts_of, with_short_batches
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -248,7 +247,7 @@ def find_secrets(docs: DataFrame, carried: tuple[str, ...] = ("doc_id", "text"))
     columns that are not carried are ignored. Nothing is shuffled; a worker holds one piece of the
     scan at a time.
     """
-    return docs.select(*carried).mapInArrow(lambda batches: _scan(batches, carried), carried_types(docs, carried) + FOUND)
+    return with_short_batches(docs).select(*carried).mapInArrow(lambda batches: _scan(batches, carried), carried_types(docs, carried) + FOUND)
 
 
 def joined_spans(spans: Column) -> Column:
@@ -260,27 +259,18 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Overlapping spans as one, in order."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(b, out[-1][1])
-        else:
-            out.append((a, b))
-    return out
-
+def masked(text: Column, spans: Column, by: str = "[secret]") -> Column:
+    """The text with every span replaced, spans that overlap or touch once."""
 
-def _replaced(texts: pd.Series, lists: pd.Series, by: pd.Series) -> pd.Series:
-    out = []
-    for text, spans, mark in zip(texts, lists, by):
-        if text is not None and len(spans):
-            for a, b in reversed(merged([(s["start"], s["stop"]) for s in spans])):
-                text = text[:a] + mark + text[b:]
-        out.append(text)
-    return pd.Series(out, dtype=object)
+    def step(state: Column, s: Column) -> Column:
+        apart = (s["start"] > state["at"]) | (F.size(state["out"]) == 0)
+        between = F.substring(text, state["at"] + 1, s["start"] - state["at"])
+        shown = F.when(apart, F.concat(state["out"], F.array(between, F.lit(by)))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), shown.alias("out"))
 
+    def rest(state: Column) -> Column:
+        return F.concat(F.array_join(state["out"], ""), F.substr(text, state["at"] + 1))
 
-def masked(text: Column, spans: Column, by: str = "[secret]") -> Column:
-    """The text with every span replaced, overlapping spans once."""
-    return F.pandas_udf(_replaced, "string")(text, spans, F.lit(by))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.when(F.size(spans) > 0, F.aggregate(ordered, first, step, rest)).otherwise(text)
