@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from viewloom.llm.arrays import SPACES, Texts, Words, mix, owner, pieces, rolling, spread, texts_of, with_short_batches, words_of
 
 #: Text of one piece of the scan, and packed text that a bucket sorts at once.
-PIECE = 6 << 20
+PIECE = 8 << 20
 SORTED = 4 << 20
 #: Words of the group whose hash picks the minimiser, and how hard packed strings are compressed.
 GROUP = 4
-LEVEL = 3
+LEVEL = 5
 
 PACKED = "bucket int, packed binary"
 REPEATS = "doc_id long, known boolean, mark long, start long, n long"
