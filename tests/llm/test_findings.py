@@ -75,6 +75,19 @@ def test_layers_end(spark):
     assert masked == ["None", "é [secret] x [secret]== y"]
 
 
+
+@pytest.mark.parametrize("hide", [lambda t: b64(t.encode()), lambda t: "".join(f"%{c:02x}" for c in t.encode()), lambda t: b64(gzip.compress(t.encode(), mtime=0))])
+def test_each_copy_of_a_hidden_secret_is_found(hide):
+    hidden = hide(SECRET)
+    nested = b64(f"{hidden} and {hidden}".encode())
+    text = f"{hidden} x\n{hidden} y\n{b64(SECRET.encode())} {nested}"
+    spans = secret_layers.scan(text)[1]
+    at = [0, len(hidden) + 3, 2 * len(hidden) + 6]
+    for place in at:
+        assert any(place <= a < b <= place + len(hidden) + 40 for _, a, b in spans)
+    inside = [(a, b) for _, a, b in spans if a >= len(text) - len(nested)]
+    assert len(set(inside)) == 2
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

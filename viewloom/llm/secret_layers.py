@@ -1,8 +1,8 @@
 """Secrets in texts and in what the texts hold in encoded form.
 
 A worklist starts with the text. Every layer is scanned, and its URL-escaped, Unicode-escaped, base64
-and compressed parts are unwrapped into further layers until nothing new turns up; a layer that was
-seen before ends its branch. Each character of a layer knows the span of the text it came from, so a
+and compressed parts are unwrapped into further layers until nothing new turns up; a layer that holds
+itself ends its branch, and a layer that stands in several places is scanned once and mapped to each. Each character of a layer knows the span of the text it came from, so a
 secret found three layers down is reported at the place in the text that hides it.
 """
 
@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import base64
 import bz2
+import hashlib
 import lzma
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -192,31 +194,57 @@ def _parts(text: str) -> Iterator[tuple[int, int, Layer | None, bool]]:
         yield m.start(), m.end(), *decode_base64(m[0])
 
 
+class _Opened:
+    """A layer whose parts are being opened: what was found in it so far, in its own places."""
+
+    def __init__(self, text: str, key: bytes, spans: list[tuple[str, int, int]], start: int = 0, via: Layer | None = None):
+        self.key, self.start, self.via = key, start, via
+        self.found, self.parts = set(spans), _parts(text)
+        self.cycle = sys.maxsize  # least depth of the layers below which this one holds again
+
+    def add(self, start: int, inner: Layer, spans: set[tuple[str, int, int]]) -> None:
+        for kind, a, b in spans:
+            self.found.add((kind, start + inner.lo[a], start + inner.hi[b - 1]))
+
+
+def _key(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, int]:
-    """Base spans, all spans, how many layers were opened, and how many were too large."""
+    """Base spans, all spans, how many different layers were opened, and how many were too large."""
     order = {k: i for i, k in enumerate(KINDS)}
     ranked = lambda found: sorted(found, key=lambda x: (x[1], order[x[0]], x[2]))
-    base = base_spans(text)
-    found, layers, oversized = set(base), 0, 0
-    work: list[Layer | None] = [None]  # None: the text itself, where a character stands for itself
-    seen = {text}
-    while work:
-        layer = work.pop()
-        for start, stop, inner, large in _parts(text if layer is None else layer.text):
+    base, oversized = base_spans(text), 0
+    done: dict[bytes, set[tuple[str, int, int]]] = {}  # spans of a layer's text, in its own places
+    path = [_Opened(text, _key(text), base)]
+    depths, layers = {path[0].key: 0}, set()
+    while True:
+        here = path[-1]
+        for start, _, inner, large in here.parts:
             oversized += large
-            if inner is None or inner.text in seen:
+            if inner is None:
                 continue
-            seen.add(inner.text)
-            layers += 1
-            if layer is None:
-                inner.lo, inner.hi = [start + i for i in inner.lo], [start + i for i in inner.hi]
+            key = _key(inner.text)
+            if key in depths:
+                here.cycle = min(here.cycle, depths[key])
+            elif key in done:
+                here.add(start, inner, done[key])
+            else:
+                layers.add(key)
+                depths[key] = len(path)
+                path.append(_Opened(inner.text, key, base_spans(inner.text), start, inner))
+                break
+        else:
+            path.pop()
+            del depths[here.key]
+            if not path:
+                return ranked(base), ranked(here.found), len(layers), oversized
+            path[-1].add(here.start, here.via, here.found)
+            if here.cycle >= len(path):  # whole: no layer above it was left out of it
+                done[here.key] = here.found
             else:
-                lo, hi = layer.lo[start:stop], layer.hi[start:stop]
-                inner.lo, inner.hi = [lo[i] for i in inner.lo], [hi[i - 1] for i in inner.hi]
-            for kind, a, b in base_spans(inner.text):
-                found.add((kind, inner.lo[a], inner.hi[b - 1]))
-            work.append(inner)
-    return ranked(base), ranked(found), layers, oversized
+                path[-1].cycle = min(path[-1].cycle, here.cycle)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = ("doc_id", "text")) -> Iterator[pa.RecordBatch]:
