@@ -88,6 +88,30 @@ def test_each_copy_of_a_hidden_secret_is_found(hide):
     inside = [(a, b) for _, a, b in spans if a >= len(text) - len(nested)]
     assert len(set(inside)) == 2
 
+
+NOISE = " ".join(hashlib.md5(bytes([i])).hexdigest()[:20] for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "text, inside",
+    [
+        ('"password": "\\u0068unter2hunter2"', "unter2hunter2"),
+        ("token = abc%2Bdef12345", "abc%2Bdef12345"),
+        ("secret: token%3Aabcdefgh12345", "token%3Aabcdefgh12345"),
+        ('token: "password%3A%20hunter2hunter2"', "password%3A%20hunter2hunter2"),
+        ("key:\n" + base64.encodebytes(f"{NOISE[:50]} {SECRET} {NOISE[:90]}".encode()).decode(), None),
+        ("key:\n" + base64.encodebytes(gzip.compress(f"{NOISE} {SECRET}".encode())).decode() + "\nword", None),
+        *[("/x" + "y" * k + "/" + b64(SECRET.encode()), None) for k in range(4)],
+        *[("/x" + "y" * k + "/" + b64(gzip.compress(SECRET.encode())), None) for k in range(4)],
+    ],
+)
+def test_secrets_parted_from_their_escapes_are_found(text, inside):
+    spans = [s for s in secret_layers.scan(text)[1] if s[0] == "assign"]
+    assert spans and all(0 <= a < b <= len(text) for _, a, b in spans)
+    assert any(text[a:b].endswith(inside or "") for _, a, b in spans)
+    assert "word" not in "".join(text[a:b] for _, a, b in spans if not inside)
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -15,7 +15,8 @@ import lzma
 import re
 import sys
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,7 @@ from viewloom.llm.arrays import carried_types, pieces, runs, texts_of, with_shor
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
+_LAST_KEYWORD = re.compile(r"(?:password|passwd|secret|token|api_?key)=?\Z", re.A | re.I)
 ACCESS = re.compile("AKIA[A-Z0-9]{12,}")
 HEX = re.compile("[0-9a-f]{32,}")
 
@@ -36,11 +38,20 @@ UNFOLDED = 64 << 20
 #: Characters of a base64 run worth decoding: the shortest secret has 14 bytes, which take 19.
 BASE64_RUN = 16
 
-_ESCAPED = re.compile(r"""[^\s"'<>]*%[0-9A-Fa-f]{2}[^\s"'<>]*""")
 _PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
-_UNICODED = re.compile(r"""[^\s"'<>]*\\(?:u[0-9A-Fa-f]{4}|u\{[0-9A-Fa-f]{1,6}\}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2})[^\s"'<>]*""")
+_PERCENT_CHAIN = re.compile("%(?:25){3,}+")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-_BASE64 = re.compile("[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_RUN)
+_BASE64_LINE = re.compile("[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_RUN)
+#: A run and the runs on the lines around it; of those before, only one shorter line.
+_BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{1,%d}+\r?\n[\x20\t]*+)?+[A-Za-z0-9+/_-]{%d,}+(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)*+={0,2}" % (BASE64_RUN - 1, BASE64_RUN))
+_LINE_END = re.compile(r"\r?\n[\x20\t]*")
+#: What gzip, zlib, bzip2, xz and Zstandard bytes begin with.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Bytes of whole UTF-8 characters without control characters, as many as a base64 run worth decoding has.
+_READABLE = re.compile(
+    rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
+)
 
 #: Texts without any of these hold neither a secret nor a layer (a run of base64 letters is looked for apart).
 _TRIGGER = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{12}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]"""
@@ -55,11 +66,10 @@ FOUND = (
 
 @dataclass
 class Layer:
-    """A text and, for each of its characters, the span of the document it stands for."""
+    """A text, and where the characters a to b of it stand in the text it was unwrapped from."""
 
     text: str
-    lo: list[int]
-    hi: list[int]
+    place: Callable[[int, int], tuple[int, int]]
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -69,6 +79,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def inner_spans(text: str) -> list[tuple[str, int, int]]:
+    """Secrets in an unwrapped text. Text around a part may end a match inside it, so the search goes
+    on from a keyword at a match's end; what it holds before that lies in the match."""
+    found, at = base_spans(text), 0
+    while m := ASSIGN.search(text, at):
+        if len(m[2]) >= 8:
+            found.append(("assign", *m.span()))
+        last = _LAST_KEYWORD.search(text, max(m.start() + 1, m.end() - 9), m.end())
+        at = last.start() if last else m.end()
+    return found
+
+
 def _characters(raw: bytes) -> tuple[str, list[int]]:
     """UTF-8 text of bytes (broken ones replaced) and the byte each character starts at."""
     text = raw.decode("utf-8", "replace")
@@ -90,53 +112,82 @@ def _characters(raw: bytes) -> tuple[str, list[int]]:
     return text, [*starts, len(raw)]
 
 
-def unescape_url(part: str) -> Layer:
-    """Percent escapes of a part; spans count from its start."""
-    text, lo, hi, at = [], [], [], 0
-    for m in _PERCENT.finditer(part):
-        text.append(part[at : m.start()])
-        lo += range(at, m.start())
-        hi += range(at + 1, m.start() + 1)
-        decoded, starts = _characters(bytes.fromhex(m[0].replace("%", "")))
-        text.append(decoded)
-        lo += [m.start() + 3 * s for s in starts[:-1]]
-        hi += [m.start() + 3 * s for s in starts[1:]]
-        at = m.end()
-    text.append(part[at:])
-    return Layer("".join(text), [*lo, *range(at, len(part))], [*hi, *range(at + 1, len(part) + 1)])
-
-
-def unescape_unicode(part: str) -> Layer:
-    """Backslash escapes of a part; a surrogate pair is one character."""
-    text, lo, hi, at = [], [], [], 0
-    for m in _UNICODE.finditer(part):
-        for i in range(at, m.start()):
-            text.append(part[i])
-            lo.append(i)
-            hi.append(i + 1)
-        at = m.end()
-        point = int(next(g for g in m.groups() if g), 16)
-        if point > 0x10FFFF:
-            point = 0xFFFD
-        if 0xDC00 <= point < 0xE000 and text and "\ud800" <= text[-1] < "\udc00" and hi[-1] == m.start():
-            text[-1] = chr(0x10000 + ((ord(text[-1]) - 0xD800) << 10) + point - 0xDC00)
-            hi[-1] = at
-            continue
-        text.append(chr(point))
-        lo.append(m.start())
-        hi.append(at)
-    for i in range(at, len(part)):
-        text.append(part[i])
-        lo.append(i)
-        hi.append(i + 1)
-    return Layer("".join("�" if "\ud800" <= c < "" else c for c in text), lo, hi)
-
-
-def unfold(raw: bytes) -> bytes | None:
-    """What gzip, zlib, bzip2, xz or Zstandard bytes hold; None if they are none of these."""
+def _replaced(text: str, escapes: Iterator[tuple[int, int, str, list[int]]]) -> Layer:
+    """A text with its escapes (start, stop, characters, where each of them starts and the last ends)
+    replaced; characters between them stand for themselves."""
+    out, size, at = [], 0, 0
+    where, lo, hi = [], [], []  # of the replaced characters only
+    for start, stop, characters, starts in escapes:
+        out += (text[at:start], characters)
+        size += start - at
+        where += range(size, size + len(characters))
+        lo += starts[:-1]
+        hi += starts[1:]
+        size += len(characters)
+        at = stop
+    out.append(text[at:])
+
+    def edge(i: int, ends: list[int], own: int) -> int:
+        k = bisect_right(where, i) - 1
+        if k < 0:
+            return i + own
+        return ends[k] if where[k] == i else hi[k] + i - where[k] - 1 + own
+
+    return Layer("".join(out), lambda a, b: (edge(a, lo, 0), edge(b - 1, hi, 1)))
+
+
+def unescape_url(text: str) -> Layer:
+    """A text with its percent escapes replaced."""
+
+    def escapes() -> Iterator[tuple[int, int, str, list[int]]]:
+        for m in _PERCENT.finditer(text):
+            decoded, starts = _characters(bytes.fromhex(m[0].replace("%", "")))
+            yield m.start(), m.end(), decoded, [m.start() + 3 * s for s in starts]
+
+    return _replaced(text, escapes())
+
+
+def unescape_unicode(text: str) -> Layer:
+    """A text with its backslash escapes replaced; a surrogate pair is one character."""
+
+    def escapes() -> Iterator[tuple[int, int, str, list[int]]]:
+        high: tuple[int, int, int] | None = None
+        for m in _UNICODE.finditer(text):
+            point = int(next(g for g in m.groups() if g), 16)
+            if high and high[1] == m.start() and 0xDC00 <= point < 0xE000:
+                yield high[0], m.end(), chr(0x10000 + ((high[2] - 0xD800) << 10) + point - 0xDC00), [high[0], m.end()]
+                high = None
+                continue
+            if high:
+                yield high[0], high[1], "�", [high[0], high[1]]
+                high = None
+            if 0xD800 <= point < 0xDC00:
+                high = m.start(), m.end(), point
+                continue
+            shown = "�" if point > 0x10FFFF or 0xDC00 <= point < 0xE000 else chr(point)
+            yield m.start(), m.end(), shown, [m.start(), m.end()]
+        if high:
+            yield high[0], high[1], "�", [high[0], high[1]]
+
+    return _replaced(text, escapes())
+
+
+def _unfold_zstd(raw: memoryview) -> tuple[bytes, int]:
+    import zstandard
+
+    opened, out, size, at = zstandard.ZstdDecompressor().decompressobj(), [], 0, 0
+    while at < len(raw) and not opened.eof and size <= UNFOLDED:
+        out.append(opened.decompress(raw[at : at + 1024]))  # a kilobyte unfolds to 32 MiB at most
+        size += len(out[-1])
+        at += 1024
+    return b"".join(out), min(at, len(raw)) - len(opened.unused_data)
+
+
+def unfold(raw: memoryview) -> tuple[bytes, int] | None:
+    """What gzip, zlib, bzip2, xz or Zstandard bytes hold, and how many they are; None if they are none of these."""
     if raw[:2] == b"\x1f\x8b":
         opened = zlib.decompressobj(31)
-    elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
+    elif raw[:1] == b"\x78":
         opened = zlib.decompressobj()
     elif raw[:3] == b"BZh":
         opened = bz2.BZ2Decompressor()
@@ -146,65 +197,98 @@ def unfold(raw: bytes) -> bytes | None:
         import zstandard
 
         try:
-            with zstandard.ZstdDecompressor().stream_reader(raw) as reader:
-                return reader.read(UNFOLDED + 1)
+            return _unfold_zstd(raw)
         except zstandard.ZstdError:
             return None
     else:
         return None
     try:
-        return opened.decompress(raw, UNFOLDED + 1)
+        return opened.decompress(raw, UNFOLDED + 1), len(raw) - len(opened.unused_data)
     except (zlib.error, OSError, EOFError, lzma.LZMAError):
         return None
 
 
-def decode_base64(part: str) -> tuple[Layer | None, bool]:
-    """The text a base64 run holds, compressed or plain, and whether it was too large to unfold."""
-    body = part.rstrip("=")
-    if len(body) % 4 == 1:
-        return None, False
-    raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-    held = unfold(raw)
-    if held is not None:
-        if len(held) > UNFOLDED:
-            return None, True
-        text = held.decode("utf-8", "replace")
-        return Layer(text, [0] * len(text), [len(part)] * len(text)), False
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None, False
-    if not all(c.isprintable() or c in "\t\r\n" for c in text):
-        return None, False
-    starts = _characters(raw)[1]
-    lo = [4 * (s // 3) + s % 3 for s in starts[:-1]]
-    hi = [4 * ((s - 1) // 3) + (s - 1) % 3 + 2 for s in starts[1:]]
-    return Layer(text, lo, hi), False
-
-
-def _parts(text: str) -> Iterator[tuple[int, int, Layer | None, bool]]:
-    """Encoded parts of a layer: start, end, what they unwrap to, whether they were too large."""
-    if "%" in text:
-        for m in _ESCAPED.finditer(text):
-            yield m.start(), m.end(), unescape_url(m[0]), False
-    if "\\" in text:
-        for m in _UNICODED.finditer(text):
-            yield m.start(), m.end(), unescape_unicode(m[0]), False
+def _stretch(raw: bytes, start: int, stop: int, place: Callable[[int, int], tuple[int, int]]) -> Layer:
+    """The readable bytes from start to stop as a layer; ``place`` says where bytes stand."""
+    text = raw[start:stop].decode()
+    if len(text) == stop - start:
+        return Layer(text, lambda a, b: place(start + a, start + b))
+    bytes_ = np.frombuffer(raw, np.uint8, stop - start, start)
+    at = np.append(np.flatnonzero((bytes_ & 0xC0) != 0x80), stop - start) + start
+    return Layer(text, lambda a, b: place(int(at[a]), int(at[b])))
+
+
+def decode_base64(part: str) -> tuple[list[Layer], int]:
+    """What a base64 run holds, compressed or readable, and how much of it was too large to unfold.
+
+    Something may be glued to either end of the run, so each of the four alignments is tried, readable
+    bytes need not fill the run, and compressed ones may begin anywhere in it. Line ends are skipped.
+    """
+    breaks, kept, skipped = [], [], []  # the places in the joined lines after which so much was left out
+    at = out = 0
+    for m in _LINE_END.finditer(part):
+        kept.append(part[at : m.start()])
+        at = m.end()
+        out += m.end() - m.start()
+        breaks.append(m.end() - out)
+        skipped.append(out)
+    body = "".join([*kept, part[at:]]).rstrip("=")
+    own = lambda i: i + (skipped[k - 1] if (k := bisect_right(breaks, i)) else 0)
+    plain = body.replace("-", "+").replace("_", "/")
+    layers, oversized = [], 0
+    for shift in range(4):
+        n = len(plain) - shift
+        n -= n % 4 == 1
+        raw = base64.b64decode(plain[shift : shift + n] + "=" * (-n % 4))
+
+        def place(a: int, b: int, shift: int = shift) -> tuple[int, int]:
+            return own(shift + 4 * (a // 3) + a % 3), own(shift + 4 * ((b - 1) // 3) + (b - 1) % 3 + 1) + 1
+
+        for m in _MAGIC.finditer(raw):
+            held, size = unfold(memoryview(raw)[m.start() :]) or (b"", 0)
+            if len(held) > UNFOLDED:
+                oversized += 1
+            elif held:
+                lo, hi = place(m.start(), m.start() + size)
+                hi = hi if m.start() + size < len(raw) else len(part)
+                layers.append(Layer(held.decode("utf-8", "replace"), lambda a, b, lo=lo, hi=hi: (lo, hi)))
+        layers += [_stretch(raw, *m.span(), place) for m in _READABLE.finditer(raw)]
+    return layers, oversized
+
+
+def _parts(text: str, opened: dict[str, tuple[list[Layer], int]]) -> Iterator[tuple[int, Layer | None, int]]:
+    """What a layer unwraps to: start of the part, the layer in it, how much was too large. URL and
+    Unicode escapes are replaced in the whole text, as a secret's keyword may stand outside them."""
+    if _PERCENT_CHAIN.search(text):  # escapes of escapes of escapes: all but the last at once
+        yield 0, _replaced(text, ((m.start(), m.end(), "%25", [m.start(), m.start() + 1, m.start() + 2, m.end()]) for m in _PERCENT_CHAIN.finditer(text))), 0
+    elif _PERCENT.search(text):
+        yield 0, unescape_url(text), 0
+    if _UNICODE.search(text):
+        yield 0, unescape_unicode(text), 0
     for m in _BASE64.finditer(text):
-        yield m.start(), m.end(), *decode_base64(m[0])
+        runs_ = [m] if "\n" not in m[0] else [m, *_BASE64_LINE.finditer(text, *m.span())]
+        for run in runs_:
+            if run[0] not in opened:
+                opened[run[0]] = decode_base64(run[0])
+            layers, large = opened[run[0]]
+            if large:
+                yield run.start(), None, large
+            for layer in layers:
+                yield run.start(), layer, 0
 
 
 class _Opened:
     """A layer whose parts are being opened: what was found in it so far, in its own places."""
 
-    def __init__(self, text: str, key: bytes, spans: list[tuple[str, int, int]], start: int = 0, via: Layer | None = None):
+    def __init__(self, key: bytes, spans: list[tuple[str, int, int]], parts: Iterator, start: int = 0, via: Layer | None = None):
         self.key, self.start, self.via = key, start, via
-        self.found, self.parts = set(spans), _parts(text)
+        self.found, self.parts = set(spans), parts
         self.cycle = sys.maxsize  # least depth of the layers below which this one holds again
 
     def add(self, start: int, inner: Layer, spans: set[tuple[str, int, int]]) -> None:
         for kind, a, b in spans:
-            self.found.add((kind, start + inner.lo[a], start + inner.hi[b - 1]))
+            lo, hi = inner.place(a, b)
+            self.found.add((kind, start + lo, start + hi))
 
 
 def _key(text: str) -> bytes:
@@ -217,11 +301,12 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     ranked = lambda found: sorted(found, key=lambda x: (x[1], order[x[0]], x[2]))
     base, oversized = base_spans(text), 0
     done: dict[bytes, set[tuple[str, int, int]]] = {}  # spans of a layer's text, in its own places
-    path = [_Opened(text, _key(text), base)]
+    opened: dict[str, tuple[list[Layer], int]] = {}  # base64 runs
+    path = [_Opened(_key(text), base, _parts(text, opened))]
     depths, layers = {path[0].key: 0}, set()
     while True:
         here = path[-1]
-        for start, _, inner, large in here.parts:
+        for start, inner, large in here.parts:
             oversized += large
             if inner is None:
                 continue
@@ -233,7 +318,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
             else:
                 layers.add(key)
                 depths[key] = len(path)
-                path.append(_Opened(inner.text, key, base_spans(inner.text), start, inner))
+                path.append(_Opened(key, inner_spans(inner.text), _parts(inner.text, opened), start, inner))
                 break
         else:
             path.pop()
