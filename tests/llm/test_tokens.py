@@ -139,3 +139,14 @@ def test_plan_uses_each_piece_once():
             used[v] += n
     assert (used == histogram).all()
     assert sum(n for _, n in made) <= -(-(np.arange(65) * histogram).sum() // 64) * 1.01 + 1
+
+
+def test_repeated_short_lengths_fill_open_sequences():
+    histogram = np.zeros(1025, int)
+    histogram[600], histogram[10] = 1000, 40_000  # 42 tens fit beside each 600
+    used = np.zeros(1025, int)
+    made = pattern_pack.plan(histogram, 1024)
+    for lengths, n in made:
+        assert sum(lengths) <= 1024
+        np.add.at(used, list(lengths), n)
+    assert (used == histogram).all() and sum(n for _, n in made) == 1000

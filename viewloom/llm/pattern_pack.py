@@ -116,14 +116,16 @@ def best_fit(left: np.ndarray, size: int) -> list[tuple[tuple[int, ...], int]]:
     for v in range(size, 0, -1):
         n = int(left[v])
         for r in range(v, size):
+            fits = r // v  # the room left by one piece is the best fit of the next, until it is too small
             while n and room[r]:
                 held, m = room[r].popitem()
-                take = min(n, m)
+                copies = min(n, fits)
+                take = min(n // copies, m)
                 if m > take:
                     room[r][held] = m - take
-                key = (*held, v)
-                room[r - v][key] = room[r - v].get(key, 0) + take
-                n -= take
+                key = held + (v,) * copies
+                room[r - copies * v][key] = room[r - copies * v].get(key, 0) + take
+                n -= take * copies
             if not n:
                 break
         while n:
