@@ -180,6 +180,17 @@ def test_words_that_disclose(spark):
     assert not any(s.kind in disclosure.ADDED for r in few.collect() for s in r.spans)
 
 
+def test_words_far_from_an_entity_disclose_too(spark):
+    filler = "the cook wrote about lunch and dinner " * 400
+    ends = ["Quuxley spy@mole.org", "spy@mole.org", "spy@mole.org"]  # near it in one document only
+    rows = [(i, f"Quuxley went. {filler}{e} \xe9\xe8\xe0spy@mole.org {filler}said Quuxley {i}", None) for i, e in enumerate(ends)]
+    rows += [(100 + i, filler, None) for i in range(100)]
+    found = by_id(disclosure.find_personal(table(spark, rows)))
+    for i, text, _ in rows[:3]:
+        want = [m.span() for m in re.finditer("Quuxley", text)]
+        assert sorted((s.start, s.stop) for s in found[i].spans if s.kind == "remove" and s.value == "quuxley") == want
+        assert not {"lunch", "\xe9\xe8\xe0", "cook"} & {s.value for s in found[i].spans}
+
 def jaccard(a, b):
     def shingles(t):
         w = t.split()

@@ -1,11 +1,11 @@
 """Personal data, and the words around it that give it away, in DataFrame functions only.
 
 Fixed patterns find emails, addresses, cards and phone numbers. Each value found is a protected
-entity. From all documents the operator counts how often a word stands near an entity, how often it
+entity. From all documents the operator counts how often a word occurs with an entity, how often it
 occurs at all, and how often the entity does. The disclosure of a word is its pointwise mutual
 information with the entity as a share of the entity's information content: 1 if the word occurs
-with the entity only, about 0 if it is independent of it. Words near the entity that exceed a
-threshold are generalised, those that exceed a higher one are removed.
+with the entity only, about 0 if it is independent of it. Wherever they stand in a text that holds the
+entity, words that exceed a threshold are generalised, those that exceed a higher one are removed.
 """
 
 from __future__ import annotations
@@ -26,9 +26,12 @@ KINDS = ("email", "ip", "card", "phone")
 #: Kinds of the spans that the method adds.
 ADDED = ("remove", "generalise")
 
-#: Characters on either side of an entity in which words count as near it, and their least length.
-REACH = 80
+#: Least length of a word that counts.
 SHORTEST = 3
+#: Stands for the characters of personal data where words are looked for.
+COVER = "\0"
+#: Characters after which a text is cut, at a word's end, to find the places of words.
+PIECE = 2000
 
 
 def found_spans(text: Column, pattern: str) -> Column:
@@ -99,41 +102,69 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*[_kind_spans(text, i, kind, patterns[i]) for i, kind in enumerate(KINDS)]))
 
 
-def _near(text: Column, span: Column, spans: Column) -> Column:
-    """Words near a span as (start, stop, value) in the text's places: whole ones outside all spans."""
+def _uncovered(text: Column) -> Column:
+    """The text with a blank for each COVER of its own."""
+    return F.replace(text, F.lit(COVER), F.lit(" "))
 
-    def side(start: Column, stop: Column) -> Column:
-        window = F.substring(text, start + 1, stop - start)
-        whole = lambda w: (  # noqa: E731  a word at the window's edge goes on outside, unless the text ends there
-            ((w["start"] > 0) | (start == 0)) & ((w["stop"] < stop - start) | (stop == F.length(text)))
-        )
-        words = F.filter(found_spans(window, r"\p{L}+"), lambda w: whole(w) & (F.length(w["value"]) >= SHORTEST))
-        return F.transform(words, lambda w: F.struct((w["start"] + start).alias("start"), (w["stop"] + start).alias("stop"), F.lower(w["value"]).alias("term")))
 
-    before = side(F.greatest(F.lit(0), span["start"] - REACH), span["start"])
-    after = side(span["stop"], F.least(F.length(text), span["stop"] + REACH))
-    return F.filter(F.concat(before, after), lambda w: ~F.exists(spans, lambda s: (w["start"] < s["stop"]) & (s["start"] < w["stop"])))
+def _covered(text: Column, spans: Column) -> Column:
+    """The text, of equal length, with COVER for the characters of all spans."""
+
+    def step(state: Column, s: Column) -> Column:
+        start = F.greatest(state["at"], s["start"])
+        between = F.substring(text, state["at"] + 1, start - state["at"])
+        shown = F.array(between, F.repeat(F.lit(COVER), s["stop"] - start))
+        moved = F.struct(s["stop"].alias("at"), F.concat(state["out"], shown).alias("out"))
+        return F.when(s["stop"] > state["at"], moved).otherwise(state)
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    rest = lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text) - state["at"]))
+    return F.aggregate(spans, first, step, rest)
+
+
+def _terms(text: Column) -> Column:
+    """The different words of a text, in lower case; letters that touch covered ones are no word."""
+    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\x00]+"))
+    return F.filter(words, lambda w: (F.length(w) >= SHORTEST) & ~F.contains(w, F.lit(COVER)))
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, mark, entity, start, stop, term): the words near each entity of each document."""
+    """Rows (row, doc_id, mark, open, entities), one per document with personal data: its entities, and
+    its text with them covered."""
     spans = docs.withColumn("spans", base_spans(F.col("text"))).filter(F.size("spans") > 0)
-    each = spans.select("doc_id", "mark", "text", "spans", F.explode("spans").alias("span"))
-    value = F.when(F.col("span.kind").isin("card", "phone"), _digits(F.col("span.value"))).otherwise(F.lower("span.value"))
-    words = F.explode_outer(_near(F.col("text"), F.col("span"), F.col("spans"))).alias("word")
-    return each.select("doc_id", "mark", F.concat_ws(":", F.col("span.kind"), value).alias("entity"), words).select("doc_id", "mark", "entity", "word.*")
+    digits = lambda s: F.when(s["kind"].isin("card", "phone"), _digits(s["value"])).otherwise(F.lower(s["value"]))
+    entities = F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], digits(s))))
+    return spans.select(F.monotonically_increasing_id().alias("row"), "doc_id", "mark", _covered(_uncovered(F.col("text")), F.col("spans")).alias("open"), entities.alias("entities"))
+
+
+def _words(text: Column) -> Column:
+    """All whole words of a covered text as (start, stop, term). It is cut into pieces that end where a word does."""
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PIECE}}}+[\p{{L}}\x00]*+"), F.lit(0))
+
+    def step(state: Column, part: Column) -> Column:
+        row = F.struct(state["at"].alias("at"), part.alias("part"))
+        return F.struct((state["at"] + F.length(part)).alias("at"), F.concat(state["rows"], F.array(row)).alias("rows"))
+
+    def placed(p: Column) -> Column:
+        found = F.filter(found_spans(p["part"], r"[\p{L}\x00]+"), lambda w: (F.length(w["value"]) >= SHORTEST) & ~F.contains(w["value"], F.lit(COVER)))
+        return F.transform(found, lambda w: F.struct((w["start"] + p["at"]).alias("start"), (w["stop"] + p["at"]).alias("stop"), F.lower(w["value"]).alias("term")))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at: int, part: string>>").alias("rows"))
+    return F.flatten(F.transform(F.aggregate(parts, first, step, lambda state: state["rows"]), placed))
 
 
-def disclosures(docs: DataFrame, near: DataFrame, support: int) -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
     """Rows (entity, term, n_both, n_term, n_entity, disclosure) for pairs of at least ``support`` documents.
 
-    Counts are of documents, over the whole corpus, and combine before every shuffle.
+    Counts are of documents, of their whole texts and over the whole corpus, and combine before every
+    shuffle. Only entities of ``support`` documents are paired with the words of their documents.
     """
-    entities = near.select("doc_id", "mark", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    pairs = near.filter(F.col("term").isNotNull()).select("doc_id", "mark", "entity", "term").distinct()
+    each = found.select("row", F.explode("entities").alias("entity"))
+    entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
+    shared = each.join(entities, "entity").groupBy("row").agg(F.collect_list("entity").alias("shared"))
+    pairs = found.join(shared, "row").select("shared", F.explode(_terms(F.col("open"))).alias("term")).select(F.explode("shared").alias("entity"), "term")
     pairs = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= support)
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(words).alias("term")).filter(F.length("term") >= SHORTEST)
+    terms = docs.select(F.explode(_terms(_uncovered(F.col("text")))).alias("term"))
     terms = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     total = docs.agg(F.count(F.lit(1)).alias("n"))
     counted = pairs.join(terms, "term").join(entities, "entity").crossJoin(F.broadcast(total))  # one row
@@ -147,7 +178,7 @@ def find_personal(docs: DataFrame, generalise: float = 0.8, remove: float = 0.9,
     """Rows (doc_id, text, base, spans), one per document; spans are (start, rank, stop, kind, value).
 
     ``base`` is the personal data itself; ``spans`` has the disclosing words too, as kinds ``remove``
-    and ``generalise``. A word counts only if it stands near the entity in ``support`` documents.
+    and ``generalise``. A word counts only if it occurs with the entity in ``support`` documents, anywhere in them.
     Null text counts as empty; documents with equal ids and texts are counted apart but get the same
     spans, also with null ids; other columns are ignored; an empty table gives no rows.
     """
@@ -156,11 +187,13 @@ def find_personal(docs: DataFrame, generalise: float = 0.8, remove: float = 0.9,
     base = base.withColumn("mark", F.xxhash64("text"))
     folder = scratch_path(spark, "mentions")
     mentions(base).write.mode("overwrite").parquet(folder)
-    near = spark.read.parquet(folder)
-    known = disclosures(base, near, support).filter(F.col("disclosure") >= generalise)
-    kind = F.when(F.col("disclosure") >= remove, ADDED[0]).otherwise(ADDED[1])
-    known = known.select("entity", "term", kind.alias("kind"), F.when(F.col("disclosure") >= remove, len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"))
-    added = near.join(known, ["entity", "term"]).groupBy("doc_id", "mark", "start", "stop").agg(F.min(F.struct("rank", "kind")).alias("k"), F.first("term").alias("term"))
+    found = spark.read.parquet(folder)
+    known = disclosures(base, found, support).filter(F.col("disclosure") >= generalise)
+    sure = F.col("disclosure") >= remove
+    known = known.select("entity", "term", F.struct(F.when(sure, len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"), F.when(sure, ADDED[0]).otherwise(ADDED[1]).alias("kind")).alias("k"))
+    wanted = found.select("row", F.explode("entities").alias("entity")).join(known, "entity").groupBy("row", "term").agg(F.min("k").alias("k"))
+    places = found.join(wanted.select("row").distinct(), "row", "left_semi").select("row", "doc_id", "mark", F.explode(_words(F.col("open"))).alias("word")).select("row", "doc_id", "mark", "word.*")
+    added = places.join(wanted, ["row", "term"]).groupBy("doc_id", "mark", "start", "stop").agg(F.min("k").alias("k"), F.first("term").alias("term"))
     row = F.struct("start", F.col("k.rank").alias("rank"), "stop", F.col("k.kind").alias("kind"), F.col("term").alias("value"))
     added = added.groupBy(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).agg(F.collect_list(row).alias("added"))
     spans = base.select("doc_id", "mark", "text", base_spans(F.col("text")).alias("base"))
