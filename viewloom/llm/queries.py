@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bin_sketch, disclosure, hyper_lang, order_minhash, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows
+from viewloom.llm import bin_sketch, disclosure, hyper_lang, order_minhash, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows, term_tree
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,6 +122,42 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op11_term_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return term_tree.audit(documents(spark, folder))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+         row_number() OVER () AS doc FROM documents),
+word AS (SELECT lang, source, doc, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+lang_total AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+have AS (SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+total AS (SELECT lang, source, sum(n) AS total FROM have GROUP BY lang, source),
+grp AS (SELECT DISTINCT lang, source FROM d),
+p AS (
+  SELECT lang, source, term, coalesce(have.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(have.n, 0) + 2)) // (coalesce(total.total, 0) + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 2)) // (lang_total.total + 2 * v) AS q
+  FROM grp JOIN kept USING (lang) JOIN lang_total USING (lang)
+  LEFT JOIN total USING (lang, source) LEFT JOIN have USING (lang, source, term)),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_secret_layers": op2_secret_layers,
@@ -133,9 +169,11 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_pattern_packing": op9_pattern_packing,
     "op10_super_windows": op10_super_windows,
+    "op11_term_tree": op11_term_tree,
 }
 
 SQL: dict[str, str] = {
     "op7_phrase_index": OP7_SQL,
     "op10_super_windows": OP10_SQL,
+    "op11_term_tree": OP11_SQL,
 }
