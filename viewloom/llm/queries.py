@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import bin_sketch, disclosure, hyper_lang, order_minhash, pattern_pack, phrase_index, prefix_counts, rans_files, secret_layers, super_windows, term_tree
+from viewloom.llm import bin_sketch, disclosure, hyper_lang, latent_votes, order_minhash, pattern_pack, periodic_runs, phrase_index, prefix_counts, rans_files, secret_layers, super_windows, term_tree
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,6 +158,42 @@ FROM every QUALIFY part = 'pair' OR rank <= 10
 """
 
 
+def op12_latent_votes(spark: SparkSession, folder: str) -> DataFrame:
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return latent_votes.score_quality(documents(spark, folder), labels)
+
+
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, chosen by id, repeat a stretch of their words to the end of the text."""
+    chosen = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(F.col("chosen") % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), 1))
+    docs = docs.select("doc_id", "text", chosen.alias("chosen")).withColumn("words", words)
+    g, n = F.floor(F.col("chosen") / 10), F.size("words").cast("long")
+    docs = docs.select("doc_id", "text", "words", F.when(n > 0, F.struct(n.alias("n"), (g % n).alias("a"), (g % 8 + 3).alias("parts"))).alias("cut"))
+    a, p = F.col("cut.a"), 1 + F.floor((F.col("cut.n") - F.col("cut.a")) / F.col("cut.parts"))
+    places = F.transform(F.sequence(F.lit(0), F.col("cut.n") - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))
+    planted = F.array_join(F.transform(places, lambda i: F.get("words", i)), " ")
+    return docs.select("doc_id", F.when(F.col("cut").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_with_planted_runs(documents(spark, folder)))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("longest", longest)
+    length = -F.col("longest.less")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        length.alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(1000 * length / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_secret_layers": op2_secret_layers,
@@ -170,6 +206,8 @@ QUERIES = {
     "op9_pattern_packing": op9_pattern_packing,
     "op10_super_windows": op10_super_windows,
     "op11_term_tree": op11_term_tree,
+    "op12_latent_votes": op12_latent_votes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
