@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import SPACES, Texts, carried_types, owner, pieces, texts_of, with_short_batches, words_of
+from viewloom.llm.arrays import SPACES, Texts, carried_types, mix, owner, pieces, runs, texts_of, with_short_batches
 
 #: Labelled rows that become neighbours, counts of byte groups, dimensions of the latent space.
 REFERENCES = 4096
@@ -55,14 +55,46 @@ class Model:
     prior: float
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as were needed so far."""
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> None:
+        if len(self.up) <= n:
+            for name, base in (("up", self.BASE), ("down", self.INVERSE)):
+                values = np.full(n + 1, base, np.uint64)
+                values[0] = 1
+                setattr(self, name, np.multiply.accumulate(values))
+
+
+_POWERS = _Powers()
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per byte range, equal for equal bytes wherever they stand."""
+    _POWERS.upto(len(data))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS.up[: len(data)], out=total[1:])
+    return mix((total[ends] - total[starts]) * _POWERS.down[starts])
+
+
 def _again(texts: Texts, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each text, how many of its runs of marked bytes equal the run before, and any run before."""
-    words = words_of(texts, inside)
-    text = owner(words.first)
-    following = (words.codes[1:] == words.codes[:-1]) & (text[1:] == text[:-1])
-    distinct = np.unique(text * max(len(words.vocabulary), 1) + words.codes) // max(len(words.vocabulary), 1)
+    starts, ends = runs(inside[texts.data], texts.at)
+    hashes = _hashes(texts.data, starts, ends)
+    first = np.searchsorted(starts, texts.at)
+    text = owner(first)
+    following = (hashes[1:] == hashes[:-1]) & (text[1:] == text[:-1])
+    # A stable sort keeps the runs of a text together among equal ones.
+    order = np.argsort(hashes, kind="stable")
+    same = (hashes[order][1:] == hashes[order][:-1]) & (text[order][1:] == text[order][:-1])
     n = len(texts)
-    return np.bincount(text[1:][following], minlength=n), np.diff(words.first) - np.bincount(distinct, minlength=n)
+    return np.bincount(text[1:][following], minlength=n), np.bincount(text[order][1:][same], minlength=n)
 
 
 def term_counts(texts: Texts) -> Iterator[np.ndarray]:
