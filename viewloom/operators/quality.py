@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from viewloom.functions.binding import let
 
+# The reasons below are texts that reports and their readers go by.
 VIOLATION = "array<struct<path:string,reason:string,detail:string>>"
 
 
@@ -58,7 +59,7 @@ _TAKES = {
 }
 
 
-def _kind_of(value: Column) -> Column:
+def scalar_kind(value: Column) -> Column:
     """The JSON type of a variant; the schema is read from the value once."""
 
     def named(schema: Column) -> Column:
@@ -77,13 +78,14 @@ def _kind_of(value: Column) -> Column:
 
 
 # Types a variant may hold that JSON text cannot.
-_NO_JSON = r"\b(DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|UUID|INTERVAL)\b"
+NO_JSON = r"\b(DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|UUID|INTERVAL)\b"
 
 
-def _found(when: Column, path: Column, reason: str, detail: Column | None = None) -> Column:
+def found_if(when: Column, path: Column, reason: Column | str, detail: Column | None = None) -> Column:
+    """One violation if the condition holds, else none."""
     row = F.struct(
         path.alias("path"),
-        F.lit(reason).alias("reason"),
+        (reason if isinstance(reason, Column) else F.lit(reason)).alias("reason"),
         (F.lit(None).cast("string") if detail is None else detail.cast("string")).alias("detail"),
     )
     return F.when(when, F.array(row)).otherwise(F.array().cast(VIOLATION))
@@ -104,30 +106,30 @@ def violations(value: Column, shape, path: Column | None = None) -> Column:
     path = F.lit("") if path is None else path
     if isinstance(shape, Document):
         types = F.regexp_replace(F.schema_of_variant(value), "`(?:[^`]|``)*+`|[A-Za-z_][A-Za-z0-9_]*: ", "")
-        return _found(F.rlike(types, F.lit(_NO_JSON)), path, "invalid type for document", types)
-    return let(_kind_of(value), lambda kind: _violations(value, kind, shape, path))
+        return found_if(F.rlike(types, F.lit(NO_JSON)), path, "invalid type for document", types)
+    return let(scalar_kind(value), lambda kind: _violations(value, kind, shape, path))
 
 
 def _violations(value: Column, kind: Column, shape, path: Column) -> Column:
     if isinstance(shape, Scalar):
         wrong = ~kind.isin(*_TAKES[shape.kind])
-        found = _found(wrong, path, "invalid type", kind)
+        found = found_if(wrong, path, "invalid type", kind)
         if shape.min is not None:
             if shape.kind == "string":
                 size, reason = F.length(F.try_variant_get(value, "$", "string")), "invalid length"
             else:
                 size, reason = F.try_variant_get(value, "$", "double"), "invalid range"
-            found = F.concat(found, _found(~wrong & (size < shape.min), path, reason, F.to_json(value)))
+            found = F.concat(found, found_if(~wrong & (size < shape.min), path, reason, F.to_json(value)))
         if shape.kind == "timestamp":
             unreadable = F.try_to_timestamp(F.try_variant_get(value, "$", "string")).isNull()
-            found = F.concat(found, _found((kind == "string") & unreadable, path, "invalid type", kind))
+            found = F.concat(found, found_if((kind == "string") & unreadable, path, "invalid type", kind))
         return found
 
     if isinstance(shape, ListOf):
         items = F.try_variant_get(value, "$", "array<variant>")
-        found = _found(items.isNull(), path, "invalid type", kind)
+        found = found_if(items.isNull(), path, "invalid type", kind)
         if shape.min is not None:
-            found = F.concat(found, _found(F.size(items) < shape.min, path, "invalid length", F.size(items)))
+            found = F.concat(found, found_if(F.size(items) < shape.min, path, "invalid length", F.size(items)))
         inside = _each(
             items,
             lambda v, i: violations(v, shape.member, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))),
@@ -135,7 +137,7 @@ def _violations(value: Column, kind: Column, shape, path: Column) -> Column:
         return F.concat(found, inside)
 
     fields = F.try_variant_get(value, "$", "map<string,variant>")
-    wrong = _found(fields.isNull(), path, "invalid type", kind)
+    wrong = found_if(fields.isNull(), path, "invalid type", kind)
     return F.concat(wrong, _each(F.array(fields), lambda f: _inside(f, shape, path)))
 
 
@@ -156,16 +158,16 @@ def _inside(fields: Column, shape, path: Column) -> Column:
     if shape.union:
         found = F.concat(
             found,
-            _found(F.size(fields) == 0, path, "empty input"),
-            _found(F.size(fields) > 1, path, "more than one input"),
+            found_if(F.size(fields) == 0, path, "empty input"),
+            found_if(F.size(fields) > 1, path, "more than one input"),
         )
     for name in shape.required:
         missing = fields.isNotNull() & ~F.map_contains_key(fields, name)
-        found = F.concat(found, _found(missing, path, "missing required field", F.lit(name)))
+        found = F.concat(found, found_if(missing, path, "missing required field", F.lit(name)))
     known = F.array(*[F.lit(n) for n in shape.members]).cast("array<string>")
     unknown = F.array_sort(F.array_except(F.map_keys(fields), known))
     found = F.concat(
-        found, _each(unknown, lambda n: _found(F.lit(True), path, "unknown field", n))
+        found, _each(unknown, lambda n: found_if(F.lit(True), path, "unknown field", n))
     )
     for name, member in shape.members.items():
         here = F.concat(path, F.lit(f".{name}"))

@@ -88,7 +88,7 @@ def _order_records(spark, d):
         F.when(status == "F", F.lit("2")).otherwise(F.lit('"2"')), F.lit("}"),
         F.when(prio == "5-LOW", F.lit(',"note":1')).otherwise(F.lit("")), F.lit("}"),
     )
-    return views.spread(views.table(spark, d, "orders")).select("o_orderkey", F.parse_json(text).alias("record"))
+    return views.spread(views.table(spark, d, "orders")).select("o_orderkey", prio.alias("feed"), F.parse_json(text).alias("record"))
 
 
 def dq_violations(spark, d):
