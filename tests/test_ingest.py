@@ -64,14 +64,35 @@ def test_empty_files_are_quarantined(spark, tmp_path):
     assert counts == {"files": 2, "quarantined": 1, "records": 1}
 
 
+def line_files(spark, out):
+    found = spark.read.option("recursiveFileLookup", "true").text(f"{out}/files").select(F.input_file_name().alias("f"), "value")
+    return sorted((r.f.split("/files/")[1], r.value) for r in found.collect())
+
+
 def test_line_files_keep_names_and_other_runs(spark, tmp_path):
     out = str(tmp_path / "out")
-    first = spark.createDataFrame([("/z/raw/a/x.json", "[1,2]"), ("/z/raw/a/y.json", "{")], "source_path string, document string")
+    first = spark.createDataFrame([("/z/raw/a/x.json", "[1,2]"), ("/z/raw/a/y.json", "{"), ("/z/raw/a/e.json", "[]")], "source_path string, document string")
     assert raw_json.write_line_files(first, out) == {"files": 2, "quarantined": 1}
     again = spark.createDataFrame([("/z/raw/b/x.json", '{"k":null}')], "source_path string, document string")
     raw_json.write_line_files(again, out)
-    found = [(r.file, r.value) for r in spark.read.text(out).collect() if r.file != "quarantine"]
-    assert sorted(found) == [("processed/a/x.jsonl", "1"), ("processed/a/x.jsonl", "2"), ("processed/b/x.jsonl", '{"k":null}')]
+    assert line_files(spark, out) == [("z/processed/a/x.jsonl", "1"), ("z/processed/a/x.jsonl", "2"), ("z/processed/b/x.jsonl", '{"k":null}')]
+    assert (tmp_path / "out/files/z/processed/a/e.jsonl").read_bytes() == b""
+    assert [r.value for r in spark.read.text(f"{out}/quarantine").collect()] == ['{"source_path":"/z/raw/a/y.json","reason":"not a JSON document"}']
+
+
+def test_line_files_of_two_sources_never_mix(spark, tmp_path):
+    """Two prefixes keep their own files; of two documents that would be one file the first has it."""
+    out = str(tmp_path / "out")
+    found = [("/a/raw/x.json", "[1,2]"), ("/b/raw/x.json", "[3,4]"), ("/a/raw/y.JSON", "[5]"), ("/a/raw/y.json", "[6]"), ("/c/x.json", "[7]"), (None, "[8]")]
+    found += [("/a/raw/x.json", "[1,2]"), ("file:/a/raw/two words.json", "[9]")]
+    rows = spark.createDataFrame(found, "source_path string, document string")
+    assert raw_json.write_line_files(rows, out)["quarantined"] == 2
+    assert line_files(spark, out) == [
+        ("a/processed/two%20words.jsonl", "9"), ("a/processed/x.jsonl", "1"), ("a/processed/x.jsonl", "2"), ("a/processed/y.jsonl", "5"),
+        ("b/processed/x.jsonl", "3"), ("b/processed/x.jsonl", "4"), ("c/x.jsonl", "7"),
+    ]
+    reasons = sorted(r.value for r in spark.read.text(f"{out}/quarantine").collect())
+    assert reasons == ['{"reason":"no path"}', '{"source_path":"/a/raw/y.json","reason":"name is taken"}']
 
 
 def test_null_times_are_oldest(spark):

@@ -13,7 +13,7 @@ from viewloom.plans import jobs, views
 from viewloom.plans.star_queries import SQL as STAR_SQL
 from viewloom.plans.views import EVENT_STATS, MEDIA_SHOW
 from viewloom.session import scratch_path
-from viewloom.sources import catalog, raw_json, sinks
+from viewloom.sources import catalog, files, manifest, raw_json, sinks
 from viewloom.streaming import convert
 
 WATERMARK = "2024-01-15 12:00:00"
@@ -172,32 +172,56 @@ def incremental_pull_job(spark, d):
     )
 
 
+#: Events of one landed file.
+FILE_EVENTS = 64
+
+
+def _landed_lists(spark, d):
+    """Files of up to ``FILE_EVENTS`` events of a type: (kind, part, events, body), the body a JSON list."""
+    events = views.table(spark, d, "events").select(
+        F.col("event_type").alias("kind"), F.expr(f"event_id div {FILE_EVENTS}").alias("part"), "event_id", "ts",
+        F.get_json_object("props", "$.k").alias("k"),
+    )
+    return events.withColumn("object", F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"k":'), "k", F.lit("}")))
+
+
+def _list_of(column, order="event_id"):
+    ordered = F.array_sort(F.collect_list(F.struct(order, column)))
+    return F.concat(F.lit("["), F.array_join(F.transform(ordered, lambda e: e[column]), ","), F.lit("]"))
+
+
 def convert_stream(spark, d):
     """Raw files appear in two steps; each step converts the new ones only."""
     zone = scratch_path(spark, "zone")
-    events = views.table(spark, d, "events")
-    for step, kind in enumerate(("view", "click")):
-        body = F.to_json(F.struct(F.col("event_id").alias("id"), F.get_json_object("props", "$.k").cast("bigint").alias("k")))
-        lists = events.filter(F.col("event_type") == kind).groupBy((F.col("event_id") % 8).alias("part"))
-        files = lists.agg(F.concat(F.lit("["), F.array_join(F.collect_list(body), ","), F.lit("]")).alias("value"))
-        files.select("value", "part").write.mode("append").partitionBy("part").option("compression", "none").text(f"{zone}/text{step}")
-        _as_json_files(spark, f"{zone}/text{step}", f"{zone}/raw/{kind}")
+    for kind in ("view", "click"):
+        lists = _landed_lists(spark, d).filter(F.col("kind") == kind).groupBy("part").agg(_list_of("object").alias("content"))
+        path = F.concat(F.lit(f"{zone}/raw/{kind}/"), F.col("part").cast("string"), F.lit(".json"))
+        files.write_files(lists.select(path.alias("path"), "content"))
         convert.convert_new_files(spark, f"{zone}/raw", f"{zone}/processed", f"{zone}/seen").awaitTermination()
     lines = spark.read.option("recursiveFileLookup", "true").text(f"{zone}/processed")
     parsed = lines.select(F.from_json("value", "id bigint, k bigint").alias("r"))
     return parsed.select("r.id", "r.k")
 
 
-def _as_json_files(spark, source, target):
-    """Give written part files the suffix of raw documents, by the file system's own copy."""
-    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
-    files = hadoop.Path(source).getFileSystem(conf)
-    listed, number = files.listFiles(hadoop.Path(source), True), 0
-    while listed.hasNext():
-        path = listed.next().getPath()
-        if path.getName().startswith("part-"):
-            hadoop.FileUtil.copy(files, path, files, hadoop.Path(f"{target}/{number}.json"), False, conf)
-            number += 1
+def manifest_two_runs(spark, d):
+    """What two incremental runs read. Before the second, a third of the files get the events of the
+    second half too, a third are landed again as they were, and the rest stay; an empty file lies beside."""
+    zone, state = scratch_path(spark, "zone"), scratch_path(spark, "state")
+    events = _landed_lists(spark, d)
+    early = events.filter(F.col("ts") <= F.lit(WATERMARK).cast("timestamp_ntz"))
+    path = F.concat(F.lit(f"{zone}/raw/"), F.col("kind"), F.lit("/"), F.col("part").cast("string"), F.lit(".json"))
+    lists = lambda df: df.groupBy("kind", "part").agg(_list_of("object").alias("content")).select(path.alias("path"), "content", "part")
+    empty = events.select("kind").distinct().select(F.concat(F.lit(f"{zone}/raw/"), F.col("kind"), F.lit("/none.json")).alias("path"), F.lit("").alias("content"))
+    files.write_files(lists(early).drop("part").unionByName(empty))
+    manifest.pull(spark, [f"{zone}/raw"], state, "1")
+    files.write_files(lists(events.filter(F.col("part") % 3 == 0)).drop("part"))
+    files.write_files(lists(early.filter(F.col("part") % 3 == 1)).drop("part"))
+    manifest.pull(spark, [f"{zone}/raw"], state, "2")
+    name = F.regexp_extract("source_path", r"/raw/(.*)$", 1)
+    read = manifest.documents(spark, state).select("run", name.alias("name"), "state", F.col("document").alias("text"))
+    others = manifest.entries(spark, state).filter(F.col("state").isin("same", "gone"))
+    name = F.regexp_extract("path", r"/raw/(.*)$", 1)
+    return read.unionByName(others.select("run", name.alias("name"), "state", F.lit(None).cast("string").alias("text")))
 
 
 def flatten_stream(spark, d):
@@ -238,14 +262,21 @@ def star_tables(spark, d):
 
 
 def jsonl_files(spark, d):
-    """Converted files that keep their names, and the lines they hold."""
+    """Converted files that keep their names, and the lines they hold. A file has up to 64 events of a
+    type; those of errors are broken, those of sign-ups empty lists, and every file of clicks is landed a
+    second time in capitals, whose name is taken."""
     out = scratch_path(spark, "lines")
-    documents = _documents(spark, d).withColumn(
-        "source_path", F.concat(F.lit("/zone/raw/"), F.col("kind"), F.lit("/"), (F.col("event_id") % 16).cast("string"), F.lit(".json"))
-    )
-    first = documents.groupBy("source_path").agg(F.min_by("document", "event_id").alias("document"))
-    raw_json.write_line_files(first, out)
-    return spark.read.text(out).select("file", "value")
+    events = _landed_lists(spark, d)
+    item = F.when(F.col("kind") == "purchase", F.col("k")).otherwise(F.concat(F.expr("left(object, length(object) - 1)"), F.lit(',"n":null}')))
+    lists = events.withColumn("item", item).groupBy("kind", "part").agg(_list_of("item").alias("text"))
+    text = F.when(F.col("kind") == "error", F.substring("text", F.lit(1), F.length("text") - 1)).when(F.col("kind") == "signup", "[]").otherwise(F.col("text"))
+    suffix = F.explode(F.when(F.col("kind") == "click", F.array(F.lit(".json"), F.lit(".JSON"))).otherwise(F.array(F.lit(".json"))))
+    documents = lists.select("kind", "part", text.alias("document"), suffix.alias("suffix"))
+    path = F.concat(F.lit("/zone/raw/"), "kind", F.lit("/"), F.col("part").cast("string"), "suffix")
+    raw_json.write_line_files(documents.select(path.alias("source_path"), "document"), out)
+    name = F.regexp_extract(F.input_file_name(), "/files/(.*)$", 1)
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{out}/files").select(name.alias("file"), "value")
+    return lines.unionByName(spark.read.text(f"{out}/quarantine").select(F.lit("quarantine").alias("file"), "value"))
 
 
 def _documents_with_lines(spark, d):
@@ -290,6 +321,7 @@ QUERIES = {
     "flatten_if_struct": flatten_if_struct,
     "star_tables": star_tables,
     "jsonl_files": jsonl_files,
+    "manifest_two_runs": manifest_two_runs,
 }
 
 _DOCS = """docs AS (
@@ -358,14 +390,23 @@ UNION ALL SELECT 'event_stats', count(*) FROM events
 UNION ALL SELECT 'visitor_stats', count(DISTINCT o_custkey) FROM orders
 UNION ALL SELECT 'media_stats', count(DISTINCT o_custkey) FROM orders
 UNION ALL SELECT 'media_show', count(*) FROM part""",
-    "jsonl_files": f"""WITH {_DOCS}, one AS (
-  SELECT event_type, event_id % 16 AS file, min(event_id) AS event_id, min_by(k, event_id) AS k FROM docs GROUP BY 1, 2)
-SELECT CASE WHEN event_type = 'error' THEN 'quarantine' ELSE 'processed/' || event_type || '/' || file || '.jsonl' END AS file,
-       CASE WHEN event_type = 'error' THEN '{{"source_path":"/zone/raw/error/' || file || '.json","reason":"not a JSON document"}}'
-            WHEN event_type = 'purchase' THEN CAST(k AS VARCHAR)
-            WHEN n >= 2 THEN ['"12"', '"abc"', 'null'][n - 1]
-            WHEN event_type = 'view' AND n = 0 THEN '{{"id":' || event_id || ',"k":' || k || ',"n":null}}'
-            ELSE '{{"id":' || event_id || ',"k":' || k || '}}' END AS value
-FROM one, range(5) r(n)
-WHERE event_type = 'view' OR (n = 0 AND event_type IN ('click', 'purchase', 'error'))""",
+    "jsonl_files": """WITH e AS (
+  SELECT event_type AS kind, event_id // 64 AS part, event_id, json_extract_string(props, '$.k') AS k FROM events),
+f AS (SELECT DISTINCT kind, part FROM e)
+SELECT 'zone/processed/' || kind || '/' || part || '.jsonl' AS file,
+       CASE WHEN kind = 'purchase' THEN k ELSE '{"id":' || event_id || ',"k":' || k || ',"n":null}' END AS value
+FROM e WHERE kind IN ('view', 'click', 'purchase')
+UNION ALL SELECT 'quarantine', '{"source_path":"/zone/raw/error/' || part || '.json","reason":"not a JSON document"}' FROM f WHERE kind = 'error'
+UNION ALL SELECT 'quarantine', '{"source_path":"/zone/raw/click/' || part || '.json","reason":"name is taken"}' FROM f WHERE kind = 'click'""",
+    "manifest_two_runs": f"""WITH e AS (
+  SELECT event_type AS kind, event_id // 64 AS part, event_id, ts <= TIMESTAMP '{WATERMARK}' AS early,
+         '{{"id":' || event_id || ',"k":' || json_extract_string(props, '$.k') || '}}' AS object FROM events),
+f AS (
+  SELECT kind, part, '[' || string_agg(object, ',' ORDER BY event_id) || ']' AS whole,
+         '[' || string_agg(object, ',' ORDER BY event_id) FILTER (WHERE early) || ']' AS first FROM e GROUP BY kind, part)
+SELECT '1' AS run, kind || '/' || part || '.json' AS name, 'new' AS state, first AS text FROM f WHERE first IS NOT NULL
+UNION ALL SELECT DISTINCT '1', kind || '/none.json', 'new', '' FROM e
+UNION ALL SELECT '2', kind || '/' || part || '.json', CASE WHEN first IS NULL THEN 'new' WHEN first <> whole THEN 'changed' ELSE 'same' END,
+       CASE WHEN first IS NULL OR first <> whole THEN whole END FROM f WHERE part % 3 = 0
+UNION ALL SELECT '2', kind || '/' || part || '.json', 'same', NULL FROM f WHERE part % 3 = 1 AND first IS NOT NULL""",
 }

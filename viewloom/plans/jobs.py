@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from viewloom.operators import star
 from viewloom.operators.flatten import flatten_if_nested, flatten_structs
 from viewloom.operators.incremental import FULL_LOAD_PAGES, PAGE_SIZE, pull
-from viewloom.sources import sinks, state
+from viewloom.sources import sinks, state, versions
 from viewloom.sources.catalog import read_table
 
 
@@ -54,15 +54,14 @@ def incremental_pull(
     return seen.get["rows"]
 
 
-def build_star(
+def star_frames(
     spark: SparkSession,
     source: str,
-    out: str,
     targets=None,
     channels: Mapping | DataFrame | None = None,
     mode: str = "latest",
-) -> None:
-    """Read the three tables whole and replace the three star tables.
+) -> dict[str, DataFrame]:
+    """The three star tables from the three loading tables, read whole.
 
     Each branch reads only its own columns of the event table, so nothing is
     cached: the three pruned scans cost less than storing the event table.
@@ -70,9 +69,33 @@ def build_star(
     events = read_table(spark, "event_stats", source)
     media = read_table(spark, "media_show", source)
     visitors = read_table(spark, "visitor_stats", source)
-    sinks.truncate_load(star.dim_media(media, events, targets, channels, mode), f"{out}/dim_media")
-    sinks.truncate_load(star.dim_visitor(visitors, events, targets), f"{out}/dim_visitor")
-    sinks.truncate_load(
-        star.fact_media_engagement(events, media, visitors, targets, mode),
-        f"{out}/fact_media_engagement",
-    )
+    return {
+        "dim_media": star.dim_media(media, events, targets, channels, mode),
+        "dim_visitor": star.dim_visitor(visitors, events, targets),
+        "fact_media_engagement": star.fact_media_engagement(events, media, visitors, targets, mode),
+    }
+
+
+def build_star(
+    spark: SparkSession,
+    source: str,
+    out: str,
+    targets=None,
+    channels: Mapping | DataFrame | None = None,
+    mode: str = "latest",
+) -> None:
+    """Replace the three star tables one by one."""
+    for name, table in star_frames(spark, source, targets, channels, mode).items():
+        sinks.truncate_load(table, f"{out}/{name}")
+
+
+def publish_star(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    targets=None,
+    channels: Mapping | DataFrame | None = None,
+    mode: str = "latest",
+) -> int:
+    """Replace the three star tables together: readers of ``versions.current`` see all of one load."""
+    return versions.publish(star_frames(spark, source, targets, channels, mode), root)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from viewloom.session import scratch_path
+from viewloom.sources.files import is_listable, list_files, write_files
 from viewloom.sources.sinks import rebalanced
 
 JSON_FILES = "*.[jJ][sS][oO][nN]"
@@ -38,16 +40,12 @@ def read_documents(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def empty_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """The ``.json`` files without bytes, by the listing of the file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(prefix)
-    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    found = []
-    while listed.hasNext():
-        file = listed.next()
-        if file.getLen() == 0 and file.getPath().getName().lower().endswith(".json"):
-            found.append((file.getPath().toString(), "", file.getModificationTime() / 1000))
-    rows = spark.createDataFrame(found, "source_path string, document string, at double")
-    return rows.select("source_path", "document", F.col("at").cast("timestamp").alias("modified_at"))
+    """The ``.json`` files without bytes, by a listing on the executors. In a store that only Spark reads
+    none are found."""
+    if not is_listable(prefix):
+        return spark.createDataFrame([], "source_path string, document string, modified_at timestamp")
+    found = list_files(spark, prefix).filter((F.col("size") == 0) & F.lower("path").endswith(".json"))
+    return found.select(F.col("path").alias("source_path"), F.lit("").alias("document"), "modified_at")
 
 
 def record_array(document: str) -> Column:
@@ -150,22 +148,51 @@ def backfill(documents: DataFrame, out: str) -> dict:
     return seen.get
 
 
+def line_files(documents: DataFrame, raw: str = "raw/", processed: str = "processed/") -> DataFrame:
+    """(source_path, target_path, mark, lines): the JSON Lines file that each document becomes. A target
+    keeps the whole path of its source; ``lines`` is null for a broken document."""
+    marked = documents.select("source_path", "document", F.xxhash64("document").alias("mark"))
+    return parse_documents(marked).select(
+        "source_path",
+        target_path(F.col("source_path"), raw, processed).alias("target_path"),
+        "mark",
+        F.transform("records", lambda record: F.to_json(record)).alias("lines"),
+    )
+
+
+def taken_names(files: DataFrame) -> DataFrame:
+    """(target_path, owner): targets that more than one document would become, and the (source_path,
+    mark) of the one that does: the path that sorts first."""
+    source = F.struct("source_path", "mark")
+    readable = files.filter(F.col("lines").isNotNull() & F.col("target_path").isNotNull())
+    owners = readable.groupBy("target_path").agg(F.min(source).alias("owner"), F.max(source).alias("last"))
+    return owners.filter(~F.col("owner").eqNullSafe(F.col("last"))).drop("last")
+
+
 def write_line_files(documents: DataFrame, out: str, raw: str = "raw/", processed: str = "processed/") -> dict:
-    """Write each readable document as one JSON Lines file that keeps its name:
-    ``.../raw/a/x.json`` becomes the folder ``out/file=processed%2Fa%2Fx.jsonl`` with one
-    part file, and broken documents become ``out/file=quarantine`` lines. Returns the counts.
+    """Write each readable document as one JSON Lines file of its own name, ``.../raw/a/x.json`` as
+    ``out/files/.../processed/a/x.jsonl``, and add a line for each other document to ``out/quarantine``:
+    broken ones, ones without a path, and ones whose name another document has. Returns the counts.
 
-    Rows are dealt by target, so a target is written by one task; a later run
-    replaces only the targets it has.
+    Executors write the files. Names are compared without the documents; only names that are taken meet
+    them again. A later run replaces only the files it has.
     """
-    parsed = parse_documents(documents)
+    spark = documents.sparkSession
+    folder = scratch_path(spark, "line-files")
+    line_files(documents, raw, processed).write.parquet(folder)
+    found = spark.read.parquet(folder)
+    joined = found.join(taken_names(found), "target_path", "left")
+    reason = (
+        F.when(F.col("lines").isNull(), "not a JSON document")
+        .when(F.col("target_path").isNull(), "no path")
+        .when(F.col("owner").isNotNull() & ~F.struct("source_path", "mark").eqNullSafe(F.col("owner")), "name is taken")
+    )
+    joined = joined.withColumn("reason", reason)
+    text = F.concat(F.array_join("lines", "\n"), F.when(F.size("lines") > 0, "\n").otherwise(""))
+    below = F.regexp_replace("target_path", r"^(?:[a-z0-9]+:)?/*", "")
+    files = joined.filter(F.col("reason").isNull()).select(F.concat(F.lit(f"{out}/files/"), below).alias("path"), text.alias("content"))
+    written = write_files(files)
+    rejected = joined.filter(F.col("reason").isNotNull()).select(F.to_json(F.struct("source_path", "reason")).alias("value"))
     seen = Observation()
-    counted = parsed.observe(seen, F.count(F.lit(1)).alias("files"), F.count_if(is_broken()).alias("quarantined"))
-    complaint = F.to_json(F.struct("source_path", F.lit("not a JSON document").alias("reason")))
-    lines = F.when(is_broken(), F.array(complaint)).otherwise(F.transform("records", lambda record: F.to_json(record)))
-    below = F.regexp_extract(target_path(F.col("source_path"), raw, processed), f"({processed}.*)$", 1)
-    target = F.when(is_broken(), F.lit("quarantine")).otherwise(F.coalesce(F.nullif(below, F.lit("")), target_path(F.col("source_path"))))
-    rows = counted.select(target.alias("file"), F.posexplode(lines).alias("place", "value"))
-    ordered = rows.repartition("file").sortWithinPartitions("file", "place").drop("place")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").text(out)
-    return seen.get
+    rebalanced(rejected.observe(seen, F.count(F.lit(1)).alias("quarantined"))).write.mode("append").text(f"{out}/quarantine")
+    return {"files": written["files"], "quarantined": seen.get["quarantined"]}
