@@ -156,3 +156,15 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
 def carried_types(docs, names: Iterable[str]) -> str:
     """The columns an operator passes through, as the front part of its result's schema."""
     return "".join(f"`{n}` {docs.schema[n].dataType.simpleString()}, " for n in names)
+
+
+def free_names(docs, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from the columns."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -3,17 +3,19 @@
 A text is a row of k-mers of five words, each labelled with its occurrence number. A sketch takes the
 few k-mers with the smallest hashes and keeps them in text order, so texts agree on a sketch if they
 share those k-mers in that order, which follows edit similarity rather than bags of words. Texts that
-agree on a sketch are candidates. Their k-mer rows are aligned in a band whose width the threshold
-gives; the similarity is aligned / (n + m - aligned), the ordered form of Jaccard's.
+agree on a sketch are candidates. Their words are aligned in a band whose width the threshold gives; the
+similarity is aligned / (n + m - aligned), the ordered form of Jaccard's. At 0.8 one word in nine may
+have been exchanged, wherever it stands.
 
 Copies are one node. In a bucket every node is compared with the bucket's first node. In buckets where
-nodes of different classes stay, pairs are made only if exact bounds on the k-mers they can share leave
-the question open, so similar texts that are both unlike the first are found too, and no task or row
-ever holds a whole bucket.
+nodes of different classes stay, further pairs are made unless exact bounds say that their k-mer rows,
+aligned in the same way, cannot be as similar; so similar texts that are both unlike the first are found
+too, and no task or row ever holds a whole bucket.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from math import ceil
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import SPACES, Texts, mix, owner, pieces, texts_of, with_short_batches, words_of
+from viewloom.llm.arrays import SPACES, Texts, free_names, mix, owner, pieces, texts_of, with_short_batches, words_of
 from viewloom.session import scratch_path
 
 KMER = 5
@@ -42,15 +44,20 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 
-def kmer_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all k-mers of all texts, and where each text's begin; a shorter text is one k-mer."""
+def word_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, lower-cased in ASCII, and where each text's begin."""
     words = words_of(Texts(_LOWER[texts.data], texts.at), ~SPACES)
     distinct = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.vocabulary), np.uint64, len(words.vocabulary))
-    values = distinct[words.codes] if len(distinct) else np.zeros(0, np.uint64)
-    n = np.diff(words.first)
+    return distinct[words.codes] if len(distinct) else np.zeros(0, np.uint64), words.first
+
+
+def kmer_hashes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all k-mers of all texts, and where each text's begin; a shorter text is one k-mer."""
+    values, of_text = word_hashes(texts)
+    n = np.diff(of_text)
     counts = np.where(n >= KMER, n - KMER + 1, np.minimum(n, 1))
     first = np.concatenate([[0], np.cumsum(counts)])
-    places = np.arange(first[-1]) + np.repeat(words.first[:-1] - first[:-1], counts)
+    places = np.arange(first[-1]) + np.repeat(of_text[:-1] - first[:-1], counts)
     size = np.repeat(np.minimum(n, KMER), counts)
     out = np.zeros(len(places), np.uint64)
     with np.errstate(over="ignore"):
@@ -149,9 +156,11 @@ def aligned(left: list[int], right: list[int], band: int) -> int:
             bits |= ((1 << (stop - low - width)) - 1) << width
             width = stop - low
         match = 0
-        for j in places.get(value, ()):
-            if start <= j < stop:
-                match |= 1 << (j - low)
+        found = places.get(value, ())
+        for at in range(bisect_left(found, start), len(found)):
+            if found[at] >= stop:
+                break
+            match |= 1 << (found[at] - low)
         if match:
             used = bits & match
             bits = ((bits + used) | (bits & ~match)) & ((1 << width) - 1)
@@ -184,7 +193,7 @@ def similarity(left: list[int], right: list[int], least: float = SIMILAR) -> flo
 def _verify(least: float):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, text="b_text"):
-            (left, of_left), (right, of_right) = (kmer_hashes(texts_of(piece.column(c))) for c in ("a_text", "b_text"))
+            (left, of_left), (right, of_right) = (word_hashes(texts_of(piece.column(c))) for c in ("a_text", "b_text"))
             good = np.zeros(piece.num_rows, bool)
             for i in range(piece.num_rows):
                 one = left[of_left[i] : of_left[i + 1]].tolist()
@@ -297,8 +306,8 @@ def classes_of(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
 def near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """Rows (doc_id, class), one per document; a class is named by its smallest doc_id.
 
-    Documents are linked if their k-mer rows have similarity ``least`` or more, and classes are what
-    links connect. Equal texts are always one class, also texts without words (null counts as empty),
+    Documents are linked if their words have similarity ``least`` or more, and classes are what links
+    connect. Equal texts are always one class, also texts without words (null counts as empty),
     which are like nothing else. Rows with equal doc_id count as one document; a null doc_id is a
     document of its own per text, and null names a class of such documents only if no other is in it.
     An empty table gives no rows; other columns are ignored.
@@ -314,10 +323,11 @@ def keep_first(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """The documents with one of each class kept, the one with the smallest doc_id; all columns stay."""
     found = classes_of(docs, least)
     first = found.groupBy("class").agg(F.min(F.struct((F.col("node") < NAMED).alias("unnamed"), "node", "key")).alias("f"))
-    first = first.select(F.col("f.node").alias("_node"), F.col("f.key").alias("_key")).distinct()
+    own_node, own_key = free_names(docs, "node", "key")
+    first = first.select(F.col("f.node").alias(own_node), F.col("f.key").alias(own_key)).distinct()
     key, node = _key_and_node()
-    keyed = docs.withColumns({"_key": key, "_node": node})
-    return keyed.join(first, ["_node", "_key"]).dropDuplicates(["_node", "_key"]).select(*docs.columns)
+    keyed = docs.withColumns({own_key: key, own_node: node})
+    return keyed.join(first, [own_node, own_key]).dropDuplicates([own_node, own_key]).select(*docs.columns)
 
 
 def _rest(members: DataFrame, nodes: DataFrame, texts: DataFrame, least: float) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewloom.llm.arrays import Texts, owner, pieces, texts_of, with_short_batches, words_of
+from viewloom.llm.arrays import Texts, free_names, owner, pieces, texts_of, with_short_batches, words_of
 from viewloom.session import scratch_path
 
 #: Words of test items that go to the workers at once; a larger test set is searched block by block.
@@ -218,23 +218,27 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: i
         table = index.select("doc_key", "doc_id", "mark", "n_words") if table is None else table
         if windows:
             names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)], "item int, item_id string")
-            near.append(lookup(index, words, windows, slack).join(names, "item").drop("item"))
+            hit = lookup(index, words, windows, slack).join(names, "item").drop("item")
+            # Row keys hold within one block's index only, so blocks are told together by id and text.
+            near.append(hit if blocks == 1 else hit.join(index.select("doc_key", "doc_id", "mark"), "doc_key").drop("doc_key").distinct())
     if not near:
-        hits = spark.createDataFrame([], "doc_key long, item_id string, start int, size int, exact boolean")
+        hits = spark.createDataFrame([], "doc_key long, doc_id long, mark long, item_id string, start int, size int, exact boolean")
     else:
         hits = near[0]
         for more in near[1:]:
             hits = hits.unionByName(more)
     exact = F.when(F.col("exact"), F.col("item_id"))
     covered = F.when(F.col("exact"), F.sequence("start", F.col("start") + F.col("size") - 1))
-    per_doc = hits.groupBy("doc_key").agg(
+    keys = ["doc_key"] if blocks == 1 else ["doc_id", "mark"]
+    per_doc = hits.groupBy(*[F.col(k).alias(f"of_{k}") for k in keys]).agg(
         F.collect_set(exact).alias("items"),
         F.collect_set("item_id").alias("all_items"),
         F.size(F.array_distinct(F.flatten(F.collect_set(covered)))).cast("long").alias("n_hit"),
     )
     none = F.array().cast("array<string>")
     found = F.coalesce("items", none)
-    return table.join(per_doc, "doc_key", "left").select(
+    same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]
+    return table.join(per_doc, same, "left").select(
         "doc_id",
         "mark",
         "n_words",
@@ -248,6 +252,7 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, rarest: i
 
 def without_passages(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents in which no window of the test items occurs; all columns stay."""
-    found = find_passages(docs, items, **how).filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_mark"))
+    own_id, own_mark = free_names(docs, "id", "mark")
+    found = find_passages(docs, items, **how).filter("contaminated").select(F.col("doc_id").alias(own_id), F.col("mark").alias(own_mark))
+    same = docs["doc_id"].cast("long").eqNullSafe(found[own_id]) & (F.xxhash64(docs["text"].cast("string")) == found[own_mark])
     return docs.join(found, same, "left_anti")
