@@ -1,8 +1,11 @@
 """Secrets, personal data, fingerprints and languages against plain rewrites of their rules."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -57,7 +60,7 @@ def b64(raw):
 )
 def test_hidden_secrets_are_found_in_place(hidden):
     before = "é 中 plain "
-    base, spans, layers, _ = secret_layers.scan(f"{before}{hidden} after")
+    base, spans, layers = secret_layers.scan(f"{before}{hidden} after")
     assert not base and layers
     kind, start, stop = next(s for s in spans if s[0] == "assign")
     assert len(before) <= start < stop <= len(before) + len(hidden)
@@ -112,6 +115,112 @@ def test_secrets_parted_from_their_escapes_are_found(text, inside):
     assert "word" not in "".join(text[a:b] for _, a, b in spans if not inside)
 
 
+def whole_unicode(raw):
+    return "".join(f"\\x{b:02x}" for b in raw)
+
+
+def zstd(raw):
+    import zstandard
+
+    return zstandard.ZstdCompressor().compress(raw)
+
+
+PACKERS = {
+    "gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstd,
+    "utf-16-le": lambda raw: raw.decode("latin-1").encode("utf-16-le"), "utf-16-be": lambda raw: raw.decode("latin-1").encode("utf-16-be"),
+}
+WRITERS = {
+    "base64": lambda raw: base64.b64encode(raw), "percent": lambda raw: b"".join(b"%%%02X" % b for b in raw),
+    "backslash": lambda raw: whole_unicode(raw).encode(), "lines": lambda raw: base64.encodebytes(raw).strip(),
+}
+
+
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        b64(gzip.compress(gzip.compress(SECRET.encode()))),
+        b64(bz2.compress(gzip.compress(SECRET.encode()))),
+        b64(gzip.compress(bz2.compress(SECRET.encode()))),
+        "".join(f"%{b:02x}" for b in gzip.compress(SECRET.encode())),
+        whole_unicode(gzip.compress(SECRET.encode())),
+        b64(SECRET.encode("utf-16")),
+        b64(SECRET.encode("utf-16-be")),
+        b64(gzip.compress(SECRET[:12].encode()) + gzip.compress(SECRET[12:].encode())),
+        b64(zstd(b"x") + zstd(SECRET.encode())),
+        b64(b"\x00\xff" + gzip.compress(b"nothing") + b"\x01" + lzma.compress(SECRET.encode()) + b"\xfe"),
+        "".join(f"\\u{b:04x}" for b in SECRET.encode("utf-16-le")),
+    ],
+    ids=str,
+)
+def test_layers_of_bytes(hidden):
+    """Compressed in compressed, escaped compressed, UTF-16, and all members of a compressed part."""
+    before = "é 中 plain "
+    base, spans, _ = secret_layers.scan(f"{before}{hidden} after")
+    assert not base
+    assert any(k == "assign" and len(before) <= a < b <= len(before) + len(hidden) for k, a, b in spans)
+
+
+def plainly_unwrapped(raw, depth=0):
+    """Whether a secret is somewhere in the bytes, by trying every decoder on the whole of them."""
+    if re.search(rb"token=[a-z]{8}\d{8}", raw):
+        return True
+    if depth > 7:
+        return False
+    tries = [gzip.decompress, zlib.decompress, bz2.decompress, lzma.decompress, lambda r: base64.b64decode(r, validate=False) if re.fullmatch(rb"[A-Za-z0-9+/=\s]+", r) else b""]
+    tries += [lambda r: urllib.parse.unquote_to_bytes(r) if b"%" in r else b"", lambda r: re.sub(rb"\\x([0-9a-f]{2})", lambda m: bytes([int(m[1], 16)]), r)]
+    tries += [lambda r, c=c: r.decode(c).encode("latin-1") for c in ("utf-16-le", "utf-16-be")]
+    for attempt in tries:
+        try:
+            inner = attempt(raw)
+        except Exception:
+            continue
+        if inner and inner != raw and plainly_unwrapped(inner, depth + 1):
+            return True
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
+        import zstandard
+
+        return plainly_unwrapped(zstandard.ZstdDecompressor().decompressobj().decompress(raw), depth + 1)
+    return False
+
+
+def test_random_nestings_reach_the_fixpoint():
+    """Any order of all kinds: what plain decoding of the whole reveals, the worklist reports in place."""
+    rnd = random.Random(64)
+    for _ in range(250):
+        raw, kinds = SECRET.encode(), []
+        for _ in range(rnd.randrange(1, 5)):
+            kinds.append(rnd.choice([*PACKERS, *WRITERS]))
+            raw = {**PACKERS, **WRITERS}[kinds[-1]](raw)
+        kinds.append(rnd.choice([*WRITERS]))
+        raw = WRITERS[kinds[-1]](raw)
+        assert plainly_unwrapped(raw), kinds
+        hidden = raw.decode()
+        _, spans, _ = secret_layers.scan(f"é see: {hidden} end")
+        assert any(7 <= a < b <= 7 + len(hidden) for _, a, b in spans), kinds
+
+
+def test_large_parts_are_scanned_whole(monkeypatch):
+    """Secrets on every side of the pieces' borders, and on one; and 65 MiB at the real size."""
+    monkeypatch.setattr(secret_layers, "PIECE", 1000)
+    monkeypatch.setattr(secret_layers, "OVERLAP", 100)
+    for at in (0, 970, 990, 995, 2500, 4980):
+        filler = bytearray(b"." * 5000)
+        filler[at : at + len(SECRET)] = SECRET.encode()
+        for pack in (gzip.compress, bz2.compress, lzma.compress, zstd):
+            assert secret_layers.scan(b64(pack(bytes(filler))))[1], (at, pack)
+    monkeypatch.undo()
+    far = b64(gzip.compress(SECRET.encode() + b"." * (65 << 20) + b" password=hunter2hunter2"))
+    spans = secret_layers.scan(f"x {far} y")[1]
+    assert len(spans) == 1 and spans[0][0] == "assign" and spans[0][1] == 2
+
+
+def test_broken_and_cyclic_parts_end():
+    whole = gzip.compress(f"{NOISE * 50} {SECRET} {NOISE * 50}".encode())
+    assert secret_layers.scan(b64(whole[:-40]))[1]  # what comes before the break counts
+    assert secret_layers.scan(b64(whole[:20] + b"junk" + gzip.compress(SECRET.encode())))[1]  # as does what comes after
+    assert not secret_layers.scan(b64(b"x^" * 5000))[1] and not secret_layers.scan("x^ BZh9 x\x01 " * 2000)[1]
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -1,9 +1,13 @@
 """Secrets in texts and in what the texts hold in encoded form.
 
-A worklist starts with the text. Every layer is scanned, and its URL-escaped, Unicode-escaped, base64
-and compressed parts are unwrapped into further layers until nothing new turns up; a layer that holds
-itself ends its branch, and a layer that stands in several places is scanned once and mapped to each. Each character of a layer knows the span of the text it came from, so a
-secret found three layers down is reported at the place in the text that hides it.
+A worklist starts with the text. Every layer is scanned, and its URL-escaped, Unicode-escaped, base64 and
+compressed parts are unwrapped into further layers until nothing new turns up; a layer that holds itself
+ends its branch, and a layer that stands in several places is scanned once and mapped to each.
+
+Layers are bytes, written as strings with one character per byte, so that what an escape, a base64 run or
+a compressed part hides may be text, UTF-16 or compressed again, in any order. Each byte of a layer knows
+the span of the layer it came from, so a secret found three layers down is reported at the place in the
+text that hides it. Compressed parts are unfolded piece by piece, however large, through all their members.
 """
 
 from __future__ import annotations
@@ -33,8 +37,12 @@ _LAST_KEYWORD = re.compile(r"(?:password|passwd|secret|token|api_?key)=?\Z", re.
 ACCESS = re.compile("AKIA[A-Z0-9]{12,}")
 HEX = re.compile("[0-9a-f]{32,}")
 
-#: Bytes that one compressed part may unfold to; a larger part is counted in ``n_oversized``.
-UNFOLDED = 64 << 20
+#: Bytes of an unfolded part that are scanned at once, and how many of them are scanned again with the
+#: next ones. What crosses such a border and is longer than the latter is seen in two parts.
+PIECE = 16 << 20
+OVERLAP = 1 << 20
+#: Bytes of what base64 runs hold that a text keeps, should they come again.
+REMEMBERED = 8 << 20
 #: Characters of a base64 run worth decoding: the shortest secret has 14 bytes, which take 19.
 BASE64_RUN = 16
 
@@ -46,27 +54,29 @@ _BASE64_LINE = re.compile("[A-Za-z0-9+/_-]{%d,}={0,2}" % BASE64_RUN)
 _BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{1,%d}+\r?\n[\x20\t]*+)?+[A-Za-z0-9+/_-]{%d,}+(?:\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)*+={0,2}" % (BASE64_RUN - 1, BASE64_RUN))
 _LINE_END = re.compile(r"\r?\n[\x20\t]*")
 #: What gzip, zlib, bzip2, xz and Zstandard bytes begin with.
-_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+_MAGIC = re.compile(r"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9](?=1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+#: Bytes that each have a zero after or before them, as ASCII and other low characters do in UTF-16.
+_WIDE = re.compile(r"(?:[\x00-\xff]\x00){12,}+|(?:\x00[\x00-\xff]){12,}+")
 #: Bytes of whole UTF-8 characters without control characters, as many as a base64 run worth decoding has.
 _READABLE = re.compile(
-    rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
-    rb"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
+    r"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    r"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}+"
 )
 
 #: Texts without any of these hold neither a secret nor a layer (a run of base64 letters is looked for apart).
-_TRIGGER = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{12}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]"""
+_TRIGGER = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]|AKIA[A-Z0-9]{12}|%[0-9A-Fa-f]{2}|\\[uUx][0-9A-Fa-f{]|x[\x01^]|BZh[1-9]|\x00"""
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
 FOUND = (
     "base array<struct<kind: string, start: int, stop: int>>, "
-    "spans array<struct<kind: string, start: int, stop: int>>, n_layers int, n_oversized int"
+    "spans array<struct<kind: string, start: int, stop: int>>, n_layers int"
 )
 
 
 @dataclass
 class Layer:
-    """A text, and where the characters a to b of it stand in the text it was unwrapped from."""
+    """Bytes as a string, and where those from a to b stand in what they were unwrapped from."""
 
     text: str
     place: Callable[[int, int], tuple[int, int]]
@@ -91,27 +101,6 @@ def inner_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _characters(raw: bytes) -> tuple[str, list[int]]:
-    """UTF-8 text of bytes (broken ones replaced) and the byte each character starts at."""
-    text = raw.decode("utf-8", "replace")
-    if len(text) == len(raw):
-        return text, list(range(len(raw) + 1))
-    starts, at = [], 0
-    while at < len(raw):
-        starts.append(at)
-        size = 1
-        for n in (4, 3, 2):
-            try:
-                if len(raw[at : at + n].decode("utf-8")) == 1:
-                    size = n
-                    break
-            except UnicodeDecodeError:
-                continue
-        at += size
-    text = "".join(raw[a:b].decode("utf-8", "replace") for a, b in zip(starts, [*starts[1:], len(raw)]))
-    return text, [*starts, len(raw)]
-
-
 def _replaced(text: str, escapes: Iterator[tuple[int, int, str, list[int]]]) -> Layer:
     """A text with its escapes (start, stop, characters, where each of them starts and the last ends)
     replaced; characters between them stand for themselves."""
@@ -137,89 +126,190 @@ def _replaced(text: str, escapes: Iterator[tuple[int, int, str, list[int]]]) ->
 
 
 def unescape_url(text: str) -> Layer:
-    """A text with its percent escapes replaced."""
+    """A layer with its percent escapes replaced by the bytes they stand for."""
 
     def escapes() -> Iterator[tuple[int, int, str, list[int]]]:
         for m in _PERCENT.finditer(text):
-            decoded, starts = _characters(bytes.fromhex(m[0].replace("%", "")))
-            yield m.start(), m.end(), decoded, [m.start() + 3 * s for s in starts]
+            decoded = bytes.fromhex(m[0].replace("%", "")).decode("latin-1")
+            yield m.start(), m.end(), decoded, list(range(m.start(), m.end() + 1, 3))
 
     return _replaced(text, escapes())
 
 
 def unescape_unicode(text: str) -> Layer:
-    """A text with its backslash escapes replaced; a surrogate pair is one character."""
+    """A layer with its backslash escapes replaced: ``\\x`` by a byte, the others by the UTF-8 bytes of
+    their character. A surrogate pair is one character; half of one is U+FFFD."""
+
+    def shown(start: int, stop: int, point: int) -> tuple[int, int, str, list[int]]:
+        point = 0xFFFD if point > 0x10FFFF or 0xD800 <= point < 0xE000 else point
+        decoded = chr(point).encode().decode("latin-1")
+        return start, stop, decoded, [start] * len(decoded) + [stop]
 
     def escapes() -> Iterator[tuple[int, int, str, list[int]]]:
         high: tuple[int, int, int] | None = None
         for m in _UNICODE.finditer(text):
             point = int(next(g for g in m.groups() if g), 16)
             if high and high[1] == m.start() and 0xDC00 <= point < 0xE000:
-                yield high[0], m.end(), chr(0x10000 + ((high[2] - 0xD800) << 10) + point - 0xDC00), [high[0], m.end()]
+                yield shown(high[0], m.end(), 0x10000 + ((high[2] - 0xD800) << 10) + point - 0xDC00)
                 high = None
                 continue
             if high:
-                yield high[0], high[1], "�", [high[0], high[1]]
+                yield shown(*high)
                 high = None
             if 0xD800 <= point < 0xDC00:
                 high = m.start(), m.end(), point
-                continue
-            shown = "�" if point > 0x10FFFF or 0xDC00 <= point < 0xE000 else chr(point)
-            yield m.start(), m.end(), shown, [m.start(), m.end()]
+            elif m[4]:
+                yield m.start(), m.end(), chr(point), [m.start(), m.end()]
+            else:
+                yield shown(m.start(), m.end(), point)
         if high:
-            yield high[0], high[1], "�", [high[0], high[1]]
+            yield shown(*high)
 
     return _replaced(text, escapes())
 
 
-def _unfold_zstd(raw: memoryview) -> tuple[bytes, int]:
-    import zstandard
-
-    opened, out, size, at = zstandard.ZstdDecompressor().decompressobj(), [], 0, 0
-    while at < len(raw) and not opened.eof and size <= UNFOLDED:
-        out.append(opened.decompress(raw[at : at + 1024]))  # a kilobyte unfolds to 32 MiB at most
-        size += len(out[-1])
-        at += 1024
-    return b"".join(out), min(at, len(raw)) - len(opened.unused_data)
-
-
-def unfold(raw: memoryview) -> tuple[bytes, int] | None:
-    """What gzip, zlib, bzip2, xz or Zstandard bytes hold, and how many they are; None if they are none of these."""
-    if raw[:2] == b"\x1f\x8b":
-        opened = zlib.decompressobj(31)
-    elif raw[:1] == b"\x78":
-        opened = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        opened = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        opened = lzma.LZMADecompressor()
-    elif raw[:4] == b"\x28\xb5\x2f\xfd":
+class _Zstd:
+    """Zstandard with the interface of the other decompressors."""
+
+    def __init__(self):
         import zstandard
 
-        try:
-            return _unfold_zstd(raw)
-        except zstandard.ZstdError:
-            return None
-    else:
-        return None
-    try:
-        return opened.decompress(raw, UNFOLDED + 1), len(raw) - len(opened.unused_data)
-    except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return None
+        self.inner, self.rest, self.unused_data = zstandard.ZstdDecompressor().decompressobj(), memoryview(b""), b""
+
+    @property
+    def eof(self) -> bool:
+        return self.inner.eof
+
+    @property
+    def needs_input(self) -> bool:
+        return not len(self.rest)
+
+    def decompress(self, raw, limit: int) -> bytes:
+        # A kilobyte unfolds to 32 MiB at most.
+        self.rest = memoryview(raw) if len(raw) else self.rest
+        part, self.rest = self.rest[:1024], self.rest[1024:]
+        out = self.inner.decompress(part)
+        if self.inner.eof:
+            self.unused_data = self.inner.unused_data + bytes(self.rest)
+        return out
+
+
+class _Zlib:
+    """gzip and zlib with the interface of the other decompressors."""
+
+    def __init__(self, bits: int):
+        self.inner = zlib.decompressobj(bits)
 
+    @property
+    def eof(self) -> bool:
+        return self.inner.eof
 
-def _stretch(raw: bytes, start: int, stop: int, place: Callable[[int, int], tuple[int, int]]) -> Layer:
-    """The readable bytes from start to stop as a layer; ``place`` says where bytes stand."""
-    text = raw[start:stop].decode()
-    if len(text) == stop - start:
-        return Layer(text, lambda a, b: place(start + a, start + b))
-    bytes_ = np.frombuffer(raw, np.uint8, stop - start, start)
-    at = np.append(np.flatnonzero((bytes_ & 0xC0) != 0x80), stop - start) + start
-    return Layer(text, lambda a, b: place(int(at[a]), int(at[b])))
+    @property
+    def unused_data(self) -> bytes:
+        return self.inner.unused_data
 
+    @property
+    def needs_input(self) -> bool:
+        return not self.inner.unconsumed_tail
 
-def decode_base64(part: str) -> tuple[list[Layer], int]:
-    """What a base64 run holds, compressed or readable, and how much of it was too large to unfold.
+    def decompress(self, raw, limit: int) -> bytes:
+        return self.inner.decompress(raw if len(raw) else self.inner.unconsumed_tail, limit)
+
+
+def _member(raw: memoryview):
+    """A decompressor for what the bytes begin with, and how much of it other members begin with too."""
+    head = bytes(raw[:6])
+    if head[:3] == b"\x1f\x8b\x08":
+        return _Zlib(31), head[:3]
+    if head[:1] == b"x" and head[1:2] in (b"\x01", b"^", b"\x9c", b"\xda"):
+        return _Zlib(15), head[:1]
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor(), head[:3]
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(), head
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return _Zstd(), head[:4]
+    return None, b""
+
+
+def _errors() -> tuple[type[Exception], ...]:
+    try:
+        import zstandard
+    except ImportError:
+        return zlib.error, OSError, EOFError, lzma.LZMAError
+    return zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError
+
+
+def unfold(raw: memoryview, used: list[int]) -> Iterator[bytes]:
+    """What compressed bytes hold, in pieces of up to ``PIECE`` (or what one step gives), through all
+    members that follow each other. ``used`` gets how many bytes they are, or 0 if they break off. What
+    comes before an error counts; bytes that are none of these, or broken from the start, give nothing."""
+    errors, at, held, size = _errors(), 0, [], 0
+    opened, begin = _member(raw)
+    while opened is not None:
+        fed: memoryview | bytes = raw[at:]
+        try:
+            while not opened.eof:
+                out = opened.decompress(fed, PIECE - size)
+                fed = b""
+                if out:
+                    held.append(out)
+                    size += len(out)
+                elif opened.needs_input:
+                    break  # cut short
+                if size >= PIECE:
+                    yield b"".join(held)
+                    held, size = [], 0
+        except errors:
+            break
+        if not opened.eof:
+            break
+        at = used[0] = len(raw) - len(opened.unused_data)
+        if bytes(raw[at : at + len(begin)]) != begin:
+            break
+        opened, begin = _member(raw[at:])
+    if held:
+        yield b"".join(held)
+
+
+def _compressed(text: str) -> Iterator[tuple[int, int, str]]:
+    """The compressed parts of a layer: where they stand (a broken one up to the layer's end), and what
+    they hold, in pieces that overlap. Within a broken part the search goes on."""
+    raw, at = None, 0
+    while m := _MAGIC.search(text, at):
+        raw = text.encode("latin-1") if raw is None else raw
+        used, before, held = [0], "", None
+        for piece in unfold(memoryview(raw)[m.start() :], used):
+            if held is not None:
+                yield m.start(), len(text), held
+            held = before + piece.decode("latin-1")
+            before = held[-OVERLAP:]
+        at = m.start() + max(used[0], 1)
+        if held is not None:  # the last piece; only now it is known where the part ends
+            yield m.start(), at if used[0] else len(text), held
+
+
+def _narrow(wide: str) -> str:
+    """Every other byte of a wide run, those that are not its zeros."""
+    return wide[1::2] if not wide[::2].strip("\0") else wide[::2]
+
+
+def _inside(raw: str, place: Callable[[int, int], tuple[int, int]], whole: Callable[[int, int], tuple[int, int]]) -> Iterator[Layer]:
+    """Layers in decoded bytes: what is compressed, UTF-16 or readable. ``place`` says where bytes stand,
+    ``whole`` where a compressed part does."""
+    for a, b, held in _compressed(raw):
+        lo, hi = whole(a, b)
+        yield Layer(held, lambda x, y, lo=lo, hi=hi: (lo, hi))
+    for m in _WIDE.finditer(raw):
+        start = m.start()
+        yield Layer(_narrow(m[0]), lambda a, b, start=start: place(start + 2 * a, start + 2 * b))
+    for m in _READABLE.finditer(raw):
+        start = m.start()
+        yield Layer(m[0], lambda a, b, start=start: place(start + a, start + b))
+
+
+def decode_base64(part: str) -> Iterator[Layer]:
+    """What a base64 run holds, compressed, UTF-16 or readable.
 
     Something may be glued to either end of the run, so each of the four alignments is tried, readable
     bytes need not fill the run, and compressed ones may begin anywhere in it. Line ends are skipped.
@@ -235,46 +325,53 @@ def decode_base64(part: str) -> tuple[list[Layer], int]:
     body = "".join([*kept, part[at:]]).rstrip("=")
     own = lambda i: i + (skipped[k - 1] if (k := bisect_right(breaks, i)) else 0)
     plain = body.replace("-", "+").replace("_", "/")
-    layers, oversized = [], 0
     for shift in range(4):
         n = len(plain) - shift
         n -= n % 4 == 1
-        raw = base64.b64decode(plain[shift : shift + n] + "=" * (-n % 4))
+        raw = base64.b64decode(plain[shift : shift + n] + "=" * (-n % 4)).decode("latin-1")
 
         def place(a: int, b: int, shift: int = shift) -> tuple[int, int]:
             return own(shift + 4 * (a // 3) + a % 3), own(shift + 4 * ((b - 1) // 3) + (b - 1) % 3 + 1) + 1
 
-        for m in _MAGIC.finditer(raw):
-            held, size = unfold(memoryview(raw)[m.start() :]) or (b"", 0)
-            if len(held) > UNFOLDED:
-                oversized += 1
-            elif held:
-                lo, hi = place(m.start(), m.start() + size)
-                hi = hi if m.start() + size < len(raw) else len(part)
-                layers.append(Layer(held.decode("utf-8", "replace"), lambda a, b, lo=lo, hi=hi: (lo, hi)))
-        layers += [_stretch(raw, *m.span(), place) for m in _READABLE.finditer(raw)]
-    return layers, oversized
-
-
-def _parts(text: str, opened: dict[str, tuple[list[Layer], int]]) -> Iterator[tuple[int, Layer | None, int]]:
-    """What a layer unwraps to: start of the part, the layer in it, how much was too large. URL and
-    Unicode escapes are replaced in the whole text, as a secret's keyword may stand outside them."""
+        def whole(a: int, b: int, size: int = len(raw), place=place) -> tuple[int, int]:
+            lo, hi = place(a, b)
+            return lo, hi if b < size else len(part)
+
+        yield from _inside(raw, place, whole)
+
+
+def _base64(run: str, opened: dict[str, list[Layer]]) -> Iterator[Layer]:
+    """The layers of a run; those of a small one are kept for when it comes again."""
+    if run in opened:
+        yield from opened[run]
+        return
+    found, size = [], len(run)
+    for layer in decode_base64(run):
+        size += len(layer.text)
+        if size <= REMEMBERED:
+            found.append(layer)
+        yield layer
+    if size + sum(map(len, opened)) <= REMEMBERED:
+        opened[run] = found
+
+
+def _parts(text: str, opened: dict[str, list[Layer]]) -> Iterator[tuple[int, Layer]]:
+    """What a layer unwraps to: the start of a part, and the layer in it. URL and Unicode escapes are
+    replaced in the whole layer, as a secret's keyword may stand outside them."""
     if _PERCENT_CHAIN.search(text):  # escapes of escapes of escapes: all but the last at once
-        yield 0, _replaced(text, ((m.start(), m.end(), "%25", [m.start(), m.start() + 1, m.start() + 2, m.end()]) for m in _PERCENT_CHAIN.finditer(text))), 0
+        yield 0, _replaced(text, ((m.start(), m.end(), "%25", [m.start(), m.start() + 1, m.start() + 2, m.end()]) for m in _PERCENT_CHAIN.finditer(text)))
     elif _PERCENT.search(text):
-        yield 0, unescape_url(text), 0
+        yield 0, unescape_url(text)
     if _UNICODE.search(text):
-        yield 0, unescape_unicode(text), 0
+        yield 0, unescape_unicode(text)
+    for a, b, held in _compressed(text):
+        yield a, Layer(held, lambda x, y, size=b - a: (0, size))
+    for m in _WIDE.finditer(text):
+        yield m.start(), Layer(_narrow(m[0]), lambda a, b: (2 * a, 2 * b))
     for m in _BASE64.finditer(text):
-        runs_ = [m] if "\n" not in m[0] else [m, *_BASE64_LINE.finditer(text, *m.span())]
-        for run in runs_:
-            if run[0] not in opened:
-                opened[run[0]] = decode_base64(run[0])
-            layers, large = opened[run[0]]
-            if large:
-                yield run.start(), None, large
-            for layer in layers:
-                yield run.start(), layer, 0
+        for run in [m] if "\n" not in m[0] else [m, *_BASE64_LINE.finditer(text, *m.span())]:
+            for layer in _base64(run[0], opened):
+                yield run.start(), layer
 
 
 class _Opened:
@@ -292,24 +389,31 @@ class _Opened:
 
 
 def _key(text: str) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return hashlib.blake2b(text.encode("latin-1"), digest_size=16).digest()
 
 
-def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int, int]:
-    """Base spans, all spans, how many different layers were opened, and how many were too large."""
+def _root(text: str) -> Layer:
+    """The text's UTF-8 bytes, and the characters they belong to. A lone surrogate counts as three bytes."""
+    raw = text.encode("utf-8", "surrogatepass")
+    if len(raw) == len(text):
+        return Layer(text, lambda a, b: (a, b))
+    starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+    own = lambda i: int(np.searchsorted(starts, i, "right")) - 1
+    return Layer(raw.decode("latin-1"), lambda a, b: (own(a), own(b - 1) + 1))
+
+
+def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
+    """Base spans, all spans, and how many different layers were opened."""
     order = {k: i for i, k in enumerate(KINDS)}
     ranked = lambda found: sorted(found, key=lambda x: (x[1], order[x[0]], x[2]))
-    base, oversized = base_spans(text), 0
-    done: dict[bytes, set[tuple[str, int, int]]] = {}  # spans of a layer's text, in its own places
-    opened: dict[str, tuple[list[Layer], int]] = {}  # base64 runs
-    path = [_Opened(_key(text), base, _parts(text, opened))]
+    base, root = base_spans(text), _root(text)
+    done: dict[bytes, set[tuple[str, int, int]]] = {}  # spans of a layer, in its own places
+    opened: dict[str, list[Layer]] = {}  # base64 runs
+    path = [_Opened(_key(root.text), [], _parts(root.text, opened))]
     depths, layers = {path[0].key: 0}, set()
     while True:
         here = path[-1]
-        for start, inner, large in here.parts:
-            oversized += large
-            if inner is None:
-                continue
+        for start, inner in here.parts:
             key = _key(inner.text)
             if key in depths:
                 here.cycle = min(here.cycle, depths[key])
@@ -324,7 +428,8 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
             path.pop()
             del depths[here.key]
             if not path:
-                return ranked(base), ranked(here.found), len(layers), oversized
+                deep = {(kind, *root.place(a, b)) for kind, a, b in here.found}
+                return ranked(base), ranked({*base, *deep}), len(layers)
             path[-1].add(here.start, here.via, here.found)
             if here.cycle >= len(path):  # whole: no layer above it was left out of it
                 done[here.key] = here.found
@@ -340,19 +445,19 @@ def _scan(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = ("doc_id
         wanted = pc.fill_null(pc.match_substring_regex(column, _TRIGGER), False).to_numpy(zero_copy_only=False).copy()
         starts, ends = runs(_RUN[texts.data], texts.at)
         wanted[np.searchsorted(texts.at, starts[ends - starts >= BASE64_RUN], "right") - 1] = True
-        rows = [([], [], 0, 0)] * len(texts)
+        rows = [([], [], 0)] * len(texts)
         for i in np.flatnonzero(wanted).tolist():
             rows[i] = scan(texts.bytes_of(i).decode())
-        base, spans, layers, oversized = zip(*rows)
+        base, spans, layers = zip(*rows)
         as_rows = lambda lists: pa.array([[dict(zip(("kind", "start", "stop"), s)) for s in x] for x in lists], shape)
         yield pa.RecordBatch.from_arrays(
-            [*(piece.column(c).combine_chunks() for c in carried), as_rows(base), as_rows(spans), pa.array(layers, pa.int32()), pa.array(oversized, pa.int32())],
-            names=[*carried, "base", "spans", "n_layers", "n_oversized"],
+            [*(piece.column(c).combine_chunks() for c in carried), as_rows(base), as_rows(spans), pa.array(layers, pa.int32())],
+            names=[*carried, "base", "spans", "n_layers"],
         )
 
 
 def find_secrets(docs: DataFrame, carried: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
-    """Rows (doc_id, text, base, spans, n_layers, n_oversized), one per document; ``carried`` names other
+    """Rows (doc_id, text, base, spans, n_layers), one per document; ``carried`` names other
     columns to keep, among them the text.
 
     ``base`` are the secrets of the text itself, ``spans`` also those of its layers, as (kind, start,
