@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-PARTS = ["star_queries", "ingest_queries", "load_queries", "nested_queries", "merge_queries", "calendar_queries", "time_queries", "quality_queries", "rule_queries", "text_queries"]
+PARTS = ["star_queries", "ingest_queries", "load_queries", "nested_queries", "merge_queries", "calendar_queries", "drift_queries", "time_queries", "quality_queries", "rule_queries", "text_queries"]
 
 
 def _merged(attribute: str) -> dict:
