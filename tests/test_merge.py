@@ -177,3 +177,21 @@ def test_no_window_carries_the_payload(pages, build):
             depth = at
         elif depth is not None and "Project [" in line:
             assert "items#" not in line.split("Project [")[1].replace("size(items#", "")
+
+
+def test_null_requests_and_repeated_pages(spark):
+    """Every item of every page is merged once, whatever the request, and a limit counts all of them."""
+    pages = spark.createDataFrame(
+        [(None, 0, [1, 2]), (None, 1, [3]), ("a", 0, [5]), ("a", 0, [6]), ("a", 1, [7, 8]), ("a", 1, [7, 8]), ("a", 2, None), ("b", 0, [])],
+        "r string, p int, i array<int>",
+    )
+    got = {r.r: r.i for r in merge.merge_page_items(pages, ["r"], "p", "i").collect()}
+    assert got[None] == [1, 2, 3] and sorted(got["a"][:2]) == [5, 6] and got["a"][2:] == [7, 8, 7, 8] and set(got) == {None, "a"}
+    for most in range(1, 9):
+        kept = merge.limit_pages(pages, ["r"], "p", "i", most)
+        sizes = {r.r: r.n for r in kept.groupBy("r").agg(F.sum(F.coalesce(F.size("i"), F.lit(0))).alias("n")).collect()}
+        assert sizes[None] == min(most, 3) and sizes["a"] == min(most, 6)
+    assert rows(merge.resume_position(pages, ["r"], "p", "i", 2)) == [(None, 1, 0), ("a", 1, 0)]
+    assert rows(merge.resume_position(pages, ["r"], "p", "i", 5)) == [("a", 1, 3)]
+    rest = merge.resume_pages(pages, merge.resume_position(pages, ["r"], "p", "i", 2), ["r"], "p", "i")
+    assert rows(rest, "r", "p", "i") == [(None, 1, [3]), ("a", 1, [7, 8]), ("a", 1, [7, 8]), ("a", 2, None)]

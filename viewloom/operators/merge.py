@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.operators.ordered import running_sum
-from viewloom.session import cut_lineage
+from viewloom.operators.ordered import join_same, running_sum
+from viewloom.session import cut_lineage, scratch_path
 
 # Pages of one request that one task orders at a time.
 PAGES_PER_BLOCK = 1 << 16
@@ -28,25 +28,44 @@ def merge_pages(
     )
 
 
-def _pieces(pages: DataFrame, request, page: str, size: Column, cut, segment: int) -> DataFrame:
+def _mark(payload: str) -> Column:
+    """Tells pages with one number apart, and puts them in an order."""
+    return F.xxhash64(payload).alias("_mark")
+
+
+def _whole_mark(pages: DataFrame) -> Column:
+    """Tells rows apart by all columns that have a hash."""
+    return F.xxhash64(*[f.name for f in pages.schema if not any(k in f.dataType.simpleString() for k in ("map", "variant"))])
+
+
+def _placed(slim: DataFrame, request: list[str], page: str) -> DataFrame:
+    """(request, page, _mark, _size, _copies, _start): the place of the first of each kind of page; the
+    copies of a page that comes several times follow each other."""
+    kinds = slim.groupBy(*request, page, "_mark", "_size").agg(F.count(F.lit(1)).alias("_copies"))
+    # Written, so that the payload is read for its marks once, and nothing of it reaches the ordering.
+    folder = scratch_path(slim.sparkSession, "page-kinds")
+    kinds.write.parquet(folder)
+    kinds = slim.sparkSession.read.parquet(folder)
+    ends = running_sum(kinds, request, [page, "_mark"], F.col("_size") * F.col("_copies"), "_end", _block(page))
+    return ends.withColumn("_start", F.col("_end") - F.col("_size") * F.col("_copies")).drop("_end")
+
+
+def _pieces(pages: DataFrame, request, page: str, payload: str, size: Column, cut, segment: int) -> DataFrame:
     """Cut each page's payload at segment borders of the whole request.
 
     Places are summed over rows of (request, page, size); the payload only meets
     its place and then its segment.
     """
-    sized = pages.withColumn("_size", F.coalesce(size, F.lit(0)).cast("bigint")).filter("_size > 0")
-    slim = pages.select(*request, page, F.coalesce(size, F.lit(0)).cast("bigint").alias("_size")).filter("_size > 0")
-    ends = running_sum(slim, request, [page], F.col("_size"), "_end", _block(page)).drop("_size")
-    placed = sized.join(ends, [*request, page])
-    start = F.col("_end") - F.col("_size")
-    spans = placed.withColumn("_start", start).withColumn(
-        "segment",
-        F.explode(
-            F.sequence(
-                F.floor(F.col("_start") / segment), F.floor((F.col("_end") - 1) / segment)
-            )
-        ),
-    )
+    sized = pages.withColumns({"_size": F.coalesce(size, F.lit(0)).cast("bigint"), "_mark": F.xxhash64(payload)}).filter("_size > 0")
+    places = _placed(sized.select(*request, page, "_mark", "_size"), request, page).drop("_size")
+    keys = [*request, page, "_mark"]
+    single = join_same(sized, places.filter("_copies = 1"), keys)
+    # Copies are rare: one row stands for all of them until each has its place.
+    several = join_same(sized, places.filter("_copies > 1"), keys).dropDuplicates(keys)
+    copies = several.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)))
+    placed = single.unionByName(copies.withColumn("_start", F.col("_start") + F.col("_copy") * F.col("_size")).drop("_copy"))
+    last = F.floor((F.col("_start") + F.col("_size") - 1) / segment)
+    spans = placed.withColumn("segment", F.explode(F.sequence(F.floor(F.col("_start") / segment), last)))
     low = F.greatest(F.col("segment") * segment - F.col("_start"), F.lit(0)).cast("int")
     high = F.least((F.col("segment") + 1) * segment - F.col("_start"), F.col("_size")).cast("int")
     return spans.select(*request, "segment", F.col("_start"), cut(low, high - low).alias("_part"))
@@ -64,6 +83,7 @@ def merge_page_items(
         pages,
         request,
         page,
+        items,
         F.size(items),
         lambda low, n: F.slice(items, low + 1, n),
         segment,
@@ -82,6 +102,7 @@ def merge_page_text(
         pages,
         request,
         page,
+        text,
         F.length(text),
         lambda low, n: F.substring(F.col(text), low + 1, n),
         segment,
@@ -93,31 +114,42 @@ def merge_page_text(
 
 
 def _counted(pages: DataFrame, request: list[str], page: str, items: str, *others: str) -> DataFrame:
-    """Rows (request, page, others, _size, _end, _before) without the payload."""
+    """Rows (request, page, _mark, others, _size, _copies, _before) without the payload; ``_before`` counts
+    the items before the first of the copies."""
     size = F.greatest(F.coalesce(F.size(items), F.lit(0)), F.lit(0)).cast("bigint").alias("_size")
-    sized = pages.select(*request, page, *others, size)
-    placed = running_sum(sized, request, [page], F.col("_size"), "_end", _block(page))
-    return placed.withColumn("_before", F.col("_end") - F.col("_size"))
+    slim = pages.select(*request, page, _mark(items), size)
+    placed = _placed(slim, request, page).withColumnRenamed("_start", "_before")
+    if not others:
+        return placed
+    rest = pages.select(*request, page, _mark(items), *others).dropDuplicates([*request, page, "_mark"])
+    return join_same(placed, rest, [*request, page, "_mark"])
 
 
 def limit_pages(
     pages: DataFrame, request: list[str], page: str, items: str, max_items: int
 ) -> DataFrame:
-    """Pages up to ``max_items`` items per request; the last one is cut to fit.
+    """Pages up to ``max_items`` items per request; the last one is cut to fit. Pages with one number
+    follow each other in a fixed order.
 
     The last page of each request is found on slim rows; pages beyond it are
     dropped where they meet it.
     """
     if max_items < 1:
         raise ValueError("max_items must be at least 1")
-    counted = _counted(pages, request, page, items).filter(F.col("_before") < max_items)
-    last = counted.groupBy(*request).agg(F.max(F.struct(page, "_before")).alias("_last"))
-    last = last.select(*request, F.col(f"_last.{page}").alias("_page"), F.col("_last._before").alias("_before"))
-    kept = pages.join(last, request).filter(F.col(page) <= F.col("_page"))
+    marked = pages.withColumn("_mark", _whole_mark(pages))
+    size = F.greatest(F.coalesce(F.size(items), F.lit(0)), F.lit(0)).cast("bigint").alias("_size")
+    counted = _placed(marked.select(*request, page, "_mark", size), request, page).filter(F.col("_start") < max_items)
+    last = counted.groupBy(*request).agg(F.max(F.struct(page, "_mark", "_start", "_size", "_copies")).alias("_last"))
+    here = F.struct(F.col(page).alias("p"), F.col("_mark").alias("m"))
+    there = F.struct(F.col(f"_last.{page}").alias("p"), F.col("_last._mark").alias("m"))
+    kept = join_same(marked, last, request)
+    # One row stands for all copies of the last page until each has its place.
+    end = kept.filter(here == there).dropDuplicates([*request, page, "_mark"])
+    end = end.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_last._copies") - 1)))
+    room = (max_items - F.col("_last._start") - F.col("_copy") * F.col("_last._size")).cast("int")
     # Null lists stay null, as they do on a page that is not cut.
-    room = (max_items - F.col("_before")).cast("int")
-    cut = F.when(F.col(page) == F.col("_page"), F.slice(items, 1, room)).otherwise(F.col(items))
-    return kept.withColumn(items, cut).drop("_page", "_before").select(*pages.columns)
+    end = end.filter(room > 0).withColumn(items, F.slice(items, 1, room))
+    return kept.filter(here < there).select(*pages.columns).unionByName(end.select(*pages.columns))
 
 
 def resume_position(
@@ -130,13 +162,17 @@ def resume_position(
 ) -> DataFrame:
     """Where :func:`limit_pages` stopped: ``resume_page`` and ``resume_offset``.
 
-    A cut page resumes inside itself (counting items already ``skipped`` there), a
-    full one at the next page. Requests that ended are absent.
+    A cut page resumes inside itself (counting items already ``skipped`` there, and
+    those of pages with its number before it), a full one at the next page.
+    Requests that ended are absent.
     """
     counted = _counted(pages, request, page, items, *([skipped] if skipped else []))
-    cut = (F.col("_before") < max_items) & (F.col("_end") > max_items)
+    total = F.sum(F.col("_size") * F.col("_copies")).alias("_size")
+    by_page = counted.groupBy(*request, page).agg(F.min("_before").alias("_before"), total, *([F.max(skipped).alias(skipped)] if skipped else []))
+    end = F.col("_before") + F.col("_size")
+    cut = (F.col("_before") < max_items) & (end > max_items)
     offset = max_items - F.col("_before") + (F.col(skipped) if skipped else F.lit(0))
-    found = counted.groupBy(*request).agg(
+    found = by_page.groupBy(*request).agg(
         F.max(F.when(cut, F.col(page))).alias("_cut_page"),
         F.max(F.when(cut, offset)).alias("_cut_offset"),
         F.min(F.when(F.col("_before") >= max_items, F.col(page))).alias("_next_page"),
@@ -152,7 +188,7 @@ def resume_pages(
     pages: DataFrame, positions: DataFrame, request: list[str], page: str, items: str
 ) -> DataFrame:
     """Pages from the resume position on; ``skipped`` counts items cut on the left."""
-    joined = pages.join(positions, request).filter(F.col(page) >= F.col("resume_page"))
+    joined = join_same(pages, positions, request).filter(F.col(page) >= F.col("resume_page"))
     skipped = F.when(F.col(page) == F.col("resume_page"), F.col("resume_offset")).otherwise(F.lit(0))
     left = F.greatest(F.size(items) - skipped, F.lit(0)).cast("int")
     return (

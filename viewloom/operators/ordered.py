@@ -11,6 +11,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null; the keys of the left side stay."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & left[k].eqNullSafe(renamed[f"_same_{k}"])
+    return left.join(renamed, condition, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def running_sum(
     df: DataFrame,
     keys: list[str],
@@ -30,7 +39,7 @@ def running_sum(
     carry = per_block.select(
         *keys, "_blk", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_carry")
     )
-    joined = tagged.join(carry, [*keys, "_blk"])
+    joined = join_same(tagged, carry, [*keys, "_blk"])
     inside = (
         Window.partitionBy(*keys, "_blk")
         .orderBy(*order)
