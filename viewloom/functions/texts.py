@@ -282,8 +282,11 @@ PARTS = [
 
 def noise_score(df: DataFrame, text: str, out: str = "noise", common_cjk: str = "") -> DataFrame:
     """Add the noise score: the sum of all parts, rounded to 3 digits. The whole
-    text counts; nothing stops early at a threshold."""
-    prefix = "_noise_"
-    scored = noise_parts(df, text, prefix, common_cjk)
+    text counts; nothing stops early at a threshold. Parts that are there already,
+    by :func:`noise_parts`, are summed as they are."""
+    have = all(p in df.columns for p in PARTS)
+    prefix = "" if have else "_noise_"
+    scored = df if have else noise_parts(df, text, prefix, common_cjk)
     total = sum((F.col(prefix + p) for p in PARTS), F.lit(0.0))
-    return scored.withColumn(out, F.round(total, 3)).drop(*[prefix + p for p in PARTS])
+    scored = scored.withColumn(out, F.round(total, 3))
+    return scored if have else scored.drop(*[prefix + p for p in PARTS])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewloom.functions.texts import noise_score
+from viewloom.operators.codepages import basic_ideographs, likely_readings
 from viewloom.operators.language import best_language, language_scores
 from viewloom.session import cut_lineage
 
@@ -42,7 +43,7 @@ DECLARATIONS = [
 ]
 NOISE_LIMIT = 0.2
 
-# Code pages tried when bytes are neither marked nor UTF-8, in order of preference.
+# Code pages in order of preference, before all others.
 CODE_PAGES = [
     "cp1252", "cp1250", "cp1251", "cp1253", "cp1255", "cp1256", "cp1257", "koi8_r", "iso8859_5",
     "cp437", "cp850", "mac_roman", "gb18030", "big5", "shift_jis", "euc_jp", "euc_kr",
@@ -123,15 +124,18 @@ def _decoder(names: list[str]):
     @F.pandas_udf("array<struct<charset:string,text:string>>")
     def decode(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         def tried(content, mark, declared):
-            found = {}  # text: the first charset in the order of trust that reads it so
+            data, found = bytes(content), {}  # text: the first charset in the order of trust that reads it so
             mark, declared = known_charset(mark), known_charset(declared)
-            for name in dict.fromkeys([*filter(None, (mark, declared)), *names]):
+            for name in filter(None, (mark, declared)):
                 try:
-                    found.setdefault(bytes(content).decode(name), name)
+                    found.setdefault(data.decode(name), name)
                 except (UnicodeDecodeError, LookupError, ValueError):
                     continue
                 if name == mark:  # a mark that the bytes bear out settles it
                     break
+            if mark not in found.values():
+                for name, text in likely_readings(data, tuple(names)):
+                    found.setdefault(text, name)
             return [{"charset": name, "text": text} for text, name in found.items()]
 
         for contents, marks, names_ in batches:
@@ -141,11 +145,11 @@ def _decoder(names: list[str]):
 
 
 def candidates(files: DataFrame, content: str, code_pages: list[str]) -> DataFrame:
-    """One row per file and encoding that can read it: charset, place in the order
-    of trust, text. ASCII and UTF-8 files are decoded by the JVM; only the others,
-    marked ones too, go through their wished charset and the code pages, where
-    malformed bytes rule a charset out instead of ending the job. A mark that fits is
-    the only reading, and equal readings count once."""
+    """One row per file with its readings: charset and text, in the order of trust.
+    ASCII and UTF-8 files are decoded by the JVM; only the others, marked ones too, go
+    through their wished charset and the code pages, of which those stay that can read
+    the bytes and look about least odd by them. A mark that fits is the only reading,
+    and equal readings count once."""
     marked = encoding_marks(files, content)
     c = F.col(content)
     body = F.when(F.col("bom") == "utf_8", F.substr(c, F.lit(4))).otherwise(c)
@@ -172,16 +176,19 @@ def encoding_audit(
     """One row per file: mark, declaration, chosen encoding, its noise and (with a
     letter table) language, and whether the file looks binary.
 
-    The least noisy reading wins; readings within 1 % are told apart by language
+    All charsets of :func:`text_codecs` are considered unless ``code_pages`` names
+    others; how odd a reading is is told from the bytes, and only the least odd ones
+    are decoded and scored. The least noisy reading wins; readings within 1 % are told apart by language
     score, then by how many bytes became multi-byte characters, then by the order
     of trust. A file is binary when no reading stays below the noise limit.
     """
-    pages = code_pages or CODE_PAGES
+    pages = list(code_pages or text_codecs())
     read = candidates(files, content, pages)
     tried = read.select(
         *key, F.octet_length(content).alias("_bytes"), F.posexplode("_all").alias("_place", "_one")
     ).select(*key, "_place", "_bytes", F.col("_one.charset").alias("charset"), F.col("_one.text").alias("_text"))
-    scored = noise_score(tried, "_text", "noise").withColumn(
+    common = "".join(sorted(basic_ideographs()))
+    scored = noise_score(tried, "_text", "noise", common).withColumn(
         "_wide", 1 - F.try_divide(F.length("_text"), F.col("_bytes"))
     )
     # One narrow row per reading, kept, so that no reading is scored for noise twice.
