@@ -221,3 +221,23 @@ def test_plans_have_no_cross_join_and_no_python(spark, small, name):
     plan = registry.queries()[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert bad not in plan
+
+
+def test_order_agreement_of_a_large_alphabet(spark):
+    """How many letters stand before by both orders, for alphabets of any size, and not in squared time."""
+    import random
+    import time
+
+    rnd = random.Random(36)
+    groups = {name: rnd.sample(range(2 * n), n) for name, n in (("one", 1), ("two", 2), ("five", 5), ("odd", 33), ("large", 3000))}
+    pairs = [(name, 3 * r, t) for name, places in groups.items() for r, t in enumerate(places)]
+    df = spark.createDataFrame(pairs, "g string, rank int, _there int")
+    start = time.time()
+    got = {(r.g, r.rank): (r.i, r.j, r.m, r.before) for r in language._before(df, ["g"]).collect()}
+    took = time.time() - start
+    for name, places in groups.items():
+        for i, t in enumerate(places if name != "large" else places[::50]):
+            i = i if name != "large" else 50 * i
+            assert got[name, 3 * i] == (i, sum(x < t for x in places), len(places), sum(x < t for x in places[:i]))
+    rows_made = language._before(df, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in rows_made and took < 60

@@ -90,6 +90,31 @@ def text_layers(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     )
 
 
+def _before(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``i`` and ``j``, how many letters of the group stand before by rank and by place, and
+    ``before``, how many do by both.
+
+    The last is counted bit by bit of ``j``, as a merge sort would: a letter with bit b set comes after
+    those that have it clear and the same higher bits. So a group of m letters costs m rows per bit.
+    """
+    group = Window.partitionBy(*keys)
+    numbered = pairs.withColumns(
+        {
+            "i": F.row_number().over(group.orderBy("rank")) - 1,
+            "j": F.row_number().over(group.orderBy("_there")) - 1,
+            "m": F.count(F.lit(1)).over(group).cast("int"),
+        }
+    )
+    bits = F.sequence(F.lit(0), F.length(F.bin(F.col("m"))))
+    level = numbered.withColumn("_bit", F.explode(bits))
+    is_set = F.expr("shiftright(j, _bit) % 2 = 1")
+    level = level.withColumns({"_high": F.expr("shiftright(j, _bit + 1)"), "_set": is_set})
+    earlier = Window.partitionBy(*keys, "_bit", "_high").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    level = level.withColumn("_clear", F.when(F.col("_set"), F.count_if(~F.col("_set")).over(earlier)).otherwise(0))
+    rest = [c for c in numbered.columns if c not in (*keys, "i")]
+    return level.groupBy(*keys, "i").agg(*[F.first(c).alias(c) for c in rest], F.sum("_clear").alias("before"))
+
+
 def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str]) -> DataFrame:
     """(keep..., language, score) for each language that fits a text, score rounded
     to 4 digits. Texts are scored per script family.
@@ -104,29 +129,22 @@ def language_scores(df: DataFrame, text: str, table: DataFrame, keep: list[str])
         F.exists("letters", lambda c: c.rlike(accented_class())).alias("_has_accent"),
         F.posexplode("letters").alias("_there", "letter"),
     )
-    shared = text_layers(df, text, keep).join(ranked, "letter")
-    pair = F.struct(F.col("rank").alias("rank"), F.col("_there").alias("there"))
-    met = shared.groupBy(*keep, "layer", "language").agg(
-        F.first("size").alias("found"),
-        F.first("_size").alias("size"),
-        (F.first("accented") & ~F.first("_has_accent")).alias("unfit"),
-        F.collect_list(pair).alias("pairs"),
-    )
-
-    def stands(p: Column) -> Column:
-        there, size = p["there"], F.col("size")
-        apart = F.abs(F.floor(p["rank"] * size.cast("double") / F.col("found")) - there)
-        before = F.size(F.filter("pairs", lambda q: (q["rank"] < p["rank"]) & (q["there"] < there)))
-        after = F.size(F.filter("pairs", lambda q: (q["rank"] >= p["rank"]) & (q["there"] >= there)))
-        company = (there == 0) | (before >= COMPANY * there) | (after >= COMPANY * (size - there))
-        near = (apart <= RANKS_APART) & company
-        return F.when(size <= SMALL_ALPHABET, near).otherwise((apart < size / SHARE_APART) | company)
-
-    fits = (F.size("pairs") >= MIN_OVERLAP * F.col("size")) & ~F.col("unfit")
-    score = F.size(F.filter("pairs", stands)) / F.col("found")
+    keys = [*keep, "layer", "language"]
+    shared = text_layers(df, text, keep).join(ranked, "letter").filter(~F.col("accented") | F.col("_has_accent"))
+    shared = shared.select(*keys, "rank", "_there", F.col("size").alias("_found"), "_size")
+    shared = shared.withColumn("_shared", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    met = _before(shared.filter(F.col("_shared") >= MIN_OVERLAP * F.col("_size")).drop("_shared"), keys)
+    size, there = F.col("_size"), F.col("_there")
+    apart = F.abs(F.floor(F.col("rank") * size.cast("double") / F.col("_found")) - there)
+    # With the letter itself, those that stand after it by both orders, or at it.
+    after = F.col("m") - F.col("i") - F.col("j") + F.col("before")
+    company = (there == 0) | (F.col("before") >= COMPANY * there) | (after >= COMPANY * (size - there))
+    near = (apart <= RANKS_APART) & company
+    stands = F.when(size <= SMALL_ALPHABET, near).otherwise((apart < size / SHARE_APART) | company)
+    score = F.count_if(stands) / F.first("_found")
     return (
-        met.filter(fits)
-        .select(*keep, "language", score.alias("_score"))
+        met.groupBy(*keys)
+        .agg(score.alias("_score"))
         .filter(F.col("_score") >= THRESHOLD)
         .select(*keep, "language", F.round("_score", 4).alias("score"))
     )

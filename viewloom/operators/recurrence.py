@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewloom.operators.asof import nearest
 from viewloom.operators.ordered import row_position
 from viewloom.session import cut_lineage
 
@@ -399,36 +400,9 @@ def count_occurrences(rules: DataFrame, occurrences: DataFrame) -> DataFrame:
 def before_after(
     times: DataFrame, occurrences: DataFrame, at: str = "at", inclusive: bool = False
 ) -> DataFrame:
-    """Add ``before`` and ``after``: the rule's nearest occurrences around ``at``.
-
-    Occurrences shrink to one row per (rule, day): the day's own list plus the
-    nearest ones outside it. Each asked time meets exactly one such row, so a rule
-    that is asked often is split like any skewed join key.
-    """
-    day = lambda c: F.to_date(c).alias("_day")
-    own = occurrences.groupBy("rule_id", day("occurrence")).agg(
-        F.array_sort(F.collect_set("occurrence")).alias("_own")
-    )
-    asked = times.select("rule_id", day(at)).distinct()
-    days = own.join(asked, ["rule_id", "_day"], "full")
-    past = Window.partitionBy("rule_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    future = Window.partitionBy("rule_id").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    frame = days.withColumns(
-        {
-            "_earlier": F.max(F.element_at("_own", -1)).over(past),
-            "_later": F.min(F.element_at("_own", 1)).over(future),
-        }
-    )
-    t = F.col(at)
-    below = (lambda x: x <= t) if inclusive else (lambda x: x < t)
-    above = (lambda x: x >= t) if inclusive else (lambda x: x > t)
-    return (
-        times.withColumn("_day", F.to_date(at))
-        .join(frame, ["rule_id", "_day"], "left")
-        .withColumn("before", F.coalesce(F.array_max(F.filter("_own", below)), F.col("_earlier")))
-        .withColumn("after", F.coalesce(F.array_min(F.filter("_own", above)), F.col("_later")))
-        .drop("_day", "_own", "_earlier", "_later")
-    )
+    """Add ``before`` and ``after``: the rule's nearest occurrences around ``at``; see
+    :func:`viewloom.operators.asof.nearest`."""
+    return nearest(times, occurrences, "rule_id", at, "occurrence", inclusive)
 
 
 def between(
