@@ -6,6 +6,9 @@ occurs at all, and how often the entity does. The disclosure of a word is its po
 information with the entity as a share of the entity's information content: 1 if the word occurs
 with the entity only, about 0 if it is independent of it. Wherever they stand in a text that holds the
 entity, words that exceed a threshold are generalised, those that exceed a higher one are removed.
+
+One or two documents say nothing about a word. So entities that occur in so few are pooled by what they
+share (an email's domain, a network, a card's issuer, a phone's country), and the pool is the entity.
 """
 
 from __future__ import annotations
@@ -153,13 +156,33 @@ def _words(text: Column) -> Column:
     return F.flatten(F.transform(F.aggregate(parts, first, step, lambda state: state["rows"]), placed))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, support: int) -> DataFrame:
+def pool_of(entity: Column) -> Column:
+    """What an entity shares with others: the domain, the first three numbers of an address, the first
+    six digits of a card, the first two of a phone number."""
+    kind, value = F.substring_index(entity, ":", 1), F.substr(entity, F.locate(":", entity) + 1)
+    shared = (
+        F.when(kind == "email", F.concat(F.lit("@"), F.substring_index(value, "@", -1)))
+        .when(kind == "ip", F.concat(F.substring_index(value, ".", 3), F.lit(".*")))
+        .otherwise(F.concat(F.substring(value, F.lit(1), F.when(kind == "card", 6).otherwise(2)), F.lit("*")))
+    )
+    return F.concat_ws(":", kind, shared)
+
+
+def protected(found: DataFrame, support: int) -> DataFrame:
+    """Rows (row, entity), distinct: the entities of each document, those of fewer than ``support``
+    documents by their pool."""
+    each = found.select("row", F.explode("entities").alias("entity"))
+    rare = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < support).select("entity", F.lit(True).alias("rare"))
+    named = each.join(rare, "entity", "left")
+    return named.select("row", F.when(F.col("rare"), pool_of(F.col("entity"))).otherwise(F.col("entity")).alias("entity")).distinct()
+
+
+def disclosures(docs: DataFrame, found: DataFrame, each: DataFrame, support: int) -> DataFrame:
     """Rows (entity, term, n_both, n_term, n_entity, disclosure) for pairs of at least ``support`` documents.
 
     Counts are of documents, of their whole texts and over the whole corpus, and combine before every
     shuffle. Only entities of ``support`` documents are paired with the words of their documents.
     """
-    each = found.select("row", F.explode("entities").alias("entity"))
     entities = each.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(F.col("n_entity") >= support)
     shared = each.join(entities, "entity").groupBy("row").agg(F.collect_list("entity").alias("shared"))
     pairs = found.join(shared, "row").select("shared", F.explode(_terms(F.col("open"))).alias("term")).select(F.explode("shared").alias("entity"), "term")
@@ -178,7 +201,8 @@ def find_personal(docs: DataFrame, generalise: float = 0.8, remove: float = 0.9,
     """Rows (doc_id, text, base, spans), one per document; spans are (start, rank, stop, kind, value).
 
     ``base`` is the personal data itself; ``spans`` has the disclosing words too, as kinds ``remove``
-    and ``generalise``. A word counts only if it occurs with the entity in ``support`` documents, anywhere in them.
+    and ``generalise``. A word counts only if it occurs with the entity, or with its pool if the entity is
+    in fewer, in ``support`` documents, anywhere in them.
     Null text counts as empty; documents with equal ids and texts are counted apart but get the same
     spans, also with null ids; other columns are ignored; an empty table gives no rows.
     """
@@ -188,10 +212,13 @@ def find_personal(docs: DataFrame, generalise: float = 0.8, remove: float = 0.9,
     folder = scratch_path(spark, "mentions")
     mentions(base).write.mode("overwrite").parquet(folder)
     found = spark.read.parquet(folder)
-    known = disclosures(base, found, support).filter(F.col("disclosure") >= generalise)
+    held = scratch_path(spark, "protected")
+    protected(found, support).write.mode("overwrite").parquet(held)
+    each = spark.read.parquet(held)
+    known = disclosures(base, found, each, support).filter(F.col("disclosure") >= generalise)
     sure = F.col("disclosure") >= remove
     known = known.select("entity", "term", F.struct(F.when(sure, len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"), F.when(sure, ADDED[0]).otherwise(ADDED[1]).alias("kind")).alias("k"))
-    wanted = found.select("row", F.explode("entities").alias("entity")).join(known, "entity").groupBy("row", "term").agg(F.min("k").alias("k"))
+    wanted = each.join(known, "entity").groupBy("row", "term").agg(F.min("k").alias("k"))
     places = found.join(wanted.select("row").distinct(), "row", "left_semi").select("row", "doc_id", "mark", F.explode(_words(F.col("open"))).alias("word")).select("row", "doc_id", "mark", "word.*")
     added = places.join(wanted, ["row", "term"]).groupBy("doc_id", "mark", "start", "stop").agg(F.min("k").alias("k"), F.first("term").alias("term"))
     row = F.struct("start", F.col("k.rank").alias("rank"), "stop", F.col("k.kind").alias("kind"), F.col("term").alias("value"))
