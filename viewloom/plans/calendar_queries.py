@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from viewloom.operators import calendar_bits
 from viewloom.operators import recurrence as rec
 from viewloom.plans import views
 
@@ -50,8 +51,12 @@ def recur_expand(spark, d):
 
 
 def recur_count(spark, d):
-    rules = _order_rules(spark, d)
-    return rec.count_occurrences(rules, rec.expand(rules, DAY_FREQS))
+    return calendar_bits.count_by_bits(_order_rules(spark, d))
+
+
+def recur_nth(spark, d):
+    """The fifth occurrence of each order's rule."""
+    return calendar_bits.nth_by_bits(_order_rules(spark, d), F.lit(5))
 
 
 def recur_hourly(spark, d):
@@ -169,6 +174,7 @@ def recur_set(spark, d):
 QUERIES = {
     "recur_expand": recur_expand,
     "recur_count": recur_count,
+    "recur_nth": recur_nth,
     "recur_hourly": recur_hourly,
     "recur_filters": recur_filters,
     "recur_setpos": recur_setpos,
@@ -202,6 +208,8 @@ occ AS (SELECT rule_id, set_id, occurrence FROM dates WHERE occurrence <= until)
 SQL = {
     "recur_expand": f"WITH {_rules_sql(True)} SELECT rule_id, occurrence FROM occ",
     "recur_count": f"WITH {_rules_sql(True)} SELECT rule_id, count(*) AS occurrences FROM occ GROUP BY rule_id",
+    "recur_nth": f"""WITH {_rules_sql(True)}
+SELECT rule_id, occurrence FROM occ QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY occurrence) = 5""",
     "recur_hourly": """WITH r AS (
   SELECT c_custkey AS rule_id, c_mktsegment AS seg,
          TIMESTAMP '2024-01-01' + to_minutes(c_custkey % 1440) AS dtstart FROM customer),
