@@ -131,8 +131,8 @@ def test_votes_equal_a_plain_rewrite(spark):
     """The blocked votes against one document and neighbour at a time."""
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    model = latent_votes.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"), references=80)
-    assert model.vectors.shape[0] == 80
+    model = latent_votes.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"), references=60)
+    assert model.vectors.shape[0] == 60
     got = by_id(latent_votes.score_quality(docs, model=model))
     for doc, text in texts(folder)[::7]:
         if not text:
