@@ -47,8 +47,8 @@ def _span(first: Column, last: Column) -> Column:
 
 
 def _day_bits(filters: set[str]) -> Column:
-    """The days of the row's ``month`` on which its rule fires."""
-    month, freq, step = F.col("month"), F.col("freq"), F.col("interval")
+    """The days of the row's ``month`` that pass the rule's filters, whatever its interval."""
+    month, freq = F.col("month"), F.col("freq")
     start, until = F.to_date("dtstart"), F.to_date("until")
     size = F.dayofmonth(F.last_day(month))
     first_weekday = F.weekday(month)
@@ -78,9 +78,8 @@ def _day_bits(filters: set[str]) -> Column:
         bits = bits.bitwiseAND(_any(F.col("byyearday"), lambda n: _bit(F.when(from_ends(n, year_size) >= 0, from_ends(n, year_size) - day_one).otherwise(-1))))
     if "byeaster" in filters:
         bits = bits.bitwiseAND(_any(F.col("byeaster"), lambda n: _easter_bit(n, month)))
-    # The weeks that touch the month, by the day each begins.
-    weeks = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda w: F.date_add(week_start(month, F.col("wkst")), w * 7))
     if "byweekno" in filters:
+        weeks = _weeks(month)
 
         def in_week(day: Column) -> Column:
             number, total = (c.cast("int") for c in week_number(day, F.col("wkst")))
@@ -88,7 +87,15 @@ def _day_bits(filters: set[str]) -> Column:
             place = F.date_diff(day, month)
             return F.when(wanted, _span(place, place + 6)).otherwise(F.lit(0).cast("bigint"))
 
-        bits = F.when(F.col("byweekno").isNull(), bits).otherwise(bits.bitwiseAND(_any(weeks, in_week)))
+        bits = bits.bitwiseAND(F.when(F.col("byweekno").isNull(), F.lit((1 << 31) - 1).cast("bigint")).otherwise(_any(weeks, in_week)))
+    return bits
+
+
+def _due_bits(bits: Column) -> Column:
+    """Those of the days that lie in a period the rule's interval does not pass over."""
+    month, freq, step, start = F.col("month"), F.col("freq"), F.col("interval"), F.to_date("dtstart")
+    size = F.dayofmonth(F.last_day(month))
+    weeks = _weeks(month)
 
     def due_week(day: Column) -> Column:
         due = F.pmod(F.floor(F.date_diff(day, week_start(start, F.col("wkst"))) / 7), step) == 0
@@ -107,6 +114,11 @@ def _day_bits(filters: set[str]) -> Column:
     )
 
 
+def _weeks(month: Column) -> Column:
+    """The weeks that touch the month, by the day each begins."""
+    return F.transform(F.sequence(F.lit(0), F.lit(5)), lambda w: F.date_add(week_start(month, F.col("wkst")), w * 7))
+
+
 def _easter_bit(n: Column, month: Column) -> Column:
     return _bit(F.date_diff(F.date_add(easter(F.year(month)), n), month))
 
@@ -120,7 +132,9 @@ def month_bits(rules: DataFrame) -> DataFrame:
     full = full.filter(F.col("freq").isin(*DAY_FREQS) & (F.col("until") >= F.col("dtstart")))
     from_, to = F.trunc("dtstart", "month"), F.trunc("until", "month")
     months = full.withColumn("month", F.explode(F.sequence(from_, to, F.expr("interval 1 month"))))
-    return months.withColumn("bits", _day_bits(set(rules.columns))).filter("bits <> 0").select("rule_id", "dtstart", "until", "times", "month", "bits")
+    # In two steps, so that the first is written into the second's expression once.
+    months = months.withColumn("days", _day_bits(set(rules.columns))).filter("days <> 0")
+    return months.withColumn("bits", _due_bits(F.col("days"))).filter("bits <> 0").select("rule_id", "dtstart", "until", "times", "month", "bits")
 
 
 def _second(time: Column) -> Column:
