@@ -3,6 +3,7 @@ import re
 import unicodedata
 from itertools import groupby
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -241,3 +242,24 @@ def test_order_agreement_of_a_large_alphabet(spark):
             assert got[name, 3 * i] == (i, sum(x < t for x in places), len(places), sum(x < t for x in places[:i]))
     rows_made = language._before(df, ["g"])._jdf.queryExecution().optimizedPlan().toString()
     assert "filter(" not in rows_made and took < 60
+
+
+def test_texts_are_shuffled_as_their_letters_once(spark):
+    """One exchange, of a row per text, however many languages; rows of one key count together."""
+    text = "the quick brown fox jumps over the lazy dog and sleeps near the old tree"
+    df = spark.createDataFrame([(1, text[:30]), (1, text[30:]), (2, text), (None, text), (3, None), (4, "short")], "i int, t string")
+    table = spark.createDataFrame([("en", list("etoahnrdsluqickbwfxjmpvzyg")), (None, list("gyzvpmjxfwbkciqulsdrnhaote"))], "language string, letters array<string>")
+    scores = language.language_scores(df, "t", table, ["i"])
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Generate" not in plan and "Window" not in plan
+    got = {(r.i, r.language): r.score for r in scores.collect()}
+    # The halves have too few letters by themselves.
+    assert got[2, "en"] == got[None, "en"] > 0.5 and got[1, "en"] > 0.5 and {i for i, _ in got} == {1, 2, None}
+
+
+def test_order_agreement_in_batches(spark):
+    rnd = random.Random(3)
+    groups = [rnd.sample(range(n), n) for n in (1, 2, 5, 33, 200)]
+    ids = np.repeat(np.arange(5), [len(g) for g in groups])
+    got = language._earlier(ids, np.concatenate([np.array(g) for g in groups])).tolist()
+    assert got == [sum(x < t for x in g[:i]) for g in groups for i, t in enumerate(g)]
