@@ -52,6 +52,23 @@ def test_nearest_equals_a_search(spark, keys, ranges, inclusive):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+@pytest.mark.parametrize("piece", [1, 17])
+def test_a_range_is_merged_in_pieces(spark, monkeypatch, piece):
+    """A worker holds no whole range: batches of a few rows are given out as they come."""
+    rnd = random.Random(piece)
+    when = lambda: START + timedelta(minutes=rnd.randrange(90))
+    times = [(i, f"k{rnd.randrange(3)}", when()) for i in range(300)]
+    events = [(f"k{rnd.randrange(3)}", when()) for _ in range(80)]
+    monkeypatch.setattr(asof, "PIECE", piece)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for inclusive in (False, True):
+            got = asof.nearest(spark.createDataFrame(times, "i int, key string, t timestamp_ntz"), spark.createDataFrame(events, "key string, e timestamp_ntz"), "key", "t", "e", inclusive)
+            assert rows(got) == plain(times, events, inclusive)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_empty_sides(spark):
     times = spark.createDataFrame([(1, START)], "k int, t timestamp_ntz")
     events = spark.createDataFrame([(1, START + timedelta(hours=1))], "k int, e timestamp_ntz")

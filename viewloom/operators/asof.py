@@ -1,9 +1,10 @@
 """The nearest events around asked times, by one merge.
 
 Times and events are dealt together by ranges of (key, time), so each row is shuffled once and a key that
-is asked often, or has many events, is split over many tasks. A task sees its rows in order and gives each
-time the events around it; where a key crosses the border of a range, the nearest event of the ranges
-before or after is filled in from a table of at most two rows per range.
+is asked often, or has many events, is split over many tasks. A task sees its rows in order, a piece of
+bounded length at a time, and gives each time the events around it; where a key crosses the border of a
+piece, the nearest event of the pieces before or after is filled in from a table of at most two rows per
+piece. So a worker's memory does not follow the size of a range.
 """
 
 from __future__ import annotations
@@ -12,20 +13,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from viewloom.session import scratch_path
 
 
-def _merge(inclusive: bool, payload: list[str]):
+#: Rows a worker looks at together; rows of one key and time stay together whatever their number.
+PIECE = 200_000
+
+
+def _merge(inclusive: bool, payload: list[str], size: int):
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """The rows in pieces that end where a key and time does."""
+        held, n, enough = [], 0, size
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n < enough:
+                continue
+            rows = pa.Table.from_batches(held).combine_chunks()
+            same = [pc.equal(rows.column(c), rows.column(c)[n - 1]) for c in ("key", "at")]
+            cut = n - pc.sum(pc.and_(*same)).as_py()
+            if cut:
+                yield rows.slice(0, cut)
+                rows = rows.slice(cut)
+            held, n = rows.combine_chunks().to_batches(), rows.num_rows
+            enough = max(size, 2 * n)  # many rows of one time are not put together over and over
+        if n:
+            yield pa.Table.from_batches(held)
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        rows, part = pa.Table.from_batches(held).combine_chunks(), TaskContext.get().partitionId()
+        for number, rows in enumerate(pieces(b for b in batches if b.num_rows)):
+            yield from around(rows.combine_chunks(), (TaskContext.get().partitionId() << 32) + number)
+
+    def around(rows: pa.Table, part: int) -> Iterator[pa.RecordBatch]:
         n, at = rows.num_rows, rows.column("at").combine_chunks()
         key = rows.column("key").combine_chunks().dictionary_encode().indices.to_numpy()
         time, event = at.cast(pa.int64()).to_numpy(), rows.column("event").combine_chunks().to_numpy(zero_copy_only=False)
@@ -57,8 +82,8 @@ def _merge(inclusive: bool, payload: list[str]):
         a, b = next_event[edge], last_event[high[edge] - 1]
         edges = [at.take(pa.array(np.where(ok, i, 0), mask=~ok)) for i, ok in ((a, a < high[edge]), (b, b >= edge))]
         empty = [pa.nulls(len(edge), rows.schema.field(c).type) for c in payload]
-        table = pa.table([*asked.columns, *found, pa.array(np.full(len(ask), part, np.int32)), pa.array(np.zeros(len(ask), bool))], names=names)
-        border = pa.table([*empty, rows.column("key").take(pa.array(edge)), *edges, pa.array(np.full(len(edge), part, np.int32)), pa.array(np.ones(len(edge), bool))], names=names)
+        table = pa.table([*asked.columns, *found, pa.array(np.full(len(ask), part, np.int64)), pa.array(np.zeros(len(ask), bool))], names=names)
+        border = pa.table([*empty, rows.column("key").take(pa.array(edge)), *edges, pa.array(np.full(len(edge), part, np.int64)), pa.array(np.ones(len(edge), bool))], names=names)
         yield from border.combine_chunks().to_batches()
         yield from table.combine_chunks().to_batches(max_chunksize=50_000)
 
@@ -80,10 +105,10 @@ def nearest(times: DataFrame, events: DataFrame, key: str, at: str, event: str,
     whole = F.col("key").isNotNull() & F.col("at").isNotNull()
     both = asked.unionByName(given).filter(whole)
     dealt = both.repartitionByRange("key", "at").sortWithinPartitions("key", "at")
-    schema = ", ".join([*[f"{p} {kinds[p]}" for p in payload], f"key {key_type}, before {at_type}, after {at_type}, part int, border boolean"])
+    schema = ", ".join([*[f"{p} {kinds[p]}" for p in payload], f"key {key_type}, before {at_type}, after {at_type}, part bigint, border boolean"])
     # Written, as the borders are needed before the rows can be given out.
     folder = scratch_path(spark, "nearest")
-    dealt.mapInArrow(_merge(inclusive, payload), schema).write.parquet(folder)
+    dealt.mapInArrow(_merge(inclusive, payload, PIECE), schema).write.parquet(folder)
     merged = spark.read.schema(schema).parquet(folder)
     edges = merged.filter("border").select("part", "key", F.col("before").alias("first"), F.col("after").alias("last"))
     by_key = Window.partitionBy("key").orderBy("part")
@@ -93,7 +118,7 @@ def nearest(times: DataFrame, events: DataFrame, key: str, at: str, event: str,
         F.max("last").over(by_key.rowsBetween(Window.unboundedPreceding, -1)).alias("from_left"),
         F.min("first").over(by_key.rowsBetween(1, Window.unboundedFollowing)).alias("from_right"),
     ).filter("from_left IS NOT NULL OR from_right IS NOT NULL")
-    # At most two rows per range.
+    # At most two rows per piece.
     filled = merged.filter("NOT border").join(F.broadcast(carried), (F.col("part") == F.col("of_part")) & (F.col("key") == F.col("of_key")), "left")
     out = [F.col(p).alias(c) for p, c in zip(payload, columns)]
     result = filled.select(*out, F.coalesce("before", "from_left").alias("before"), F.coalesce("after", "from_right").alias("after"))
