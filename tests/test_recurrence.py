@@ -146,3 +146,11 @@ def test_rule_set(spark):
     occ = got.withColumnRenamed("set_id", "rule_id")
     assert rec.between(occ, span).count() == 1
     assert rec.between(occ, span, inclusive=True).count() == 3
+
+
+def test_days_are_filtered_as_rows(spark):
+    """A period's days are not filtered by a lambda, which runs uncompiled, unless positions are picked."""
+    rules = spark.sql("SELECT 1 AS rule_id, 'MONTHLY' AS freq, TIMESTAMP_NTZ'2024-01-30' AS dtstart, TIMESTAMP_NTZ'2024-04-30' AS until, array(-1) AS bymonthday")
+    found = rec.expand(rules, ["MONTHLY"])
+    assert "filter(sequence" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(str(r.occurrence)[:10] for r in found.collect()) == ["2024-01-31", "2024-02-29", "2024-03-31", "2024-04-30"]

@@ -184,7 +184,8 @@ def _pick_positions(times: Column) -> Column:
 
 
 def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
-    """One row per period of the rule with the period's passing days."""
+    """One row per period of the rule with the period's ``candidates``, the days that may pass the filters;
+    without filters that is the one day which does."""
     start, until = F.to_date("dtstart"), F.to_date("until")
     step, freq = F.col("interval"), F.col("freq")
     months = lambda d: F.year(d) * 12 + F.month(d)
@@ -218,7 +219,6 @@ def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
         F.col("until") >= F.col("dtstart"), F.sequence(F.lit(0).cast("bigint"), last_index)
     )
     periods = _unfold(rules, "period", indexes, rules.columns)
-    days = F.filter(F.sequence(from_day, end, F.expr("interval 1 day")), lambda d: day_passes(d, filters))
     # Without filters a period has one candidate, the start's place in it.
     month = F.when(freq == "YEARLY", F.make_date(F.year(start) + i, F.month(start), F.lit(1))).otherwise(begin)
     in_month = F.when(
@@ -229,7 +229,8 @@ def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
         .when(freq == "WEEKLY", F.date_add(start, i * 7))
         .otherwise(begin)
     )
-    return periods.withColumn("days", F.when(F.col("simple"), F.array(one)).otherwise(days))
+    days = F.sequence(from_day, end, F.expr("interval 1 day"))
+    return periods.withColumn("candidates", F.when(F.col("simple"), F.array(one)).otherwise(days))
 
 
 def _day_level(rules: DataFrame, filters: set[str]) -> DataFrame:
@@ -237,12 +238,15 @@ def _day_level(rules: DataFrame, filters: set[str]) -> DataFrame:
     periods = _day_periods(rules.withColumn("times", _day_times()), filters)
     keep = ["rule_id", "dtstart", "until"]
     plain = periods.filter(F.col("bysetpos").isNull()) if has_setpos else periods
-    days = _unfold(plain, "day", F.col("days"), [*keep, "times"])
+    # The days of most rules become rows before they are filtered, which runs compiled.
+    named = [c for c in plain.columns if c not in ("candidates", "period")]
+    days = _unfold(plain, "day", F.col("candidates"), named).filter(F.col("simple") | day_passes(F.col("day"), filters))
     result = _unfold(days, "second", F.col("times"), [*keep, "day"]).select(
         *keep, _at(F.col("day"), F.col("second")).alias("occurrence")
     )
     if has_setpos:
-        whole = F.flatten(F.transform("days", lambda d: F.transform("times", lambda t: _at(d, t))))
+        passing = F.filter("candidates", lambda d: F.col("simple") | day_passes(d, filters))
+        whole = F.flatten(F.transform(passing, lambda d: F.transform("times", lambda t: _at(d, t))))
         chosen = periods.filter(F.col("bysetpos").isNotNull()).withColumn("whole", whole)
         result = result.unionByName(
             _unfold(chosen, "occurrence", _pick_positions(F.col("whole")), keep)
