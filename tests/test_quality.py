@@ -196,3 +196,14 @@ def test_documents_are_free_form(spark):
     assert got == [(3, "missing required field")]
     typed = spark.range(1).select(F.to_variant_object(F.struct(F.current_date().alias("d"))).alias("r"))
     assert [r.reason for r in quality.violation_rows(typed, "r", shape, []).collect()] == ["invalid type for document"]
+
+
+def test_the_type_of_a_holder_is_read_only_where_it_is_wrong(spark):
+    """Naming a type reads the whole value."""
+    df = spark.sql("""SELECT parse_json(j) AS v FROM VALUES ('{"a":[1]}'), ('[1]'), ('{"a":"x"}') AS t(j)""")
+    shape = Structure({"a": ListOf(Scalar("integer"))})
+    found = df.select(quality.violations(F.col("v"), shape).alias("f"))
+    assert [[(x.path, x.reason, x.detail) for x in r.f] for r in found.collect()] == [[], [("", "invalid type", "array")], [(".a", "invalid type", "string")]]
+    plan = found._jdf.queryExecution().analyzed().toString()
+    # The one type that is named of every value is that of the list's members.
+    assert plan.count("array(get(transform(array(schema_of_variant(") == 1

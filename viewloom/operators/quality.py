@@ -107,6 +107,8 @@ def violations(value: Column, shape, path: Column | None = None) -> Column:
     if isinstance(shape, Document):
         types = F.regexp_replace(F.schema_of_variant(value), "`(?:[^`]|``)*+`|[A-Za-z_][A-Za-z0-9_]*: ", "")
         return found_if(F.rlike(types, F.lit(NO_JSON)), path, "invalid type for document", types)
+    if not isinstance(shape, Scalar):  # only named where the value is wrong, so not read from every record
+        return _violations(value, scalar_kind(value), shape, path)
     return let(scalar_kind(value), lambda kind: _violations(value, kind, shape, path))
 
 
