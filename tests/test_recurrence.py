@@ -154,3 +154,19 @@ def test_days_are_filtered_as_rows(spark):
     found = rec.expand(rules, ["MONTHLY"])
     assert "filter(sequence" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(str(r.occurrence)[:10] for r in found.collect()) == ["2024-01-31", "2024-02-29", "2024-03-31", "2024-04-30"]
+
+
+def test_a_short_counted_rule_is_cut_in_its_own_row(spark):
+    """No row is shuffled or sorted for it; rules that repeat or are long are brought together by id."""
+    fields = dict(until="2024-05-30", count=3, byweekday=[0, 1, 2, 3, 4], bysetpos=[1, -2])
+    short = [rule(i, "MONTHLY", f"2024-01-{i + 1:02d}", fields) for i in range(20)]
+    plan = rec.expand(spark.createDataFrame(short, SCHEMA).filter("until is not null"), ["MONTHLY"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan.split("Checkpoint")[0] and "Sort" not in plan.split("Checkpoint")[0]
+    ends = dict(until="2200-01-01", count=2)
+    odd = [rule(50, "DAILY", "2024-01-01", ends), rule(51, "MONTHLY", "2024-01-31 10:00:00", {**ends, "byhour": [10, 8]}), rule(None, "DAILY", "2024-01-01", ends),
+           rule(52, "YEARLY", "2024-02-29", {**ends, "count": 0}), rule(53, "HOURLY", "2024-01-01 22:00:00", {**ends, "until": "2024-01-02"}),
+           rule(54, "DAILY", "2024-01-05", {**ends, "until": "2024-01-01"}), short[0], short[0]]
+    df = spark.createDataFrame([*short, *odd], SCHEMA)
+    got = rows(rec.expand(df, ["HOURLY", *rec.DAY_FREQS]), "rule_id", "occurrence")
+    want = rows(rec._first(rec._bounded(df.drop("count"), ["HOURLY", *rec.DAY_FREQS]), df.select("rule_id", "count")), "rule_id", "occurrence")
+    assert got == want and [r for r in got if r[0] == 51] == [(51, dt(2024, 1, 31, 10)), (51, dt(2024, 3, 31, 8))]

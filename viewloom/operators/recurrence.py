@@ -9,7 +9,7 @@ one of ``until`` (inclusive) and ``count``. Optional columns: ``interval``,
 A rule row unfolds into its periods, a period into the days that pass the
 filters, a day into its times. All of that is row-local; only sub-daily rules
 are spread over the cluster between periods and times, since one of them can
-hold most occurrences.
+hold most occurrences. A short rule is cut to its ``count`` in its own row too.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from viewloom.functions.binding import let
 from viewloom.operators.asof import nearest
 from viewloom.operators.ordered import row_position
 from viewloom.session import cut_lineage
@@ -183,21 +184,30 @@ def _pick_positions(times: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(picked, lambda t: t.isNotNull())))
 
 
-def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
-    """One row per period of the rule with the period's ``candidates``, the days that may pass the filters;
-    without filters that is the one day which does."""
+def _last_period() -> Column:
+    """The number of the rule's last period, from 0."""
     start, until = F.to_date("dtstart"), F.to_date("until")
     step, freq = F.col("interval"), F.col("freq")
     months = lambda d: F.year(d) * 12 + F.month(d)
-    first_week = week_start(start, F.col("wkst"))
-    last_index = (
+    return (
         F.when(freq == "YEARLY", F.floor((F.year(until) - F.year(start)) / step))
         .when(freq == "MONTHLY", F.floor((months(until) - months(start)) / step))
-        .when(freq == "WEEKLY", F.floor(F.date_diff(until, first_week) / (step * 7)))
+        .when(freq == "WEEKLY", F.floor(F.date_diff(until, week_start(start, F.col("wkst"))) / (step * 7)))
         .when(freq == "DAILY", F.floor(F.date_diff(until, start) / step))
     )
+
+
+def _periods() -> Column:
+    """The numbers of the rule's periods; null if it ends before it starts."""
+    return F.when(F.col("until") >= F.col("dtstart"), F.sequence(F.lit(0).cast("bigint"), _last_period()))
+
+
+def _candidates(period: Column) -> Column:
+    """The days of a period that may pass the filters; without filters that is the one day which does."""
+    start, freq = F.to_date("dtstart"), F.col("freq")
+    first_week = week_start(start, F.col("wkst"))
     month_one = F.trunc(start, "month")
-    i = (F.col("period") * step).cast("int")
+    i = (period * F.col("interval")).cast("int")
     # A yearly rule of one month looks at that month's days only.
     one_month = F.when(F.size("bymonth") == 1, F.get("bymonth", F.lit(0)))
     first_month, last_month = F.coalesce(one_month, F.lit(1)), F.coalesce(one_month, F.lit(12))
@@ -215,10 +225,6 @@ def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
     )
     # The first week of a weekly rule begins at the start day, not before it.
     from_day = F.when(freq == "WEEKLY", F.greatest(begin, start)).otherwise(begin)
-    indexes = F.when(
-        F.col("until") >= F.col("dtstart"), F.sequence(F.lit(0).cast("bigint"), last_index)
-    )
-    periods = _unfold(rules, "period", indexes, rules.columns)
     # Without filters a period has one candidate, the start's place in it.
     month = F.when(freq == "YEARLY", F.make_date(F.year(start) + i, F.month(start), F.lit(1))).otherwise(begin)
     in_month = F.when(
@@ -230,12 +236,24 @@ def _day_periods(rules: DataFrame, filters: set[str]) -> DataFrame:
         .otherwise(begin)
     )
     days = F.sequence(from_day, end, F.expr("interval 1 day"))
-    return periods.withColumn("candidates", F.when(F.col("simple"), F.array(one)).otherwise(days))
+    return F.when(F.col("simple"), F.array(one)).otherwise(days)
+
+
+def _day_periods(rules: DataFrame) -> DataFrame:
+    """One row per period of the rule with the period's ``candidates``."""
+    periods = _unfold(rules, "period", _periods(), rules.columns)
+    return periods.withColumn("candidates", _candidates(F.col("period")))
+
+
+def _period_times(candidates: Column, filters: set[str]) -> Column:
+    """All occurrences of a period, before ``bysetpos`` picks from them."""
+    passing = F.filter(candidates, lambda d: F.col("simple") | day_passes(d, filters))
+    return F.flatten(F.transform(passing, lambda d: F.transform("times", lambda t: _at(d, t))))
 
 
 def _day_level(rules: DataFrame, filters: set[str]) -> DataFrame:
     has_setpos = "bysetpos" in filters
-    periods = _day_periods(rules.withColumn("times", _day_times()), filters)
+    periods = _day_periods(rules.withColumn("times", _day_times()))
     keep = ["rule_id", "dtstart", "until"]
     plain = periods.filter(F.col("bysetpos").isNull()) if has_setpos else periods
     # The days of most rules become rows before they are filtered, which runs compiled.
@@ -245,8 +263,7 @@ def _day_level(rules: DataFrame, filters: set[str]) -> DataFrame:
         *keep, _at(F.col("day"), F.col("second")).alias("occurrence")
     )
     if has_setpos:
-        passing = F.filter("candidates", lambda d: F.col("simple") | day_passes(d, filters))
-        whole = F.flatten(F.transform(passing, lambda d: F.transform("times", lambda t: _at(d, t))))
+        whole = _period_times(F.col("candidates"), filters)
         chosen = periods.filter(F.col("bysetpos").isNotNull()).withColumn("whole", whole)
         result = result.unionByName(
             _unfold(chosen, "occurrence", _pick_positions(F.col("whole")), keep)
@@ -331,6 +348,58 @@ def _first(occurrences: DataFrame, counts: DataFrame) -> DataFrame:
     return numbered.filter(F.col("_nr") <= F.col("count")).select("rule_id", "occurrence")
 
 
+#: Days times firings a day that a counted rule may look at to be cut to its count in its own row.
+IN_ROW = 20_000
+
+
+def _fits_row() -> Column:
+    """Is a completed rule so short that its own row can hold its occurrences? Sub-daily rules are not."""
+    freq, days = F.col("freq"), F.lit(1)
+    for name, n in {"YEARLY": 366, "MONTHLY": 31, "WEEKLY": 7}.items():
+        days = F.when(freq == name, n).otherwise(days)
+    firings = F.lit(1).cast("bigint")
+    for name in ("byhour", "byminute", "bysecond"):
+        firings = firings * F.greatest(F.coalesce(F.size(name), F.lit(1)), F.lit(1))
+    size = (_last_period() + 1) * days * firings
+    # Without a start or an end, or with the end before the start, there is no occurrence.
+    return freq.isin(*DAY_FREQS) & (F.coalesce(F.col("until") < F.col("dtstart"), F.lit(True)) | F.coalesce(size <= IN_ROW, F.lit(False)))
+
+
+def _first_in_row(full: DataFrame, filters: set[str]) -> DataFrame:
+    """The first ``count`` occurrences of completed rules that fit a row, each told from its row alone."""
+
+    def of_period(period: Column) -> Column:
+        found = _period_times(F.filter(_candidates(period), lambda d: d.isNotNull()), filters)
+        if "bysetpos" not in filters:
+            return found
+        return F.when(F.col("bysetpos").isNull(), found).otherwise(let(found, _pick_positions))
+
+    # Periods, days and times ascend, so the first ones are the earliest.
+    whole = F.flatten(F.transform(_periods(), of_period))
+    inside = F.filter(whole, lambda t: t.between(F.col("dtstart"), F.col("until")))
+    timed = full.withColumn("times", _day_times())
+    return _unfold(timed, "occurrence", F.slice(inside, F.lit(1), F.greatest("count", F.lit(0))), ["rule_id"])
+
+
+def _first_of_each(rules: DataFrame, freqs: list[str]) -> DataFrame:
+    """The first ``count`` occurrences of rules that have ``until`` and ``count``. A rule that is short and
+    has its id for itself needs no other row; only the others are brought together by id."""
+    by_day = [f for f in DAY_FREQS if f in freqs]
+    full = _complete(rules)
+    fits = F.coalesce(F.col("freq").isin(*by_day) & _fits_row(), F.lit(False))
+    seen = full.select("rule_id", fits.alias("_fits")).filter(F.col("rule_id").isNotNull())
+    ids = seen.groupBy("rule_id").agg(F.count(F.lit(1)).alias("_n"), F.bool_and("_fits").alias("_fits"))
+    # Mostly none; known before the plan is made, so that the rules are not shuffled for them.
+    others = cut_lineage(ids.filter((F.col("_n") > 1) | ~F.col("_fits")).select("rule_id"))
+    alone = full.filter(F.col("rule_id").isNotNull())
+    filters = set(rules.columns)
+    if others.isEmpty():
+        return _first_in_row(alone, filters)
+    together = rules.join(others, "rule_id", "left_semi")
+    found = _first(_bounded(together.drop("count"), freqs), together.select("rule_id", "count"))
+    return found.unionByName(_first_in_row(alone.join(others, "rule_id", "left_anti"), filters))
+
+
 def _guess_until(rules: DataFrame, factor: int) -> Column:
     """A day by which ``count`` occurrences should have come."""
     unit = F.lit(86400)
@@ -383,7 +452,7 @@ def expand(rules: DataFrame, freqs: list[str] | None = None) -> DataFrame:
     ended = whole.filter(F.col("until").isNotNull())
     uncounted = _bounded(ended.filter(F.col("count").isNull()).drop("count"), freqs)
     counted = ended.filter(F.col("count").isNotNull())
-    both = _first(_bounded(counted.drop("count"), freqs), counted.select("rule_id", "count"))
+    both = _first_of_each(counted, freqs)
     open_ended = _open_ended(whole.filter(F.col("until").isNull()).drop("until"), freqs)
     return uncounted.unionByName(both).unionByName(open_ended)
 
