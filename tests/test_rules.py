@@ -129,3 +129,14 @@ def test_odd_inputs(spark):
     assert rules.violation_rows(df.limit(0), "record", some, ["id"]).collect() == []
     least = spark.createDataFrame([("k", "integer")], "path string, type string")
     assert rules.violation_rows(df, "record", least, ["id"]).count() == 0
+
+
+def test_values_do_not_carry_the_trie(spark):
+    """Rows that a level makes have the number of the node above, not its edges and names."""
+    records = spark.range(2).select("id", F.parse_json(F.lit('{"a":[{"b":1},{"c":2}]}')).alias("record"))
+    found = rules.violation_rows(records, "record", table(spark, [(None, "a[].b", "string", True, None)]), ["id"])
+    assert rows(found, "id", "path", "reason") == [
+        (i, p, r) for i in range(2) for p, r in ((".a[0].b", "invalid type"), (".a[1]", "missing required field"), (".a[1]", "unknown field"))
+    ]
+    made = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Generate posexplode" in line]
+    assert made and not [line for line in made if "edges" in line or "members" in line or "needed" in line]

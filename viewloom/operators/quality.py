@@ -59,22 +59,23 @@ _TAKES = {
 }
 
 
-def scalar_kind(value: Column) -> Column:
-    """The JSON type of a variant; the schema is read from the value once."""
+def kind_of_schema(schema: Column) -> Column:
+    """The JSON type that a variant's schema stands for."""
+    return (
+        F.when(schema.isNull() | (schema == "VOID"), "null")
+        .when(schema == "STRING", "string")
+        .when(schema == "BIGINT", "integer")
+        .when(F.rlike(schema, F.lit("^(DECIMAL|DOUBLE|FLOAT)")), "fraction")
+        .when(schema == "BOOLEAN", "boolean")
+        .when(F.startswith(schema, F.lit("ARRAY")), "array")
+        .when(F.startswith(schema, F.lit("OBJECT")), "object")
+        .otherwise(F.lower(schema))
+    )
 
-    def named(schema: Column) -> Column:
-        return (
-            F.when(schema.isNull() | (schema == "VOID"), "null")
-            .when(schema == "STRING", "string")
-            .when(schema == "BIGINT", "integer")
-            .when(F.rlike(schema, F.lit("^(DECIMAL|DOUBLE|FLOAT)")), "fraction")
-            .when(schema == "BOOLEAN", "boolean")
-            .when(F.startswith(schema, F.lit("ARRAY")), "array")
-            .when(F.startswith(schema, F.lit("OBJECT")), "object")
-            .otherwise(F.lower(schema))
-        )
 
-    return let(F.schema_of_variant(value), named)
+def scalar_kind(value: Column) -> Column:
+    """The JSON type of a variant; the schema is read from the value once."""
+    return let(F.schema_of_variant(value), kind_of_schema)
 
 
 # Types a variant may hold that JSON text cannot.

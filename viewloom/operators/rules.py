@@ -6,8 +6,9 @@ list, ``a{}`` for the values of a map of any keys and ``a{key}`` for its keys; a
 letters, digits, ``_`` and ``-`` stands in backticks. Rules of several feeds may share a table.
 
 The rules become a trie, one row per path with numbered edges to the next steps. Records walk down it
-level by level: each level is one join of the values reached so far with the trie, and one expression
-that is the same for all rules, so neither plan nor code grow with their number. The trie is small
+level by level: each level is one join of the values below those reached so far with the trie, by node
+and step, and one expression that is the same for all rules, so neither plan nor code grow with their
+number; the values carry no more of the trie than the number of the node above. The trie is small
 against the records and joined by whatever way Spark finds fit; records are never shuffled for a small
 one. As many levels run as the longest path has steps, which one pass over the rules tells.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewloom.operators.quality import NO_JSON, VIOLATION, ListOf, MapOf, Scalar, Structure, found_if, scalar_kind
+from viewloom.operators.quality import NO_JSON, VIOLATION, ListOf, MapOf, Scalar, Structure, found_if, kind_of_schema
 from viewloom.session import scratch_path
 
 RULES = "feed string, path string, type string, required boolean, min double"
@@ -99,8 +100,8 @@ def _nodes(rules: DataFrame) -> DataFrame:
 
 
 def trie(rules: DataFrame) -> DataFrame:
-    """One row per node: feed, node (its steps), id, type, least, edges (next step to id) and needed
-    (names of required members). Several rules of one path combine: the largest least value, required if
+    """One row per node: feed, node (its steps), id, the id of its parent and the step from there (null
+    for a root), type, least, edges (next step to id) and needed (names of required members). Several rules of one path combine: the largest least value, required if
     one says so, the type that sorts first. Rules whose path cannot be read are left out; see
     :func:`rule_problems`."""
     nodes = _nodes(rules)
@@ -113,12 +114,15 @@ def trie(rules: DataFrame) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("step", "to"))).alias("edges"),
         F.array_sort(F.collect_set(F.when(F.col("required") & F.startswith("step", F.lit(".")), name))).alias("needed"),
     )
-    joined = nodes.join(edges, ["feed", "node"], "left")
+    above = below.join(nodes.select("feed", "node", F.col("id").alias("parent")), ["feed", "node"]).select(F.col("to").alias("id"), "parent", "step")
+    joined = nodes.join(edges, ["feed", "node"], "left").join(above, "id", "left")
     steps = F.coalesce(F.map_keys("edges"), F.array().cast("array<string>"))
     return joined.select(
         "feed",
         "node",
         "id",
+        "parent",
+        "step",
         F.coalesce(F.get("types", F.lit(0)), _holder(steps), F.lit("document")).alias("type"),
         "least",
         F.coalesce("edges", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))).alias("edges"),
@@ -198,37 +202,46 @@ def _found() -> Column:
 
 def _entries() -> Column:
     """The values one step down, as (key, value) in their order; the keys of a map follow as values."""
-    type_, edges = F.col("type"), F.col("edges")
+    type_ = F.col("type")
     none = F.array().cast("array<struct<key:string,value:variant>>")
     listed = F.arrays_zip(F.array_repeat(F.lit(None).cast("string"), F.size("items")).alias("key"), F.col("items").alias("value"))
     keys = F.transform("names", lambda k: F.struct(k.alias("key"), k.cast("variant").alias("value")))
     inside = F.map_entries("fields")
     return (
         F.when((type_ == "list") & F.col("items").isNotNull(), listed.cast("array<struct<key:string,value:variant>>"))
-        .when(F.col("fields").isNotNull(), F.when(F.map_contains_key(edges, F.lit("{key}")), F.concat(inside, keys)).otherwise(inside))
+        .when(F.col("fields").isNotNull(), F.when(F.col("keyed"), F.concat(inside, keys)).otherwise(inside))
         .otherwise(none)
     )
 
 
-def _level(rows: DataFrame, steps: DataFrame, names: list[str]) -> DataFrame:
-    """One step down: a row that has violations stays as it is, and every value below with an edge gets a
-    row. Rows that are done have no id and pass through."""
-    joined = rows.join(steps, "id", "left")
+#: What a value carries of its node while it is judged.
+NODE = ("id", "type", "least", "needed", "members", "keyed")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """The values with their fields or items and with what is wrong with them. Rows that are done have no id
+    and pass through."""
     value, type_ = F.col("value"), F.col("type")
-    read = joined.withColumns(
+    read = rows.withColumns(
         {
             "fields": F.when(type_.isin("structure", "union", "map"), F.try_variant_get(value, "$", "map<string,variant>")),
             "items": F.when(type_ == "list", F.try_variant_get(value, "$", "array<variant>")),
         }
     )
-    read = read.withColumn("names", F.map_keys("fields"))
     plain = F.col("fields").isNull() & F.col("items").isNull() & type_.isNotNull()
-    read = read.withColumn("kind", F.when(plain, scalar_kind(value)))
-    found = F.when(F.col("id").isNull(), F.col("found")).otherwise(_found())
-    read = read.withColumn("found", found).withColumn("stays", F.coalesce((F.size("found") > 0).cast("int"), F.lit(0)))
+    read = read.withColumns({"names": F.map_keys("fields"), "plain": plain})
+    read = read.withColumn("schema", F.when(F.col("plain"), F.schema_of_variant(value)))
+    read = read.withColumn("kind", F.when(F.col("plain"), kind_of_schema(F.col("schema"))))
+    return read.withColumn("found", F.when(F.col("id").isNull(), F.col("found")).otherwise(_found()))
+
+
+def _down(judged: DataFrame, steps: DataFrame, names: list[str]) -> DataFrame:
+    """One step down: a row that has violations stays as it is, and every value below that has a node gets a
+    row."""
+    read = judged.withColumn("stays", F.coalesce((F.size("found") > 0).cast("int"), F.lit(0)))
     none = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")))
     inside = F.when(F.col("id").isNull(), none).when(F.col("stays") == 1, F.concat(none, _entries())).otherwise(_entries())
-    kept = [*names, "path", "type", "edges", "found", "stays", F.size("fields").alias("n")]
+    kept = [*names, "path", "id", "type", "found", "stays", F.size("fields").alias("n")]
     # The outer form keeps the optimizer from reading the values twice for a size check.
     below = read.select(*kept, F.posexplode_outer(inside).alias("at", "entry")).filter(F.col("at").isNotNull())
     own, at, key = F.col("at") < F.col("stays"), F.col("at") - F.col("stays"), F.col("entry.key")
@@ -243,14 +256,16 @@ def _level(rows: DataFrame, steps: DataFrame, names: list[str]) -> DataFrame:
         .when((F.col("type") == "map") & of_key, F.concat(F.lit(" (key: "), key, F.lit(")")))
         .otherwise(F.concat(F.lit("."), key))
     )
-    below = below.withColumn("id", F.when(~own, F.try_element_at("edges", step)))
-    return below.filter(own | F.col("id").isNotNull()).select(
+    placed = below.select(
         *names,
         F.when(~own, F.concat("path", place)).alias("path"),
         F.when(~own, F.col("entry.value")).alias("value"),
-        "id",
+        F.when(~own, F.col("id")).alias("parent"),
+        F.when(~own, step).alias("step"),
         F.when(own, F.col("found")).alias("found"),
     )
+    met = placed.join(steps, ["parent", "step"], "left")
+    return met.filter(F.col("found").isNotNull() | F.col("id").isNotNull()).drop("parent", "step")
 
 
 def violation_rows(records: DataFrame, record: str, rules: DataFrame, keep: list[str], feed: str | None = None) -> DataFrame:
@@ -261,7 +276,7 @@ def violation_rows(records: DataFrame, record: str, rules: DataFrame, keep: list
     without rules has no violations. A value of the wrong type is not looked into. Null records have
     none. The columns kept may have any names but those of the result.
     """
-    # Each level starts from the trie, so it is written once.
+    # Each level meets the trie, so it is written once.
     folder = scratch_path(records.sparkSession, "rule-trie")
     trie(rules).write.parquet(folder)
     nodes = records.sparkSession.read.parquet(folder)
@@ -269,14 +284,16 @@ def violation_rows(records: DataFrame, record: str, rules: DataFrame, keep: list
     depth = nodes.agg(F.max(F.size("node"))).first()[0]
     kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     names = [f"k{i}" for i in range(len(keep))]
-    roots = nodes.filter(F.size("node") == 0).select(F.col("feed").alias("of_feed"), F.col("id"))
+    members = F.transform(F.filter(F.map_keys("edges"), lambda k: F.startswith(k, F.lit("."))), lambda k: F.substring(k, F.lit(2), F.length(k)))
+    known = nodes.withColumns({"members": members, "keyed": F.map_contains_key("edges", F.lit("{key}"))})
+    roots = known.filter(F.size("node") == 0).select(F.col("feed").alias("of_feed"), *NODE)
+    steps = known.filter(F.size("node") > 0).select("parent", "step", *NODE)
     whose = F.lit("") if feed is None else F.coalesce(F.col(f"`{feed}`").cast("string"), F.lit(""))
     rows = records.select(*kept, F.lit("").alias("path"), F.col(f"`{record}`").alias("value"), whose.alias("of_feed"))
     rows = rows.filter(F.col("value").isNotNull()).join(roots, "of_feed").drop("of_feed").withColumn("found", F.lit(None).cast(VIOLATION))
-    members = F.transform(F.filter(F.map_keys("edges"), lambda k: F.startswith(k, F.lit("."))), lambda k: F.substring(k, F.lit(2), F.length(k)))
-    steps = nodes.select("id", "type", "least", "edges", "needed", members.alias("members"))
-    for _ in range((depth or 0) + 1):
-        rows = _level(rows, steps, names)
+    rows = _judged(rows)
+    for _ in range(depth or 0):
+        rows = _judged(_down(rows, steps, names))
     found = rows.select(*names, F.explode_outer("found").alias("v")).filter(F.col("v").isNotNull())
     return found.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "v.path", "v.reason", "v.detail")
 
