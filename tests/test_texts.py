@@ -263,3 +263,13 @@ def test_order_agreement_in_batches(spark):
     ids = np.repeat(np.arange(5), [len(g) for g in groups])
     got = language._earlier(ids, np.concatenate([np.array(g) for g in groups])).tolist()
     assert got == [sum(x < t for x in g[:i]) for g in groups for i, t in enumerate(g)]
+
+
+def test_a_suspect_word_is_judged_once(spark):
+    """Lambdas share no parts, so each part of the judgement stands once in the expression."""
+    df = spark.createDataFrame([("éàéà plain word",), ("straße garçon",), ("a$b x",), ("wordÀ Ünder",)], "t string")
+    plan = texts._odd_words(df, "t", "o")
+    upper = plan._jdf.queryExecution().analyzed().toString().count(r"\p{Lu}")
+    assert upper == 3
+    # Short texts count only with a foreign word in them, here one that ends in an accented capital.
+    assert [r.o for r in plan.select("o").collect()] == [0.0, 0.0, 0.0, 0.5]
