@@ -273,3 +273,11 @@ def test_a_suspect_word_is_judged_once(spark):
     assert upper == 3
     # Short texts count only with a foreign word in them, here one that ends in an accented capital.
     assert [r.o for r in plan.select("o").collect()] == [0.0, 0.0, 0.0, 0.5]
+
+
+def test_letters_are_counted_before_they_are_rows(spark):
+    """Labelled text becomes a few rows per batch, not one per letter."""
+    data = [("en", "Aab b1"), ("en", "b"), (None, "é"), ("de", "12"), ("fr", None)]
+    learned = language.learn_letters(spark.createDataFrame(data, "l string, t string"), "t", "l")
+    assert "Generate" not in learned._jdf.queryExecution().executedPlan().toString()
+    assert {r.language: r.letters for r in learned.collect()} == {"en": ["b", "a"], None: ["é"]}
