@@ -281,3 +281,42 @@ def test_letters_are_counted_before_they_are_rows(spark):
     learned = language.learn_letters(spark.createDataFrame(data, "l string, t string"), "t", "l")
     assert "Generate" not in learned._jdf.queryExecution().executedPlan().toString()
     assert {r.language: r.letters for r in learned.collect()} == {"en": ["b", "a"], None: ["é"]}
+
+
+def test_noise_has_every_step_of_the_method(spark):
+    """Rare ideographs without a list given, blocks pair by pair, kinds of character by their names."""
+    clean = "one two three four five six seven eight nine ten eleven "
+    cases = [
+        ("rare_ideographs", "龘靐齉爨麤鱻灪龖厵", 0.1),
+        ("rare_ideographs", "日本国年大十二三中", 0.0),
+        ("rare_ideographs", "⼀⼁⼂⼃⼄⼅⼆⼇⼈", 0.0),  # radicals of the Kangxi block are no ideographs
+        ("mixed_blocks", "abc🌀def ghij klm", 4 / 16),  # a pictograph is not at home in a word
+        ("mixed_blocks", "abc😀def ghij klm", 0.0),  # an emoticon is
+        ("mixed_blocks", "ქართულიবাংলা ab", 2 / 15),  # two scripts without a family
+        ("mixed_blocks", "日本é 日本a 日本語 日本語", 2 / 15),  # only basic Latin stands by ideographs
+        ("mixed_blocks", "ａｂあ ａｂ日 ａｂ ａｂａｂａ", 2 / 16),  # full-width forms do by ideographs, not by kana
+        ("isolated_forms", "٠١٢٣٤٥٦٧ﺀﺁ", 0.2),  # Arabic digits are Arabic
+        ("accents", "abcdefgh⨣⨣⨣⨣⨣⨣⨣⨣", 0.0),  # operators with an accent are no letters
+        ("odd_words", clean + "ab﻿cd", 5 / (len(clean.replace(" ", "")) + 5)),  # of the forms, so a symbol
+        ("case_flips", "aBcDe—", 0.0),  # the dash is not of the word
+        ("marks", "🪐🪐a🪐a🪐", 0.0),
+        ("odd_words", "é" * 40000 + " " + "É$" * 40000, 1.0),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (_, t, _) in enumerate(cases)], "i int, t string")
+    got = {r.i: r for r in texts.noise_parts(df, "t").collect()}
+    assert [(p, t[:30], got[i][p]) for i, (p, t, _) in enumerate(cases)] == [(p, t[:30], pytest.approx(w)) for p, t, w in cases]
+
+
+def test_blocks_that_may_touch(spark):
+    """The one pattern against every pair of characters, one per block."""
+    touch = {("Basic Latin", "Latin Extended-B"), ("Basic Latin", "Hangul Syllables"), ("Hiragana", "Katakana"),
+             ("Cyrillic", "Cyrillic Supplement"), ("Greek and Coptic", "Halfwidth and Fullwidth Forms")}
+    apart = {("Basic Latin", "Cyrillic"), ("Latin-1 Supplement", "CJK Unified Ideographs"), ("Hiragana", "Basic Latin"), ("Thai", "Lao")}
+    assert all(texts.may_touch(a, b) and texts.may_touch(b, a) for a, b in touch)
+    assert not any(texts.may_touch(a, b) or texts.may_touch(b, a) for a, b in apart)
+    quiet = {*texts._points()["quiet"]}
+    shown = [next((chr(p) for p in range(a, b) if chr(p).isprintable() and p not in quiet), None) for a, b, _ in texts.BLOCKS]
+    named = [(c, name) for c, (_, _, name) in zip(shown, texts.BLOCKS) if c]
+    pairs = [(a + b, texts.may_touch(x, y)) for a, x in named for b, y in named]
+    df = spark.createDataFrame(pairs, "t string, ok boolean")
+    assert df.filter(F.col("t").rlike(texts.touching_pattern()) == F.col("ok")).count() == 0
