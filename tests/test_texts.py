@@ -4,6 +4,7 @@ import unicodedata
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -320,3 +321,31 @@ def test_blocks_that_may_touch(spark):
     pairs = [(a + b, texts.may_touch(x, y)) for a, x in named for b, y in named]
     df = spark.createDataFrame(pairs, "t string, ok boolean")
     assert df.filter(F.col("t").rlike(texts.touching_pattern()) == F.col("ok")).count() == 0
+
+
+def test_files_are_decoded_once(spark):
+    """Readings are scored and their letters counted where they are decoded; the rest needs narrow rows only."""
+    french = "Le garçon était très étonné par l'été où il déjeunait à l'école près de la forêt. " * 3
+    data = [(1, french.encode("cp1252")), (1, french.encode("cp1252")), (2, french.encode()), (None, french.encode()), (3, b""), (4, None), (5, "été".encode("utf-16"))]
+    files = spark.createDataFrame([(i, c if c is None else bytearray(c)) for i, c in data], "i int, content binary")
+    table = language.learn_letters(spark.createDataFrame([("fr", french)], "lang string, text string"), "text", "lang")
+    audit = encoding.encoding_audit(files, ["i"], languages=table)
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "decode" not in plan and "content" not in plan
+    # Rows of one key are one file's readings twice; a file without a reading, or without a key, keeps its row.
+    got = sorted(((r.i or 0), r.encoding, r.language, r.binary) for r in audit.collect())
+    assert [g[0] for g in got] == [0, 1, 1, 2, 3, 4, 5]
+    assert got[0] == (0, None, None, True) and got[1] == got[2] == (1, "cp1252", "fr", False) and got[3] == (2, "utf_8", "fr", False)
+    assert got[4] == (3, "utf_8", None, False) and got[5][1:3] == (None, None) and got[6][1] == "utf_16"
+
+
+def test_letters_counted_in_arrays(spark):
+    """Against plain counting, also beyond the code points that are counted in an array; scores are the same."""
+    samples = ["", "abcab", "éaé", "日本日a", "zyx" * 20, "the quick brown fox jumps over the lazy dog and sleeps near the old tree", "𐐨x𐐨"]
+    for text, letter, n, place in zip(samples, *[a.to_pylist() for a in language._counted(pa.array(samples))]):
+        assert {chr(c): (k, p) for c, k, p in zip(letter, n, place)} == {c: (text.count(c), text.index(c)) for c in text}
+    df = spark.createDataFrame(list(enumerate(samples)), "i int, t string")
+    table = spark.createDataFrame([("en", list("etoahnrdsluqickbwfxjmpvzyg"))], "language string, letters array<string>")
+    counted = df.withColumn("c", language.letter_counts(F.col("t")))
+    plain = rows(language.language_scores(df, "t", table, ["i"]))
+    assert len(plain) == 1 and plain == rows(language.language_scores(counted, "c", table, ["i"]))
